@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import neardup, packing, splitting, tokens
+from skein.llm import history, neardup, packing, splitting, tokens
 from skein.llm._common import table
 
 
@@ -20,6 +20,18 @@ def _fields(spark: SparkSession, sf: str) -> list[tuple[str, DataFrame, str, str
     return [("content", docs, "document_id", "content"), ("chunk_text", chunks, "chunk_id", "chunk_text"), ("raw_text", chunks, "chunk_id", "raw_text")]
 
 
+def p2_repeats(spark: SparkSession, sf: str) -> DataFrame:
+    """Every rejected post with the accepted post that it repeats, of the same batch date or an earlier one."""
+    out = history.dedup_history(table(spark, sf, "raw_documents"), "ingest_seq", "scrape_batch_id", "raw_content")
+    return out.withColumnRenamed("id", "ingest_seq")
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Rejected posts whose first accepted match lies in an earlier batch, smaller ingest_seq first."""
+    out = p2_repeats(spark, sf).where("match_date < date")
+    return out.select(F.least("ingest_seq", "match").alias("ingest_seq_a"), F.greatest("ingest_seq", "match").alias("ingest_seq_b"))
+
+
 def p3_pieces(spark: SparkSession, sf: str) -> DataFrame:
     """Every piece of every oversized or small item of the three fields."""
     each = [splitting.split_items(d, i, t).select(F.lit(name).alias("field_name"), "*") for name, d, i, t in _fields(spark, sf)]
@@ -53,7 +65,7 @@ def p9_containers(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_pieces, p6_found, p6_groups, p8_ids, p9_containers)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_repeats, p3_found, p3_pieces, p6_found, p6_groups, p8_ids, p9_containers)}
 
 #: Splitting, signatures, merges and packing have no SQL form; their tests compare with brute force.
 ORACLES: dict[str, str] = {
