@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import history, neardup, packing, splitting, tokens
+from skein.llm import history, neardup, neighbours, packing, splitting, tokens
 from skein.llm._common import table
 
 
@@ -55,6 +55,17 @@ def p6_groups(spark: SparkSession, sf: str) -> DataFrame:
     return neardup.groups(similar).withColumnRenamed("id", "ingest_seq")
 
 
+def p7_neighbours(spark: SparkSession, sf: str) -> DataFrame:
+    """The five most similar other queries of each."""
+    return neighbours.top_k(table(spark, sf, "query_logs"), "id", "query_embedding")
+
+
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs where one is among the five of the other, each once."""
+    out = p7_neighbours(spark, sf)
+    return out.select(F.least("id", "other").alias("id_a"), F.greatest("id", "other").alias("id_b")).distinct()
+
+
 def p8_ids(spark: SparkSession, sf: str) -> DataFrame:
     """Token ids of every text."""
     return tokens.encode_texts(table(spark, sf, "documents"), "doc_id", "text")
@@ -65,7 +76,7 @@ def p9_containers(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_repeats, p3_found, p3_pieces, p6_found, p6_groups, p8_ids, p9_containers)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_repeats, p3_found, p3_pieces, p6_found, p6_groups, p7_found, p7_neighbours, p8_ids, p9_containers)}
 
 #: Splitting, signatures, merges and packing have no SQL form; their tests compare with brute force.
 ORACLES: dict[str, str] = {
