@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from skein.llm._common import mix, spread, stored
+from skein.llm._common import mix, stored
 
 #: Rows a part should hold, parts each row probes, neighbours wanted.
 PART_ROWS, PROBES, K = 1000, 3, 5
@@ -218,7 +218,6 @@ def top_k(df: DataFrame, id_col: str, vector_col: str, k: int = K, part_rows: in
         pick = pick.join(rest.select("id"), "id", "left_anti")
         repeated = rest.join(first.select("h", F.col("id").alias("other"), "r"), "h").where(F.col("r") <= k)
         repeated = repeated.select("id", "other", F.lit(1.0).alias("cosine"), F.col("r").cast("int").alias("rank"))
-    pick = spread(pick, 1)
     # one row per part: bounded by the number of parts, which the sample bounds
     count = pick.mapInArrow(sizes, "part int, home bigint, asked bigint").groupBy("part").agg(F.sum("home"), F.sum("asked")).collect()
     blocks, slices = np.ones(len(router.bias), np.int64), np.ones(len(router.bias), np.int64)
