@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import history, neardup, neighbours, packing, splitting, tokens
+from skein.llm import history, mojibake, neardup, neighbours, packing, splitting, tokens
 from skein.llm._common import table
 
 
@@ -76,7 +76,17 @@ def p9_containers(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_repeats, p3_found, p3_pieces, p6_found, p6_groups, p7_found, p7_neighbours, p8_ids, p9_containers)}
+def p10_restored(spark: SparkSession, sf: str) -> DataFrame:
+    """Affected documents with the text as far as it can be restored."""
+    return mojibake.restore_texts(table(spark, sf, "documents"), "doc_id", "text")
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents in which some character was labelled as wrongly decoded."""
+    return p10_restored(spark, sf).select("doc_id")
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_repeats, p3_found, p3_pieces, p6_found, p6_groups, p7_found, p7_neighbours, p8_ids, p9_containers, p10_found, p10_restored)}
 
 #: Splitting, signatures, merges and packing have no SQL form; their tests compare with brute force.
 ORACLES: dict[str, str] = {
