@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import history, mojibake, neardup, neighbours, packing, splitting, tokens
+from skein.llm import canonical, history, mojibake, neardup, neighbours, packing, splitting, tokens
 from skein.llm._common import table
 
 
@@ -43,6 +43,25 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return p3_pieces(spark, sf).where("n_pieces > 1 and piece = 0").select("field_name", "item_id")
 
 
+def p5_values(spark: SparkSession, sf: str) -> DataFrame:
+    """Every filled company and role with the entry it means."""
+    lists = {
+        "company": table(spark, sf, "companies").select(F.col("company_id").alias("ref_id"), F.col("name").alias("title")),
+        "role": table(spark, sf, "job_roles").select(F.col("role_id").alias("ref_id"), "title"),
+    }
+    return canonical.map_values(table(spark, sf, "processed_documents"), "document_id", lists)
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    """The entry that each filled company and role means, or -1."""
+    return p5_values(spark, sf).select("document_id", "field_name", "ref_id")
+
+
+def p5_unmatched(spark: SparkSession, sf: str) -> DataFrame:
+    """Report of the values that mean no entry, with their number of rows."""
+    return p5_values(spark, sf).where("ref_id = -1").groupBy("field_name", "value").agg(F.count("*").alias("n_rows"))
+
+
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     """All pairs of similar posts, smaller ingest_seq first."""
     similar = neardup.Similar(table(spark, sf, "raw_documents"), "ingest_seq", _post_text(), F.col("raw_content"))
@@ -86,7 +105,7 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return p10_restored(spark, sf).select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_repeats, p3_found, p3_pieces, p6_found, p6_groups, p7_found, p7_neighbours, p8_ids, p9_containers, p10_found, p10_restored)}
+QUERIES = {f.__name__: f for f in (p2_found, p2_repeats, p3_found, p3_pieces, p5_found, p5_unmatched, p5_values, p6_found, p6_groups, p7_found, p7_neighbours, p8_ids, p9_containers, p10_found, p10_restored)}
 
 #: Splitting, signatures, merges and packing have no SQL form; their tests compare with brute force.
 ORACLES: dict[str, str] = {
