@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import canonical, history, mojibake, neardup, neighbours, packing, splitting, tokens
+from skein.llm import canonical, history, markup, mojibake, neardup, neighbours, packing, splitting, tokens
 from skein.llm._common import table
 
 
@@ -20,6 +20,22 @@ def _fields(spark: SparkSession, sf: str) -> list[tuple[str, DataFrame, str, str
     return [("content", docs, "document_id", "content"), ("chunk_text", chunks, "chunk_id", "chunk_text"), ("raw_text", chunks, "chunk_id", "raw_text")]
 
 
+def p1_clean(spark: SparkSession, sf: str) -> DataFrame:
+    """Readable text of every post, and the number of groups of markup in it."""
+    return markup.clean_texts(table(spark, sf, "raw_documents"), "ingest_seq", "source_url", "raw_content")
+
+
+def p1_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Posts in which the wrappers of their host accept at least one group of markup."""
+    return p1_clean(spark, sf).where("n_markup > 0").select("ingest_seq")
+
+
+def p1_wrappers(spark: SparkSession, sf: str) -> DataFrame:
+    """The wrappers inferred for each host, as union-free regular expressions."""
+    posts = table(spark, sf, "raw_documents").select(markup.host_of(F.col("source_url")).alias("host"), "raw_content")
+    return markup.readable(markup.infer_wrappers(posts, "host", "raw_content"))
+
+
 def p2_repeats(spark: SparkSession, sf: str) -> DataFrame:
     """Every rejected post with the accepted post that it repeats, of the same batch date or an earlier one."""
     out = history.dedup_history(table(spark, sf, "raw_documents"), "ingest_seq", "scrape_batch_id", "raw_content")
@@ -105,7 +121,7 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return p10_restored(spark, sf).select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_repeats, p3_found, p3_pieces, p5_found, p5_unmatched, p5_values, p6_found, p6_groups, p7_found, p7_neighbours, p8_ids, p9_containers, p10_found, p10_restored)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p1_wrappers, p2_found, p2_repeats, p3_found, p3_pieces, p5_found, p5_unmatched, p5_values, p6_found, p6_groups, p7_found, p7_neighbours, p8_ids, p9_containers, p10_found, p10_restored)}
 
 #: Splitting, signatures, merges and packing have no SQL form; their tests compare with brute force.
 ORACLES: dict[str, str] = {
