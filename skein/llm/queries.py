@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm import canonical, history, markup, mojibake, neardup, neighbours, packing, splitting, tokens
+from skein.llm import canonical, history, markup, mojibake, neardup, neighbours, packing, pii, splitting, tokens
 from skein.llm._common import table
 
 
@@ -59,6 +59,24 @@ def p3_found(spark: SparkSession, sf: str) -> DataFrame:
     return p3_pieces(spark, sf).where("n_pieces > 1 and piece = 0").select("field_name", "item_id")
 
 
+def _free_texts(spark: SparkSession, sf: str) -> DataFrame:
+    raw, logs = table(spark, sf, "raw_documents"), table(spark, sf, "query_logs")
+    a = raw.select(F.lit("raw_documents").alias("src"), F.col("ingest_seq").alias("id"), F.col("raw_content").alias("text"))
+    return a.unionByName(logs.select(F.lit("query_logs").alias("src"), "id", F.col("query_text").alias("text")))
+
+
+def p4_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Each distinct personal value of a post or query, with its type."""
+    out = pii.find(_free_texts(spark, sf))
+    return out.select(F.col("src").alias("source_table"), F.col("id").alias("record_id"), "pii_type", "pii_value").distinct()
+
+
+def p4_redacted(spark: SparkSession, sf: str) -> DataFrame:
+    """Every post and query with typed placeholders in place of personal values."""
+    texts = _free_texts(spark, sf)
+    return pii.redact(texts, pii.find(texts)).withColumnsRenamed({"src": "source_table", "id": "record_id"})
+
+
 def p5_values(spark: SparkSession, sf: str) -> DataFrame:
     """Every filled company and role with the entry it means."""
     lists = {
@@ -121,7 +139,7 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return p10_restored(spark, sf).select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p1_wrappers, p2_found, p2_repeats, p3_found, p3_pieces, p5_found, p5_unmatched, p5_values, p6_found, p6_groups, p7_found, p7_neighbours, p8_ids, p9_containers, p10_found, p10_restored)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p1_wrappers, p2_found, p2_repeats, p3_found, p3_pieces, p4_found, p4_redacted, p5_found, p5_unmatched, p5_values, p6_found, p6_groups, p7_found, p7_neighbours, p8_ids, p9_containers, p10_found, p10_restored)}
 
 #: Splitting, signatures, merges and packing have no SQL form; their tests compare with brute force.
 ORACLES: dict[str, str] = {
