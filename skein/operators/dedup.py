@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions import text as T
@@ -13,16 +13,11 @@ from skein.functions import text as T
 BANDS, ROWS, THRESHOLD, LEAST, RUN = 9, 13, 0.8, 10, 3
 
 
-def shingles(text: Column, n: int = RUN) -> Column:
-    """Distinct 64-bit hashes of the runs of n words; a shorter text is one run."""
-    w = T.words(F.lower(text))
-    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size("_w") - n, F.lit(0))), lambda i: F.xxhash64(F.array_join(F.slice("_w", i + 1, n), " ")))
-    return w, F.array_distinct(runs)
-
-
 def with_shingles(df: DataFrame, text: str, out: str = "shingles", n: int = RUN) -> DataFrame:
-    w, runs = shingles(F.col(text), n)
-    return df.withColumn("_w", w).withColumn(out, F.when(F.size("_w") > 0, runs).otherwise(F.array().cast("array<bigint>"))).drop("_w")
+    """Add the distinct 64-bit hashes of the runs of n words; a shorter text is one run, an empty one has none."""
+    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size("_w") - n, F.lit(0))), lambda i: F.xxhash64(F.array_join(F.slice("_w", i + 1, n), " ")))
+    some = F.when(F.size("_w") > 0, F.array_distinct(runs)).otherwise(F.array().cast("array<bigint>"))
+    return df.withColumn("_w", T.words(F.lower(F.col(text)))).withColumn(out, some).drop("_w")
 
 
 def exact_duplicates(df: DataFrame, id_col: str, text: str, history: DataFrame | None = None) -> DataFrame:
@@ -94,8 +89,3 @@ def near_duplicates(df: DataFrame, id_col: str, text: str, **options) -> DataFra
     of = near.withColumnRenamed("id", "first_id")
     out = exact.join(of, "first_id", "left")
     return out.select("id", F.when(F.col("is_first"), F.col("duplicate_of")).otherwise(F.coalesce("duplicate_of", "first_id")).alias("duplicate_of"))
-
-
-def numbered_groups(df: DataFrame, key: str) -> DataFrame:
-    """Rows of a key numbered in order, for reports of duplicate groups."""
-    return df.withColumn("n_in_group", F.count("*").over(Window.partitionBy(key)))
