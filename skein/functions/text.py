@@ -138,15 +138,33 @@ def redact(text: Column, rules=P.REDACTION) -> Column:
     return replace_all(text, [(p, f"[{t.upper()}]") for t, p in rules])
 
 
+def _bind(value: Column, f) -> Column:
+    """f(value) with the value computed once, however often f uses it."""
+    return F.transform(F.array(value), f)[0]
+
+
+def redact_and_count(text: Column, rules=P.REDACTION) -> Column:
+    """struct<text, counts>: the redacted text and a map of the matches of each type; types without any are left out.
+
+    Every rule runs once, on the text that the rules before it have left.
+    """
+
+    def step(i: int, t: Column, counts: list[tuple[str, Column]]) -> Column:
+        if i == len(rules):
+            seen: dict[str, Column] = {}
+            for kind, n in counts:
+                seen[kind] = seen[kind] + n if kind in seen else n
+            pairs = F.create_map(*[x for k, v in seen.items() for x in (F.lit(k), v)])
+            return F.struct(t.alias("text"), F.map_filter(pairs, lambda k, v: v > 0).alias("counts"))
+        kind, pattern = rules[i]
+        return _bind(t, lambda x: step(i + 1, F.regexp_replace(x, pattern, f"[{kind.upper()}]"), [*counts, (kind, F.regexp_count(x, F.lit(pattern)))]))
+
+    return step(0, text, [])
+
+
 def redaction_counts(text: Column, rules=P.REDACTION) -> Column:
-    """map<type, count> of the matches that `redact` replaces; types without any are left out."""
-    seen: dict[str, Column] = {}
-    for kind, pattern in rules:
-        n = F.regexp_count(text, F.lit(pattern))
-        seen[kind] = seen[kind] + n if kind in seen else n
-        text = F.regexp_replace(text, pattern, f"[{kind.upper()}]")
-    pairs = F.create_map(*[x for k, v in seen.items() for x in (F.lit(k), v)])
-    return F.map_filter(pairs, lambda k, v: v > 0)
+    """map<type, count> of the matches that `redact` replaces."""
+    return redact_and_count(text, rules)["counts"]
 
 
 # ---- quality -------------------------------------------------------------------------------------------------------
@@ -182,7 +200,8 @@ STOP_WORDS = {
 def language(text: Column, lists: dict[str, str] = STOP_WORDS, chars: int = 1000, least: int = 50) -> Column:
     """The language whose function words are most frequent at the beginning; `en` for short texts, null for none."""
     head = words(F.lower(F.substring(text, 1, chars)))
-    votes = [F.struct(F.size(F.filter(head, lambda w, v=v: w.isin(*v.split()))).alias("n"), F.lit(-i).alias("o"), F.lit(k).alias("l")) for i, (k, v) in enumerate(lists.items())]
+    count = lambda v: F.size(F.filter(head, lambda w: w.isin(*v.split())))
+    votes = [F.struct(count(v).alias("n"), F.lit(-i).alias("o"), F.lit(k).alias("l")) for i, (k, v) in enumerate(lists.items())]
     best = F.array_max(F.array(*votes))
     return F.when(F.length(text) < least, F.lit("en")).when(best["n"] > 0, best["l"])
 

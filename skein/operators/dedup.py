@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions import text as T
+from skein.operators.minhash import with_keys
 
 #: Bands and rows of the signature, threshold of the verification, sequences below which only exact removal applies.
 BANDS, ROWS, THRESHOLD, LEAST, RUN = 9, 13, 0.8, 10, 3
@@ -15,9 +16,14 @@ BANDS, ROWS, THRESHOLD, LEAST, RUN = 9, 13, 0.8, 10, 3
 
 def with_shingles(df: DataFrame, text: str, out: str = "shingles", n: int = RUN) -> DataFrame:
     """Add the distinct 64-bit hashes of the runs of n words; a shorter text is one run, an empty one has none."""
-    runs = F.transform(F.sequence(F.lit(0), F.greatest(F.size("_w") - n, F.lit(0))), lambda i: F.xxhash64(F.array_join(F.slice("_w", i + 1, n), " ")))
-    some = F.when(F.size("_w") > 0, F.array_distinct(runs)).otherwise(F.array().cast("array<bigint>"))
-    return df.withColumn("_w", T.words(F.lower(F.col(text)))).withColumn(out, some).drop("_w")
+    none = F.array().cast("array<bigint>")
+
+    def runs(w):
+        last = F.greatest(F.size(w) - n, F.lit(0))
+        return F.when(F.size(w) > 0, F.array_distinct(F.transform(F.sequence(F.lit(0), last), lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, n), " "))))).otherwise(none)
+
+    # the words are bound to a lambda variable, so they are split once per text and not once per run
+    return df.withColumn(out, F.transform(F.array(T.words(F.lower(F.col(text)))), runs)[0])
 
 
 def exact_duplicates(df: DataFrame, id_col: str, text: str, history: DataFrame | None = None) -> DataFrame:
@@ -30,12 +36,6 @@ def exact_duplicates(df: DataFrame, id_col: str, text: str, history: DataFrame |
     return out.select("id", "content_hash", "first_id", F.coalesce(F.col("id") == F.col("first_id"), F.lit(False)).alias("is_first"))
 
 
-def band_keys(sh: Column, bands: int = BANDS, rows: int = ROWS) -> Column:
-    """array<bigint> of band keys: hashes of `rows` minima each, all in the JVM."""
-    mins = [F.array_min(F.transform(sh, lambda h, k=k: F.xxhash64(h, F.lit(k)))) for k in range(bands * rows)]
-    return F.array(*[F.xxhash64(F.lit(b), *mins[b * rows : (b + 1) * rows]) for b in range(bands)])
-
-
 def near_pairs(df: DataFrame, id_col: str, text: str, threshold: float = THRESHOLD, verify: bool = True, bands: int = BANDS, rows: int = ROWS, least: int = LEAST) -> DataFrame:
     """(a, b, similarity) of rows that share a band, a before b; verified by exact similarity unless `verify` is off.
 
@@ -45,7 +45,8 @@ def near_pairs(df: DataFrame, id_col: str, text: str, threshold: float = THRESHO
     base = base.withColumn("copy", F.xxhash64("shingles"))
     first = base.groupBy("copy").agg(F.min("id").alias("id"))
     reps = base.join(first, ["copy", "id"], "left_semi")
-    keys = reps.select("id", F.explode(band_keys(F.col("shingles"), bands, rows)).alias("key"))
+    reps = cut(reps.select("id", "shingles"))
+    keys = with_keys(reps, "shingles", bands, rows).select("id", F.explode("keys").alias("key"))
     pairs = keys.select("key", F.col("id").alias("a")).join(keys.select("key", F.col("id").alias("b")), "key").where("a < b").select("a", "b").distinct()
     both = pairs.join(reps.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(reps.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
     shared = F.size(F.array_intersect("sa", "sb"))

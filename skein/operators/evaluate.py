@@ -54,7 +54,8 @@ def per_query(queries: DataFrame, ranked: DataFrame, grades: DataFrame, cuts=CUT
 
 def metrics(by_query: DataFrame) -> DataFrame:
     """(query_category, k, n_queries, mrr, recall, precision, ndcg) of each category and, with category `overall`, of all queries."""
-    g = by_query.rollup("k", F.coalesce("query_category", F.lit("uncategorised")).alias("query_category"))
+    named = by_query.withColumn("query_category", F.coalesce("query_category", F.lit("uncategorised")))
+    g = named.rollup("k", "query_category")
     out = g.agg(F.grouping("query_category").alias("_all"), F.count("*").alias("n_queries"), *[F.round(F.avg(c), 6).alias(n) for c, n in (("reciprocal_rank", "mrr"), ("recall", "recall"), ("precision", "precision"), ("ndcg", "ndcg"))])
     out = out.where("k is not null")
     return out.select(F.when(F.col("_all") == 1, F.lit("overall")).otherwise(F.col("query_category")).alias("query_category"), "k", "n_queries", "mrr", "recall", "precision", "ndcg")

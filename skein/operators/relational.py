@@ -102,3 +102,9 @@ def reconcile(written: DataFrame, reported: int) -> int:
     if n != reported or n == 0:
         raise ValueError(f"{n} rows written, {reported} reported")
     return n
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Enough partitions for expression-heavy stages where a scan has few splits; larger inputs stay as they are."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= want else df.repartition(want)

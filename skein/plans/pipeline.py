@@ -47,7 +47,8 @@ def content_normalizer(df: DataFrame) -> DataFrame:
 @step("pii_remover")
 def pii_remover(df: DataFrame) -> DataFrame:
     """Redacted content and title, and counts of the redactions in the content; never rejects."""
-    return df.withColumn("pii_counts", T.redaction_counts(F.col("content"))).withColumn("content", T.redact(F.col("content"))).withColumn("title", T.redact(F.col("title")))
+    out = df.withColumn("_c", T.redact_and_count(F.col("content"))).withColumn("title", T.redact(F.col("title")))
+    return out.withColumn("pii_counts", F.col("_c.counts")).withColumn("content", F.col("_c.text")).drop("_c")
 
 
 @step("quality_filter")
@@ -101,11 +102,16 @@ ORDER = ["content_normalizer", "pii_remover", "quality_filter", "deduplicator",
 
 @dataclass
 class Pipeline:
-    """Steps by name; a checkpoint after each named in `checkpoint_after` lets a run resume."""
+    """Steps by name; a checkpoint after each named in `checkpoint_after` lets a run resume.
+
+    After the steps in `materialise_after` the rows are written to the shared folder and read back, so
+    later steps that use the clean text several times do not clean it again.
+    """
 
     steps: list[str] = field(default_factory=lambda: list(ORDER))
     disabled: set[str] = field(default_factory=set)
     checkpoint_after: set[str] = field(default_factory=set)
+    materialise_after: set[str] = field(default_factory=lambda: {"content_normalizer", "pii_remover", "quality_filter"})
 
     def plan(self, df: DataFrame) -> DataFrame:
         """All steps over the raw documents; one plan but for the iteration inside deduplication."""
@@ -122,6 +128,8 @@ class Pipeline:
             current = REGISTRY[name](current)
             if checkpoints and name in self.checkpoint_after:
                 current = checkpoints.save(i, name, current)
+            elif name in self.materialise_after:
+                current = dedup.cut(current)
         return current
 
 

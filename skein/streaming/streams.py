@@ -18,7 +18,10 @@ def parquet_stream(spark: SparkSession, path: str, per_trigger: int | None = Non
     if per_trigger:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
     local = path.removeprefix("file://")
-    return reader.parquet(f"{os.path.dirname(path)}/{os.path.basename(path)[:-1]}[{path[-1]}]" if os.path.isfile(local) else path)
+    # a file stream reads directories or patterns: a single file is given as a pattern that only it matches
+    df = reader.parquet(f"{os.path.dirname(path)}/{os.path.basename(path)[:-1]}[{path[-1]}]" if os.path.isfile(local) else path)
+    # event time needs instants: local times are read in the session's zone
+    return df.select(*[F.col(c).cast("timestamp").alias(c) if kind == "timestamp_ntz" else F.col(c) for c, kind in df.dtypes])
 
 
 def run_now(df: DataFrame, name: str, mode: str, checkpoint: str | None = None) -> DataFrame:
@@ -68,9 +71,10 @@ def running_totals(events: DataFrame, key: str = "user_id", value: str = "value"
 
 
 def ingest(stream: DataFrame, transform, path: str, checkpoint: str):
-    """Run a batch transform over every micro-batch and append its rows; the checkpoint makes it resume where it stopped."""
+    """Run a batch transform over every micro-batch and keep its rows; the checkpoint makes it resume where it stopped."""
 
     def one(batch: DataFrame, epoch: int) -> None:
-        transform(batch).withColumn("epoch", F.lit(epoch)).write.mode("append").parquet(path)
+        # one directory per epoch: a batch that runs again after a failure replaces its own rows
+        transform(batch).write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
 
     return stream.writeStream.foreachBatch(one).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
