@@ -150,6 +150,6 @@ ORACLES: dict[str, str] = {
             UNION ALL SELECT 'raw_text', chunk_id, raw_text FROM document_chunks)
         SELECT field_name, item_id FROM items
         WHERE length(t) > 4000
-           OR len(list_filter(string_split_regex(t, '[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+'), x -> x <> '')) > 500
+           OR len(list_filter(string_split_regex(t, '[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+'), lambda x: x <> '')) > 500
     """,
 }
