@@ -50,13 +50,14 @@ def two_sample(reference: DataFrame, current: DataFrame, vector: str) -> DataFra
     per = per.select("dim", "bucket", F.coalesce(F.sum("br").over(before), F.lit(0)).alias("r0"), F.coalesce(F.sum("bc").over(before), F.lit(0)).alias("c0"), F.sum("br").over(whole).alias("n_ref"), F.sum("bc").over(whole).alias("n_cur"))
     inside = Window.partitionBy("dim", "bucket").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
     run = points.withColumn("r1", F.sum("r").over(inside)).withColumn("c1", F.sum("c").over(inside)).join(per, ["dim", "bucket"])
-    gap = F.abs((F.col("r0") + F.col("r1")) / F.col("n_ref") - (F.col("c0") + F.col("c1")) / F.col("n_cur"))
+    # null where one side has no vectors
+    gap = F.abs(F.try_divide(F.col("r0") + F.col("r1"), F.col("n_ref")) - F.try_divide(F.col("c0") + F.col("c1"), F.col("n_cur")))
     return run.groupBy("dim").agg(F.max("n_ref").alias("n_ref"), F.max("n_cur").alias("n_cur"), F.max(gap).alias("ks"))
 
 
 def drifted(tests: DataFrame, alpha: float = ALPHA) -> DataFrame:
     """(dim, ks, drifted): whether the statistic passes the asymptotic critical value."""
-    critical = F.sqrt(-F.log(F.lit(alpha / 2)) / 2) * F.sqrt((F.col("n_ref") + F.col("n_cur")) / (F.col("n_ref") * F.col("n_cur")))
+    critical = F.sqrt(-F.log(F.lit(alpha / 2)) / 2) * F.sqrt(F.try_divide(F.col("n_ref") + F.col("n_cur"), F.col("n_ref") * F.col("n_cur")))
     return tests.select("dim", "ks", (F.col("ks") > critical).alias("drifted"))
 
 
@@ -67,4 +68,4 @@ def composite(reference: DataFrame, current: DataFrame, vector: str) -> DataFram
     n = current.where(F.col(vector).isNotNull()).agg(F.count("*").alias("n_current"))
     one = centroid_distance(rs, cs).join(F.broadcast(shift(rs, cs))).join(F.broadcast(share)).join(F.broadcast(n))  # one row each
     broken = (F.col("centroid_distance") > CENTROID).cast("int") + (F.col("shift_p95") > SHIFT).cast("int") + (F.col("drifted_share") > SHARE).cast("int")
-    return one.withColumn("limits_broken", broken).withColumn("drift", (F.col("n_current") >= LEAST) & (broken >= BROKEN))
+    return one.withColumn("limits_broken", F.coalesce(broken, F.lit(0))).withColumn("drift", (F.col("n_current") >= LEAST) & (F.col("limits_broken") >= BROKEN))
