@@ -34,8 +34,9 @@ PAIRS = (
     ("cp1251", "latin-1"), ("cp1251", "cp1252"), ("cp1251", "koi8-r"), ("koi8-r", "cp1251"), ("koi8-r", "latin-1"), ("cp866", "cp1251"), ("cp1251", "cp866"),
     ("shift_jis", "latin-1"), ("shift_jis", "cp1252"), ("shift_jis", "mac-roman"), ("euc_jp", "latin-1"), ("euc_jp", "cp1252"),
 )
-#: Log costs: entering or leaving a garbled state, a character without inverse, and the least gain of a span.
-SWITCH, INSIDE, IMPOSSIBLE, LEAST_GAIN = 3.5, 4.0, -14.0, 1.0
+#: Log costs: entering or leaving a garbled state (more inside a word), a character without inverse, the least gain
+#: of a character, and reading well-formed UTF-8 as double bytes.
+SWITCH, INSIDE, IMPOSSIBLE, LEAST_GAIN, WELL_FORMED = 3.0, 4.0, -14.0, 1.0, 12.0
 CLASS_END = 0x3000
 #: Classes: code points below CLASS_END folded to lower case, then blocks, private use, replacement.
 OTHERS = 8
@@ -269,8 +270,11 @@ class Labeller:
         clean = self.model.score(cp)
         total = np.append(0, np.cumsum(clean))
         gains = np.zeros((len(PAIRS) + 1, len(cp)))
+        as_utf8: dict[str, np.ndarray] = {}
         for s, pair in enumerate(PAIRS):
             decoded, length = inverse(cp, pair)
+            if pair[0] == "utf-8":
+                as_utf8[pair[1]] = length != 1
             start = np.flatnonzero(length)
             true = decoded[start]
             valid = true >= 0
@@ -280,6 +284,9 @@ class Labeller:
             gain = np.where(valid, self.model.score(stream) - (total[start + size] - total[start]), IMPOSSIBLE)
             same = valid & (stream == cp[start]) & (size == 1)
             gain = np.where(same & np.append(True, same[:-1]), 0.0, gain)
+            if pair[0] in ("shift_jis", "euc_jp"):
+                # any two bytes are some ideograph; where the characters are well-formed UTF-8, that explains them
+                gain = gain - WELL_FORMED * np.logical_or.reduceat(as_utf8[pair[1]], start) if len(start) else gain
             # shared by the characters of the unit, so that a path gains only by labelling all of them
             gains[s] = np.repeat(gain / size, size)
         gains[-1] = np.where(cp == 0xFFFD, 15.0, np.where(cp > 127, IMPOSSIBLE, -0.5))
