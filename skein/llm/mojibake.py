@@ -36,7 +36,7 @@ PAIRS = (
 )
 #: Log costs: entering or leaving a garbled state (more inside a word), a character without inverse, the least gain
 #: of a character, and reading well-formed UTF-8 as double bytes.
-SWITCH, INSIDE, IMPOSSIBLE, LEAST_GAIN, WELL_FORMED = 3.0, 4.0, -14.0, 1.0, 12.0
+SWITCH, INSIDE, IMPOSSIBLE, LEAST_GAIN, WELL_FORMED = 3.5, 4.0, -14.0, 1.0, 12.0
 CLASS_END = 0x3000
 #: Classes: code points below CLASS_END folded to lower case, then blocks, private use, replacement.
 OTHERS = 8
