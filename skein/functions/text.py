@@ -261,10 +261,60 @@ def company_in_title(title: Column) -> Column:
 def longest_alias(text: Column, aliases: Column) -> Column:
     """Canonical name of the longest alias the text holds; aliases is array<struct<alias, canonical>> in order of precedence."""
     low = F.lower(text)
-    hit = F.filter(aliases, lambda a: F.regexp(low, F.concat(F.lit(r"\b\Q"), F.lower(a["alias"]), F.lit(r"\E\b"))))
+    hit = F.filter(aliases, lambda a: F.contains(low, F.lower(a["alias"])) & F.regexp(low, F.concat(F.lit(r"\b\Q"), F.lower(a["alias"]), F.lit(r"\E\b"))))
     return F.get(F.transform(hit, lambda a: a["canonical"]), F.lit(0))
 
 
+#: Phrases before a role, tried in order.
+ROLE_TRIGGERS = (
+    r"(?:for\s+the\s+)?role\s+(?:of|:)\s+",
+    r"(?:applied|applying)\s+(?:for|as)\s+(?:the\s+)?(?:role\s+of\s+)?",
+    r"interview(?:ed)?\s+for\s+(?:the\s+)?(?:role\s+of\s+)?(?:a\s+)?",
+    r"(?:hiring|recruited?)\s+for\s+(?:the\s+)?",
+    r"(?:offered|selected\s+for)\s+(?:the\s+)?(?:role\s+of\s+)?",
+    r"(?:position|designation)\s*:\s*",
+    r"target\s+position\s*:\s*",
+)
+
+
+def _alias_after(text: Column, aliases: Column, before: str, level: bool) -> Column:
+    """The first alias in order that stands after a phrase, with a level number behind it where one is asked for."""
+    low = F.lower(text)
+    pattern = lambda a: F.concat(F.lit(before + r"\Q"), F.lower(a["alias"]), F.lit(r"\E" + (r"[\s\-]*(\d{1,2})?\b" if level else r"\b")))
+    # the plain test comes first: only aliases that occur at all are compiled to a pattern
+    hit = F.get(F.filter(aliases, lambda a: F.contains(low, F.lower(a["alias"])) & F.regexp(low, pattern(a))), F.lit(0))
+    if not level:
+        return hit["canonical"]
+    n = F.call_function("regexp_extract", low, pattern(hit), F.lit(1))
+    return F.when(hit.isNotNull(), F.concat(hit["canonical"], F.when(F.coalesce(n, F.lit("")) != "", F.concat(F.lit(" "), n)).otherwise(F.lit(""))))
+
+
+def role(title: Column, content: Column, aliases: Column) -> Column:
+    """The role of a document: alias and level in the title, else after a phrase in the first 500 characters, else anywhere.
+
+    aliases is array<struct<alias, canonical>>, longest alias first.
+    """
+    head = F.substring(content, 1, 500)
+    by_phrase = [_alias_after(head, aliases, t, True) for t in ROLE_TRIGGERS]
+    return F.coalesce(_alias_after(title, aliases, r"\b", True), *by_phrase, _alias_after(head, aliases, r"\b", False), _alias_after(content, aliases, r"\b", False))
+
+
+#: Capitalised words that are no company; a parameter of `company_by_capitals`.
+NOT_COMPANIES = ("I", "The", "My", "Round", "Java", "Python", "SQL", "HR", "API", "Monday", "Interview", "Experience", "Google Meet", "Zoom", "LinkedIn")
+
+
+def company_by_capitals(text: Column, blocked=NOT_COMPANIES, chars: int = 500) -> Column:
+    """The first run of capitalised words inside a sentence, of 2 to 50 characters and not blocked: the fallback without a trained tagger."""
+    runs = F.regexp_extract_all(F.substring(text, 1, chars), F.lit(r"(?<=[a-z,] )([A-Z][\w&]+(?: [A-Z][\w&]+){0,2})"), F.lit(1))
+    return F.get(F.filter(runs, lambda r: ~r.isin(*blocked) & F.length(r).between(2, 50)), F.lit(0))
+
+
+def company_name(found: Column, aliases: Column) -> Column:
+    """The canonical name of an alias, else the trimmed text with capital initials."""
+    known = F.get(F.filter(aliases, lambda a: F.lower(a["alias"]) == F.lower(F.trim(found))), F.lit(0))["canonical"]
+    return F.coalesce(known, F.initcap(F.trim(found)))
+
+
 def safe_enum(value: Column, allowed: list[str]) -> Column:
     """The trimmed lower-cased value if it is allowed, else null."""
     v = F.lower(F.trim(value))

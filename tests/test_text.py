@@ -90,3 +90,14 @@ def test_small_helpers(spark):
     assert one(spark, lambda c: T.language(c), "der Hund und die Katze sind nicht hier und das ist gut so wie es ist") == "de"
     assert one(spark, T.published, "15 Sep, 2025").isoformat() == "2025-09-15T00:00:00"
     assert one(spark, T.published, "soon") is None
+
+
+def test_roles_and_companies(spark):
+    aliases = F.array(*[F.struct(F.lit(a).alias("alias"), F.lit(c).alias("canonical")) for a, c in (("data engineer", "Data Engineer"), ("sde", "Software Engineer"))])
+    assert one(spark, lambda t, c: T.role(t, c, aliases), "SDE-2 at Acme", "nothing") == "Software Engineer 2"
+    assert one(spark, lambda t, c: T.role(t, c, aliases), "My day", "I applied for the role of Data Engineer 3 there") == "Data Engineer 3"
+    assert one(spark, lambda t, c: T.role(t, c, aliases), "x", "long ago " * 100 + "an sde told me") == "Software Engineer"
+    assert one(spark, lambda t, c: T.role(t, c, aliases), None, None) is None
+    assert one(spark, T.company_by_capitals, "I went to Blue Acme Labs on Monday.") == "Blue Acme Labs"
+    assert one(spark, T.company_by_capitals, "nothing here") is None
+    assert one(spark, lambda c: T.company_name(c, aliases), " SDE ") == "Software Engineer" and one(spark, lambda c: T.company_name(c, aliases), "blue acme") == "Blue Acme"
