@@ -20,50 +20,20 @@ readable batch date come last; equal dates are ordered by id; an empty delivery
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skein.llm._common import jaccard, mix, scratch, sequences, stored
+from skein.llm._common import jaccard, scratch, sequences, stored
+from skein.operators import minhash
 
 BANDS, ROWS, THRESHOLD, LEAST = 42, 6, 0.8, 10
 #: Buckets of the persisted key and record tables; grows with the deployment, not with a run.
 BUCKETS = 16
 
 
-def signatures(flat: np.ndarray, sizes: np.ndarray, bands: int = BANDS, rows: int = ROWS) -> np.ndarray:
-    """(records, bands) keys: minima of `rows` hash functions each, mixed with the band number."""
-    live = sizes > 0
-    first = np.append(0, np.cumsum(sizes[live]))[:-1]
-    element = mix(flat.view(np.uint64), 11)
-    keys = np.zeros((len(sizes), bands), dtype=np.uint64)
-    for b in range(bands):
-        key = np.full(int(live.sum()), b, dtype=np.uint64)
-        for r in range(rows):
-            odd = mix(np.array([b * rows + r], dtype=np.uint64), 12)[0] | np.uint64(1)
-            low = np.minimum.reduceat((element ^ (odd >> np.uint64(7))) * odd, first)
-            key = mix(key ^ low, 13)
-        keys[live, b] = key
-    return keys
-
-
 def with_keys(df: DataFrame) -> DataFrame:
-    """Append `keys array<bigint>` to rows that have `seqs array<bigint>`; other columns pass through."""
-    at = df.columns.index("seqs")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(at)
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            keys = signatures(flat, np.diff(lists.offsets.to_numpy()).astype(np.int64))
-            offsets = np.arange(len(keys) + 1, dtype=np.int32) * BANDS
-            yield batch.append_column("keys", pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.view(np.int64).ravel())))
-
-    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-    return df.mapInArrow(run, f"{kinds}, keys array<bigint>")
+    """Append `keys array<bigint>`, the band keys of `seqs`; other columns pass through."""
+    return minhash.with_keys(df, "seqs", BANDS, ROWS)
 
 
 def _bucket(col: str) -> Column:
@@ -174,7 +144,8 @@ def dedup_history(df: DataFrame, id_col: str, batch_col: str, text_col: str, del
     rank = F.concat(date, F.lpad(F.col(id_col).cast("string"), 20, "0"))
     rows = df.select(F.col(id_col).cast("bigint").alias("id"), batch.alias("batch"), date.alias("date"), rank.alias("rank"), sequences(F.col(text_col)).alias("seqs"))
     rows = rows.where(F.size("seqs") >= least).withColumn("seqs", F.sort_array("seqs"))
-    signed = stored(with_keys(rows), "signed")
+    # sorted by date inside each file, so the statistics of its pages let a delivery skip the rest
+    signed = stored(with_keys(rows).sortWithinPartitions("date"), "signed")
     dates = [r[0] for r in signed.select("date").distinct().orderBy("date").collect()]  # one value per batch date
     history, results = History(spark, threshold=threshold), []
     step = max(1, -(-(len(dates) - 1) // deliveries))
