@@ -5,10 +5,13 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skein.operators.minhash import mix
+
+__all__ = ["WORD", "cut", "jaccard", "mix", "scratch", "sequences", "shared_dir", "spread", "stored", "table", "words"]
+
 #: A word is a maximal run of letters and numeric characters, after lower-casing.
 WORD = r"[\p{L}\p{N}]+"
 
@@ -85,14 +88,3 @@ def jaccard(a: Column, b: Column) -> Column:
     """Exact Jaccard similarity of two arrays of distinct elements."""
     both = F.size(F.array_intersect(a, b))
     return both / F.nullif(F.size(a) + F.size(b) - both, F.lit(0))
-
-
-def mix(h: np.ndarray, seed: int) -> np.ndarray:
-    """A 64-bit finaliser (splitmix64) over uint64 values."""
-    x = h.astype(np.uint64, copy=True)
-    x += np.uint64((seed * 0x9E3779B97F4A7C15 + 0x9E3779B97F4A7C15) & 0xFFFFFFFFFFFFFFFF)
-    x ^= x >> np.uint64(30)
-    x *= np.uint64(0xBF58476D1CE4E5B9)
-    x ^= x >> np.uint64(27)
-    x *= np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
