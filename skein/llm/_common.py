@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from skein.operators.minhash import mix
 
-__all__ = ["WORD", "cut", "jaccard", "mix", "scratch", "sequences", "shared_dir", "spread", "stored", "table", "words"]
+__all__ = ["WORD", "cut", "jaccard", "led_sequences", "mix", "runs", "scratch", "sequences", "shared_dir", "spread", "stored", "table", "words"]
 
 #: A word is a maximal run of letters and numeric characters, after lower-casing.
 WORD = r"[\p{L}\p{N}]+"
@@ -67,21 +67,26 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
 
 
+def runs(w: Column, n: int) -> Column:
+    """Distinct 64-bit hashes of the runs of n consecutive words of an array, in the JVM."""
+    none = F.array().cast("array<bigint>")
+    hashes = F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.xxhash64(*[F.element_at(w, i + k) for k in range(n)]))
+    return F.when(F.size(w) >= n, F.array_distinct(hashes)).otherwise(none)
+
+
 def sequences(text: Column, n: int = 3) -> Column:
-    """Distinct hashes (64 bit) of the runs of n consecutive words, computed in the JVM."""
-    w = words(text)
-    return F.transform(
-        F.array(w),
-        lambda a: F.when(
-            F.size(a) >= n,
-            F.array_distinct(
-                F.transform(
-                    F.sequence(F.lit(1), F.size(a) - (n - 1)),
-                    lambda i: F.xxhash64(*[F.element_at(a, i + k) for k in range(n)]),
-                )
-            ),
-        ).otherwise(F.array().cast("array<bigint>")),
-    )[0]
+    """Runs of a text; the words are bound to a lambda variable, so they are split once and not once per run."""
+    return F.transform(F.array(words(text)), lambda w: runs(w, n))[0]
+
+
+def led_sequences(lead: Column, text: Column, n: int = 3) -> Column:
+    """struct<own, every>: the runs of a text, and those of lead + space + text, which only add what crosses or lies in the lead."""
+
+    def both(w: Column, own: Column) -> Column:
+        front = F.transform(F.array(F.concat(words(lead), F.slice(w, 1, n - 1))), lambda v: runs(v, n))[0]
+        return F.struct(own.alias("own"), F.array_union(own, front).alias("every"))
+
+    return F.transform(F.array(words(text)), lambda w: F.transform(F.array(runs(w, n)), lambda own: both(w, own))[0])[0]
 
 
 def jaccard(a: Column, b: Column) -> Column:

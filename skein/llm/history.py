@@ -58,6 +58,11 @@ class History:
     def _read(self, name: str, schema: str) -> DataFrame:
         return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
 
+    def _spread(self, df: DataFrame, by: str) -> DataFrame:
+        """As many writing tasks as the session shuffles with, each with rows of one bucket or few."""
+        n = max(BUCKETS, int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+        return df.repartition(n, "bucket", F.pmod(F.xxhash64(by, F.lit(1)), F.lit(-(-n // BUCKETS))))
+
     def _verify(self, pairs: DataFrame, left: DataFrame, right: DataFrame) -> DataFrame:
         """Pairs (a, b) whose sequences are similar enough; left and right have id, rank, seqs."""
         la = left.select(F.col("id").alias("a"), F.col("rank").alias("rank_a"), F.col("seqs").alias("sa"))
@@ -108,9 +113,9 @@ class History:
         decided = stored(inside.unionByName(known) if known is not None else inside, "decided")
         accepted = reps.join(decided.select(F.col("b").alias("id")), "id", "left_anti")
         keys = accepted.select(F.explode("keys").alias("key"), "id", "rank").withColumn("bucket", _bucket("key"))
-        keys.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/bands")
+        self._spread(keys, "key").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/bands")
         kept = accepted.select("id", "rank", "seqs").withColumn("bucket", _bucket("id"))
-        kept.repartition("bucket").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/records")
+        self._spread(kept, "id").write.mode("append").partitionBy("bucket").parquet(f"{self.path}/records")
         self.used = self.used or not accepted.isEmpty()
         out = members.join(decided.select(F.col("b").alias("rep"), "match"), "rep", "left")
         return out.where("match is not null or id != rep").select("id", F.coalesce("match", "rep").alias("match"))

@@ -12,7 +12,7 @@ m depends on the size, so records fall into size classes of ratio 1/t; a record
 own level and, as the larger partner, at the level below. Records with equal sets are joined once,
 through one representative; the pairs of copies are expanded at the end.
 
-Defined results: null texts count as empty; records whose gate text has fewer than `least`
+Defined results: null texts count as empty; records whose text has fewer than `least`
 sequences take no part; ties need no order as all pairs come out; an empty table gives no rows.
 """
 
@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm._common import cut, jaccard, mix, sequences, stored
+from skein.llm._common import cut, jaccard, led_sequences, mix, sequences, stored
 
 THRESHOLD, LEAST, RUN = 0.8, 10, 3
 
@@ -91,11 +91,11 @@ def signature_rows(sets: DataFrame, threshold: float) -> DataFrame:
 class Similar:
     """Record sets of a table, their classes of copies, and the similar pairs between classes."""
 
-    def __init__(self, df: DataFrame, id_col: str, text: Column, gate: Column | None = None, threshold: float = THRESHOLD, least: int = LEAST, run: int = RUN):
-        seqs = sequences(text, run)
-        pick = df.select(F.col(id_col).alias("id"), seqs.alias("seqs"), *([F.size(sequences(gate, run)).alias("gate")] if gate is not None else []))
-        enough = F.col("gate") if gate is not None else F.size("seqs")
-        sets = pick.where((enough >= least) & (F.size("seqs") > 0)).select("id", F.sort_array("seqs").alias("seqs"))
+    def __init__(self, df: DataFrame, id_col: str, text: Column, lead: Column | None = None, threshold: float = THRESHOLD, least: int = LEAST, run: int = RUN):
+        """A record is its text, or lead + space + text; the text alone must have `least` sequences."""
+        s = led_sequences(lead, text, run) if lead is not None else F.transform(F.array(sequences(text, run)), lambda x: F.struct(x.alias("own"), x.alias("every")))[0]
+        pick = df.select(F.col(id_col).alias("id"), s.alias("s"))
+        sets = pick.where((F.size("s.own") >= least) & (F.size("s.every") > 0)).select("id", F.sort_array("s.every").alias("seqs"))
         self.sets = stored(sets.withColumn("copy", F.xxhash64("seqs")), "sets")
         self.threshold = threshold
         self.classes = self.sets.groupBy("copy").agg(F.min("id").alias("class_id"), F.count("*").alias("copies"))

@@ -11,10 +11,6 @@ from skein.llm import canonical, history, markup, mojibake, neardup, neighbours,
 from skein.llm._common import table
 
 
-def _post_text():
-    return F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("raw_content", F.lit("")))
-
-
 def _fields(spark: SparkSession, sf: str) -> list[tuple[str, DataFrame, str, str]]:
     chunks, docs = table(spark, sf, "document_chunks"), table(spark, sf, "processed_documents")
     return [("content", docs, "document_id", "content"), ("chunk_text", chunks, "chunk_id", "chunk_text"), ("raw_text", chunks, "chunk_id", "raw_text")]
@@ -98,13 +94,13 @@ def p5_unmatched(spark: SparkSession, sf: str) -> DataFrame:
 
 def p6_found(spark: SparkSession, sf: str) -> DataFrame:
     """All pairs of similar posts, smaller ingest_seq first."""
-    similar = neardup.Similar(table(spark, sf, "raw_documents"), "ingest_seq", _post_text(), F.col("raw_content"))
+    similar = neardup.Similar(table(spark, sf, "raw_documents"), "ingest_seq", F.col("raw_content"), F.col("title"))
     return similar.all_pairs().select(F.col("a").alias("ingest_seq_a"), F.col("b").alias("ingest_seq_b"))
 
 
 def p6_groups(spark: SparkSession, sf: str) -> DataFrame:
     """Each post's class of copies, its group, and the links of its class."""
-    similar = neardup.Similar(table(spark, sf, "raw_documents"), "ingest_seq", _post_text(), F.col("raw_content"))
+    similar = neardup.Similar(table(spark, sf, "raw_documents"), "ingest_seq", F.col("raw_content"), F.col("title"))
     return neardup.groups(similar).withColumnRenamed("id", "ingest_seq")
 
 
