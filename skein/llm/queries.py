@@ -137,7 +137,8 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p1_wrappers, p2_found, p2_repeats, p3_found, p3_pieces, p4_found, p4_redacted, p5_found, p5_unmatched, p5_values, p6_found, p6_groups, p7_found, p7_neighbours, p8_ids, p9_containers, p10_found, p10_restored)}
 
-#: Splitting, signatures, merges and packing have no SQL form; their tests compare with brute force.
+#: Merges, packing, wrappers, extraction and labelling have no SQL form; their tests compare with brute force and round trips.
+#: Problem 7 in SQL is the exact search: at the size of the SQL check there is one part, which is searched whole.
 ORACLES: dict[str, str] = {
     "p3_found": r"""
         WITH items AS (
@@ -148,4 +149,21 @@ ORACLES: dict[str, str] = {
         WHERE length(t) > 4000
            OR len(list_filter(string_split_regex(t, '[\t-\r \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+'), lambda x: x <> '')) > 500
     """,
+    "p6_found": r"""
+        WITH w AS (
+            SELECT ingest_seq AS id, regexp_extract_all(lower(coalesce(raw_content, '')), '[\p{L}\p{N}]+') AS r,
+                   regexp_extract_all(lower(concat(coalesce(title, ''), ' ', coalesce(raw_content, ''))), '[\p{L}\p{N}]+') AS w FROM raw_documents),
+        s AS (
+            SELECT id, list_distinct(list_transform(range(1, len(w) - 1), lambda i: concat(w[i], ' ', w[i + 1], ' ', w[i + 2]))) AS s,
+                   len(list_distinct(list_transform(range(1, len(r) - 1), lambda i: concat(r[i], ' ', r[i + 1], ' ', r[i + 2])))) AS own FROM w WHERE len(r) >= 3),
+        e AS (SELECT id, len(s) AS n, unnest(s) AS x FROM s WHERE own >= 10),
+        p AS (SELECT a.id AS a, b.id AS b, count(*) AS k, any_value(a.n) AS na, any_value(b.n) AS nb FROM e a JOIN e b ON a.x = b.x AND a.id < b.id GROUP BY a.id, b.id)
+        SELECT a AS ingest_seq_a, b AS ingest_seq_b FROM p WHERE k / (na + nb - k) >= 0.8
+    """,
+    "p7_found": """
+        WITH v AS (SELECT id, CAST(query_embedding AS DOUBLE[]) AS v FROM query_logs WHERE query_embedding IS NOT NULL AND list_max(list_transform(query_embedding, lambda x: abs(x))) > 0),
+        s AS (SELECT a.id AS a, b.id AS b, list_cosine_similarity(a.v, b.v) AS c FROM v a JOIN v b ON a.id <> b.id),
+        r AS (SELECT *, row_number() OVER (PARTITION BY a ORDER BY c DESC, b) AS r FROM s)
+        SELECT DISTINCT least(a, b) AS id_a, greatest(a, b) AS id_b FROM r WHERE r <= 5
+    """,
 }
