@@ -207,11 +207,15 @@ def top_k(df: DataFrame, id_col: str, vector_col: str, k: int = K, part_rows: in
             asked += np.bincount(to.ravel(), minlength=len(home))
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(home), dtype=np.int32)), pa.array(home), pa.array(asked)], names=["part", "home", "asked"])
 
-    copies = pick.groupBy(F.xxhash64("v").alias("h")).agg(F.count("*").alias("n")).where(F.col("n") > k + 1).select("h")
+    # the same rows that Router.vectors keeps: copies of others have no neighbours and must not take the short cut
+    v = F.col("v").cast("array<float>")
+    finite = F.forall(v, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)))
+    usable = pick.where((F.size("v") == router.dim) & finite & F.exists(v, lambda x: x != 0))
+    copies = usable.groupBy(F.xxhash64("v").alias("h")).agg(F.count("*").alias("n")).where(F.col("n") > k + 1).select("h")
     hot = stored(copies, "copies")
     repeated = None
     if not hot.isEmpty():
-        named = pick.select("id", F.xxhash64("v").alias("h")).join(hot, "h")
+        named = usable.select("id", F.xxhash64("v").alias("h")).join(hot, "h")
         first = named.withColumn("r", F.row_number().over(Window.partitionBy("h").orderBy("id"))).where(F.col("r") <= k + 1)
         first = stored(first, "first-copies")
         rest = named.join(first.select("id"), "id", "left_anti")

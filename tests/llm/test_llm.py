@@ -208,6 +208,16 @@ def test_neighbours_recall_and_hard_rows(spark):
     assert rows(neighbours.top_k(df.where("id < 3"), "id", "v"), "id", "rank") == [(i, r) for i in range(3) for r in (1, 2)]
 
 
+def test_unusable_copies_have_no_neighbours(spark):
+    x = np.random.default_rng(6).standard_normal((300, 24)).astype(np.float32)
+    x[:9] = x[0]
+    bad = ([0.0] * 24, [1.0, 2.0], [float("nan")] + [1.0] * 23, [float("inf")] + [1.0] * 23, [None] + [1.0] * 23)
+    data = [(i, v.tolist()) for i, v in enumerate(x)] + [(1000 + 10 * b + i, v) for b, v in enumerate(bad) for i in range(9)]
+    got = rows(neighbours.top_k(spark.createDataFrame(data, "id long, v array<float>"), "id", "v"), "id", "other")
+    assert {a for g in got for a in g} == set(range(300)) and len(got) == 1500
+    assert [b for a, b in got if a == 8] == [0, 1, 2, 3, 4]
+
+
 def test_parts_are_balanced():
     rng = np.random.default_rng(4)
     x = rng.standard_normal((1000, 8)).astype(np.float32)
