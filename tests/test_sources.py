@@ -1,6 +1,7 @@
 """Sources, sinks, parsers, pipeline and streams."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -109,6 +110,21 @@ def test_pipeline_reasons(spark):
     assert sum(r.n for r in pipeline.report(out).collect()) == 7
 
 
+def test_pipeline_finds_near_duplicates_at_the_threshold(spark):
+    rng = random.Random(8)
+    rows = []
+    for g in range(40):
+        words = [f"w{rng.randrange(9000)}" for _ in range(100)]
+        # three changed words change nine of 98 runs: similarity 89 / 107
+        rows += [(2 * g, " ".join(words)), (2 * g + 1, " ".join("new" if i in (20, 50, 80) else w for i, w in enumerate(words)))]
+    near = lambda a, b: len(a & b) / len(a | b)
+    runs = [{tuple(t.split()[k : k + 3]) for k in range(98)} for _, t in rows]
+    assert all(0.8 <= near(runs[2 * g], runs[2 * g + 1]) < 0.84 for g in range(40))
+    df = spark.createDataFrame([(i, t, None, None) for i, t in rows], "ingest_seq long, content string, filter_step string, filter_reason string")
+    out = pipeline.deduplicator(df)
+    assert {r.ingest_seq for r in out.where("filter_reason = 'near_duplicate'").collect()} == {2 * g + 1 for g in range(40)}
+
+
 def test_pipeline_resumes(spark, tmp_path):
     c = sinks.Checkpoints(spark, f"{tmp_path}/ck")
     assert c.load_latest() is None
