@@ -260,9 +260,12 @@ def company_in_title(title: Column) -> Column:
 
 def longest_alias(text: Column, aliases: Column) -> Column:
     """Canonical name of the longest alias the text holds; aliases is array<struct<alias, canonical>> in order of precedence."""
-    low = F.lower(text)
-    hit = F.filter(aliases, lambda a: F.contains(low, F.lower(a["alias"])) & F.regexp(low, F.concat(F.lit(r"\b\Q"), F.lower(a["alias"]), F.lit(r"\E\b"))))
-    return F.get(F.transform(hit, lambda a: a["canonical"]), F.lit(0))
+
+    def first(low):
+        hit = F.filter(aliases, lambda a: F.contains(low, F.lower(a["alias"])) & F.regexp(low, F.concat(F.lit(r"\b\Q"), F.lower(a["alias"]), F.lit(r"\E\b"))))
+        return F.get(F.transform(hit, lambda a: a["canonical"]), F.lit(0))
+
+    return _bind(F.lower(text), first)
 
 
 #: Phrases before a role, tried in order.
@@ -315,6 +318,15 @@ def company_name(found: Column, aliases: Column) -> Column:
     return F.coalesce(known, F.initcap(F.trim(found)))
 
 
+def company(title: Column, content: Column, aliases: Column) -> Column:
+    """The company of a document: by the form of the title, else listed in title, first 500 characters or whole text, else by capitals; under its canonical name.
+
+    aliases is array<struct<alias, canonical>>, longest alias first.
+    """
+    listed = [longest_alias(t, aliases) for t in (title, F.substring(content, 1, 500), content)]
+    return F.coalesce(company_name(company_in_title(title), aliases), *listed, company_name(company_by_capitals(content), aliases))
+
+
 def safe_enum(value: Column, allowed: list[str]) -> Column:
     """The trimmed lower-cased value if it is allowed, else null."""
     v = F.lower(F.trim(value))

@@ -13,7 +13,7 @@ from skein.functions import text as T
 from skein.operators import dedup
 from skein.sources.sinks import Checkpoints
 
-Step = Callable[[DataFrame], DataFrame]
+Step = Callable[..., DataFrame]
 REGISTRY: dict[str, Step] = {}
 
 
@@ -73,12 +73,27 @@ def deduplicator(df: DataFrame) -> DataFrame:
     return out.drop("is_first", "duplicate_of")
 
 
+def listed(names: DataFrame, label: str, out: str) -> DataFrame:
+    """One row with the names of a list as aliases of themselves, longest first, checked to be small."""
+    one = names.where(F.col(label).isNotNull()).agg(F.array_sort(F.collect_list(F.struct((-F.length(label)).alias("l"), F.col(label).alias("alias"), F.col(label).alias("canonical")))).alias(out))
+    return one.where(F.size(out) <= 10_000)
+
+
+def with_company_and_role(df: DataFrame, companies: DataFrame | None = None, job_roles: DataFrame | None = None) -> DataFrame:
+    """Add company and role by all tiers; companies (name) and job_roles (title) are the lists, empty where none is given."""
+    none = F.array().cast("array<struct<alias:string,canonical:string>>")
+    out = df.withColumn("_companies", none) if companies is None else df.join(F.broadcast(listed(companies, "name", "_companies")), how="left")
+    out = out.withColumn("_roles", none) if job_roles is None else out.join(F.broadcast(listed(job_roles, "title", "_roles")), how="left")
+    out = out.withColumn("company", T.company(F.col("title"), F.col("content"), F.col("_companies")))
+    return out.withColumn("role", T.role(F.col("title"), F.col("content"), F.col("_roles"))).drop("_companies", "_roles")
+
+
 @step("entity_extractor")
-def entity_extractor(df: DataFrame) -> DataFrame:
-    """Company, level, types, rounds, topics, outcome and difficulty; never rejects."""
+def entity_extractor(df: DataFrame, companies: DataFrame | None = None, job_roles: DataFrame | None = None) -> DataFrame:
+    """Company, role, level, types, rounds, topics, outcome and difficulty; never rejects."""
     both = F.concat_ws(" ", "title", "content")
     text = F.col("content")
-    out = df.withColumn("company", T.company_in_title(F.col("title")))
+    out = with_company_and_role(df, companies, job_roles)
     out = out.withColumn("experience_level", T.first_match(both, P.LEVELS)).withColumn("interview_types", T.all_matches(text, P.INTERVIEW_TYPES, "unknown"))
     out = out.withColumn("num_rounds", T.num_rounds(text)).withColumn("topics", F.sort_array(T.all_matches(text, P.TOPICS)))
     return out.withColumn("interview_outcome", T.outcome(text)).withColumn("difficulty", T.first_match(text, P.DIFFICULTY))
@@ -105,13 +120,15 @@ class Pipeline:
     """Steps by name; a checkpoint after each named in `checkpoint_after` lets a run resume.
 
     After the steps in `materialise_after` the rows are written to the shared folder and read back, so
-    later steps that use the clean text several times do not clean it again.
+    later steps that use the clean text several times do not clean it again. `options` has further
+    arguments of a step by its name.
     """
 
     steps: list[str] = field(default_factory=lambda: list(ORDER))
     disabled: set[str] = field(default_factory=set)
     checkpoint_after: set[str] = field(default_factory=set)
     materialise_after: set[str] = field(default_factory=lambda: {"content_normalizer", "pii_remover", "quality_filter"})
+    options: dict[str, dict] = field(default_factory=dict)
 
     def plan(self, df: DataFrame) -> DataFrame:
         """All steps over the raw documents; one plan but for the iteration inside deduplication."""
@@ -125,7 +142,7 @@ class Pipeline:
         if resume and checkpoints and (last := checkpoints.load_latest()):
             start, current = last[0] + 1, last[2]
         for i, name in enumerate(names[start:], start):
-            current = REGISTRY[name](current)
+            current = REGISTRY[name](current, **self.options.get(name, {}))
             if checkpoints and name in self.checkpoint_after:
                 current = checkpoints.save(i, name, current)
             elif name in self.materialise_after:

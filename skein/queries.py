@@ -222,17 +222,9 @@ def longest_alias(spark, sf):
 
 @query()
 def roles_and_companies(spark, sf):
-    """Role by title, phrase or text; company by title, list or capitals, under its canonical name. The lists are one row each, checked to be small."""
-
-    def listed(name, label):
-        d = load(spark, sf, name).where(F.col(label).isNotNull())
-        one = d.agg(F.array_sort(F.collect_list(F.struct((-F.length(label)).alias("l"), F.col(label).alias("alias"), F.col(label).alias("canonical")))).alias(name))
-        return one.where(F.size(name) <= 10_000)
-
+    """Role by title, phrase or text; company by title, list (title, beginning, whole text) or capitals, under its canonical name. The lists are one row each, checked to be small."""
     d = R.spread(load(spark, sf, "processed_documents").select("document_id", "title", "content"))
-    d = d.join(F.broadcast(listed("companies", "name")), how="left").join(F.broadcast(listed("job_roles", "title")), how="left")
-    company = F.coalesce(T.company_in_title(F.col("title")), T.longest_alias(F.col("title"), F.col("companies")), T.longest_alias(F.substring("content", 1, 500), F.col("companies")), T.company_by_capitals(F.col("content")))
-    return d.select("document_id", T.role(F.col("title"), F.col("content"), F.col("job_roles")).alias("role"), T.company_name(company, F.col("companies")).alias("company"))
+    return pipeline.with_company_and_role(d, load(spark, sf, "companies"), load(spark, sf, "job_roles")).select("document_id", "role", "company")
 
 
 @query(f"SELECT document_id, {', '.join(f'CASE WHEN lower(trim({c})) IN {_list(v)} THEN lower(trim({c})) END AS {c}' for c, v in P.ENUMS.items() if c != 'interview_types')}, coalesce(document_id, '') <> '' AND trim(coalesce(title, '')) <> '' AND trim(coalesce(content, '')) <> '' AND trim(coalesce(company, '')) <> '' AND trim(coalesce(role, '')) <> '' AS complete FROM processed_documents")
@@ -853,8 +845,9 @@ def pipeline_report(spark, sf):
 @query()
 def pipeline_documents(spark, sf):
     """The processed documents that come out of the pipeline."""
-    out = pipeline.kept(pipeline.Pipeline().plan(R.spread(load(spark, sf, "raw_documents"))))
-    return out.select("document_id", "source_platform", "source_url", "content_hash", "title", "content", "word_count", "company", "experience_level", "interview_outcome", "difficulty", "num_rounds", F.array_join("topics", ",").alias("topics"), "quality_score")
+    lists = {"companies": load(spark, sf, "companies"), "job_roles": load(spark, sf, "job_roles")}
+    out = pipeline.kept(pipeline.Pipeline(options={"entity_extractor": lists}).plan(R.spread(load(spark, sf, "raw_documents"))))
+    return out.select("document_id", "source_platform", "source_url", "content_hash", "title", "content", "word_count", "company", "role", "experience_level", "interview_outcome", "difficulty", "num_rounds", F.array_join("topics", ",").alias("topics"), "quality_score")
 
 
 @query("SELECT date_trunc('hour', ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL")

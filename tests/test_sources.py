@@ -125,6 +125,19 @@ def test_pipeline_finds_near_duplicates_at_the_threshold(spark):
     assert {r.ingest_seq for r in out.where("filter_reason = 'near_duplicate'").collect()} == {2 * g + 1 for g in range(40)}
 
 
+def test_entities_by_every_tier(spark):
+    late = "we talked about graphs and trees " * 30
+    rows = [(1, "My day", "then I met Zeta Labs staff. " + late + "and so I joined acme corp as sde."), (2, "Acme Corp and me", "nothing"), (3, "Bolt Interview Experience", "applied for sde 2 at acme corp"), (4, "My day", "then I met Zeta Labs staff."), (5, "My day", "nothing")]
+    df = spark.createDataFrame(rows, "id int, title string, content string")
+    companies = spark.createDataFrame([("Acme Corp",), ("Acme",), (None,)], "name string")
+    roles = spark.createDataFrame([("SDE",)], "title string")
+    out = pipeline.Pipeline(steps=["entity_extractor"], options={"entity_extractor": {"companies": companies, "job_roles": roles}}).plan(df)
+    got = {r.id: (r.company, r.role) for r in out.collect()}
+    assert got == {1: ("Acme Corp", "SDE"), 2: ("Acme Corp", None), 3: ("Bolt", "SDE 2"), 4: ("Zeta Labs", None), 5: (None, None)}
+    plain = {r.id: (r.company, r.role) for r in pipeline.entity_extractor(df).collect()}
+    assert plain[1] == plain[4] == ("Zeta Labs", None) and plain[3] == ("Bolt", None)
+
+
 def test_pipeline_resumes(spark, tmp_path):
     c = sinks.Checkpoints(spark, f"{tmp_path}/ck")
     assert c.load_latest() is None
