@@ -133,6 +133,11 @@ def normalise(text: Column, source: Column) -> Column:
     return squeeze(strip_emoji(strip_boilerplate(strip_markdown(t), platform(source))))
 
 
+def clean_title(title: Column) -> Column:
+    """A title decoded, with plain quotes and single blanks, without emoji."""
+    return squeeze(strip_emoji(straight_quotes(readable(F.coalesce(title, F.lit(""))))))
+
+
 def redact(text: Column, rules=P.REDACTION) -> Column:
     """Typed placeholders for everything that a rule matches, in order."""
     return replace_all(text, [(p, f"[{t.upper()}]") for t, p in rules])

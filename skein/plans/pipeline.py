@@ -39,7 +39,7 @@ def content_normalizer(df: DataFrame) -> DataFrame:
     """Clean text, title and word count; empty inputs and results below 20 characters are rejected."""
     blank = ~F.coalesce(F.col("raw_content").rlike(r"\S"), F.lit(False))
     out = df.withColumn("content", T.normalise(F.coalesce("raw_content", F.lit("")), F.col("source_platform")))
-    out = out.withColumn("title", T.squeeze(T.strip_emoji(T.straight_quotes(T.readable(F.coalesce("title", F.lit("")))))))
+    out = out.withColumn("title", T.clean_title(F.col("title")))
     out = out.withColumn("word_count", T.word_count(F.col("content"))).withColumn("source_platform", T.platform(F.col("source_platform")))
     return reject(out, "content_normalizer", F.when(blank, "empty_raw_content").when(F.length("content") < 20, "empty_after_cleaning"))
 

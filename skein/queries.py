@@ -115,12 +115,25 @@ def markdown_strip(spark, sf):
     return d.select("ingest_seq", T.replace_all(F.replace("raw_content", F.lit("\r"), F.lit("")), rules).alias("plain"))
 
 
+@query()
+def markdown_plain(spark, sf):
+    """All Markdown rules (back references, code blocks, quotes: no SQL form); `markdown_strip` has those that SQL can express."""
+    d = R.spread(load(spark, sf, "raw_documents").where("raw_content is not null"))
+    return d.select("ingest_seq", T.strip_markdown(F.replace("raw_content", F.lit("\r"), F.lit(""))).alias("plain"))
+
+
 @query(r"SELECT ingest_seq, trim(regexp_replace(regexp_replace(coalesce(title, ''), '[ \t\n\r\f]+', ' ', 'g'), '[\x{1F300}-\x{1F5FF}\x{1F600}-\x{1F64F}\x{1F680}-\x{1F6FF}]+', '', 'g')) AS title FROM raw_documents")
 def title_clean(spark, sf):
     t = F.regexp_replace(F.coalesce("title", F.lit("")), T.BLANK, " ")
     return load(spark, sf, "raw_documents").select("ingest_seq", F.trim(F.regexp_replace(t, r"[\x{1F300}-\x{1F5FF}\x{1F600}-\x{1F64F}\x{1F680}-\x{1F6FF}]+", "")).alias("title"))
 
 
+@query()
+def titles_normalised(spark, sf):
+    """Decoding, plain quotes and every emoji range, as in the pipeline (no SQL form); `title_clean` has three ranges."""
+    return R.spread(load(spark, sf, "raw_documents").select("ingest_seq", "title")).select("ingest_seq", T.clean_title(F.col("title")).alias("title"))
+
+
 @query()
 def content_normalised(spark, sf):
     """The whole normaliser (entities, HTML, NFC: no SQL form)."""
@@ -149,12 +162,21 @@ def pii_rules_queries(spark, sf):
     return both.select("id", *[F.coalesce(F.try_element_at("r.counts", F.lit(k)), F.lit(0)).cast("bigint").alias(f"n_{k}") for k in kinds], F.col("r.text").alias("redacted"))
 
 
+def _redacted(d: DataFrame, key: str, text: str) -> DataFrame:
+    both = d.select(key, T.redact_and_count(F.col(text)).alias("r"))
+    return both.select(key, F.to_json("r.counts").alias("pii_counts"), F.col("r.text").alias("redacted"))
+
+
+@query()
+def pii_all_rules_queries(spark, sf):
+    """All fixed rules, lookaround included, over every query text; `pii_rules_queries` has those that SQL can express."""
+    return _redacted(R.spread(load(spark, sf, "query_logs").where("query_text is not null").select("id", "query_text")), "id", "query_text")
+
+
 @query()
 def pii_rules_documents(spark, sf):
     """All fixed rules, lookaround included, over whole documents."""
-    d = R.spread(load(spark, sf, "raw_documents").where("raw_content is not null").select("ingest_seq", "raw_content"))
-    both = d.select("ingest_seq", T.redact_and_count(F.col("raw_content")).alias("r"))
-    return both.select("ingest_seq", F.to_json("r.counts").alias("pii_counts"), F.col("r.text").alias("redacted"))
+    return _redacted(R.spread(load(spark, sf, "raw_documents").where("raw_content is not null").select("ingest_seq", "raw_content")), "ingest_seq", "raw_content")
 
 
 def _sql_any(col: str, words: list[str]) -> str:
@@ -830,6 +852,13 @@ def paywall_signs(spark, sf):
     return d.select("ingest_seq", parsers.paywall(F.col("raw_content")).alias("reason")).where("reason is null or reason != 'paywall_class'")
 
 
+@query()
+def paywall_pages(spark, sf):
+    """The first sign of a paywall on every page, the class of an element included; `paywall_signs` leaves pages with that sign out."""
+    d = load(spark, sf, "raw_documents").where("raw_content is not null")
+    return d.select("ingest_seq", parsers.paywall(F.col("raw_content")).alias("reason"))
+
+
 @query("SELECT regexp_extract(source_url, '^https?://([^/?#]+)', 1) AS host, count(*) AS n, count(DISTINCT source_url) AS n_urls, min(scrape_batch_id) AS first_batch FROM raw_documents GROUP BY ALL")
 def url_report(spark, sf):
     d = load(spark, sf, "raw_documents")
