@@ -38,20 +38,28 @@ def exact_duplicates(df: DataFrame, id_col: str, text: str, history: DataFrame |
     return out.select("id", "content_hash", "first_id", F.coalesce(F.col("id") == F.col("first_id"), F.lit(False)).alias("is_first"))
 
 
-def near_pairs(df: DataFrame, id_col: str, text: str, threshold: float = THRESHOLD, verify: bool = True, bands: int | None = None, rows: int | None = None, least: int = LEAST) -> DataFrame:
-    """(a, b, similarity) of rows that share a band, a before b; verified by exact similarity unless `verify` is off.
+def shingle_sets(df: DataFrame, id_col: str, text: str, least: int = LEAST) -> DataFrame:
+    """(id, shingles, copy) of the rows with enough sequences; equal sets have the same copy."""
+    base = with_shingles(df.select(F.col(id_col).alias("id"), F.col(text).alias("_t")), "_t").where(F.size("shingles") >= least).select("id", F.sort_array("shingles").alias("shingles"))
+    return cut(base.withColumn("copy", F.xxhash64("shingles")))
+
+
+def near_pairs(df: DataFrame, id_col: str, text: str, least: int = LEAST, **options) -> DataFrame:
+    """(a, b, similarity) of rows that share a band, a before b; see `set_pairs`."""
+    return set_pairs(shingle_sets(df, id_col, text, least), **options)
 
-    With the default layout a pair at similarity 0.8 is lost with probability 3e-6 where it is verified.
 
-    Equal sets are compared once, through their first row; all pairs with and between copies follow from it.
+def set_pairs(sets: DataFrame, threshold: float = THRESHOLD, verify: bool = True, bands: int | None = None, rows: int | None = None) -> DataFrame:
+    """(a, b, similarity) of sets that share a band, a before b; verified by exact similarity unless `verify` is off.
+
+    With the default layout a pair at similarity 0.8 is lost with probability 3e-6 where it is verified.
+    Equal sets are compared once, through their first row; all pairs with and between copies follow from it,
+    and `near_duplicates` lets the copies follow their first row.
     """
     layout = (BANDS, ROWS) if verify else LOOSE
     bands, rows = bands or layout[0], rows or layout[1]
-    base = with_shingles(df.select(F.col(id_col).alias("id"), F.col(text).alias("_t")), "_t").where(F.size("shingles") >= least).select("id", F.sort_array("shingles").alias("shingles"))
-    base = base.withColumn("copy", F.xxhash64("shingles"))
-    first = base.groupBy("copy").agg(F.min("id").alias("id"))
-    reps = base.join(first, ["copy", "id"], "left_semi")
-    reps = cut(reps.select("id", "shingles"))
+    first = sets.groupBy("copy").agg(F.min("id").alias("id"))
+    reps = cut(sets.join(first, ["copy", "id"], "left_semi").select("id", "shingles"))
     keys = with_keys(reps, "shingles", bands, rows).select("id", F.explode("keys").alias("key"))
     pairs = keys.select("key", F.col("id").alias("a")).join(keys.select("key", F.col("id").alias("b")), "key").where("a < b").select("a", "b").distinct()
     both = pairs.join(reps.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a").join(reps.select(F.col("id").alias("b"), F.col("shingles").alias("sb")), "b")
@@ -87,12 +95,17 @@ def greedy(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     return nodes.join(match.withColumnRenamed("b", "id"), "id", "left").select("id", "duplicate_of")
 
 
-def near_duplicates(df: DataFrame, id_col: str, text: str, **options) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str, text: str, least: int = LEAST, **options) -> DataFrame:
     """(id, duplicate_of) of every row: exact copies first, then greedy near-duplicates among the first rows."""
     exact = exact_duplicates(df, id_col, text)
     firsts = exact.where("is_first").select("id")
     kept = df.join(firsts.withColumnRenamed("id", id_col), id_col, "left_semi")
-    near = greedy(firsts, cut(near_pairs(kept, id_col, text, **options)))
+    sets = shingle_sets(kept, id_col, text, least)
+    near = greedy(firsts, cut(set_pairs(sets, **options)))
+    # a row with the set of an earlier one resembles just what that one resembles, and that one itself
+    members = sets.select("id", "copy").join(sets.groupBy("copy").agg(F.min("id").alias("rep")), "copy").where("id != rep").select("id", "rep")
+    follow = members.join(near.select(F.col("id").alias("rep"), F.coalesce("duplicate_of", "id").alias("of_rep")), "rep").select("id", "of_rep")
+    near = near.join(follow, "id", "left").select("id", F.coalesce("of_rep", "duplicate_of").alias("duplicate_of"))
     of = near.withColumnRenamed("id", "first_id")
     out = exact.join(of, "first_id", "left")
     return out.select("id", F.when(F.col("is_first"), F.col("duplicate_of")).otherwise(F.coalesce("duplicate_of", "first_id")).alias("duplicate_of"))

@@ -90,6 +90,14 @@ def test_greedy_against_brute_force(spark):
     assert got == brute_greedy(data)
 
 
+def test_copies_of_a_set_follow_its_first_row(spark):
+    block, other = [f"w{i}" for i in range(30)], [f"v{i}" for i in range(30)]
+    texts = [" ".join(block * 2), " ".join(block * 3), "x " + " ".join(other * 2), " ".join(other * 2), " ".join(other * 3), " ".join(other * 3).upper()]
+    data = list(enumerate(texts))
+    got = dict(rows(dedup.near_duplicates(spark.createDataFrame(data, "id long, body string"), "id", "body")))
+    assert got == brute_greedy(data) == {0: None, 1: 0, 2: None, 3: 2, 4: 2, 5: 2}
+
+
 def test_dedup_of_nothing(spark):
     df = spark.createDataFrame([(1, None)], "id long, body string")
     assert rows(dedup.near_duplicates(df, "id", "body")) == []
