@@ -3,8 +3,9 @@
 Every text gets a hashed vector (a signed random projection of its distinct token ids), which is
 projected to a few dimensions, scaled to integers and ordered by its Hilbert key. Rows are
 range-partitioned by that key, so neighbours on the curve meet in one task, and each task packs
-its stretch of the curve by best-fit decreasing inside windows; containers still open at the end
-of a window stay open for the next one.
+its stretch of the curve by best-fit decreasing inside windows. A container that is still open at
+the end of its window stays open for the next window only: what a container holds lies within two
+windows of the curve.
 
 Defined results: null and empty texts are items of size 0 and still get a container; an item above
 the capacity is split into full pieces and a rest, the only items that are split; equal keys are
@@ -24,16 +25,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm._common import mix, spread
+from skein.llm._common import mix, spread, stored
 from skein.llm.tokens import VOCABULARY, encoder
 
 CAPACITY = 2048
 #: Dimensions of the projection and bits of each: the key has their product in bits.
 DIMENSIONS, BITS = 4, 12
-#: Items that are packed together; open containers pass from one window to the next.
-WINDOW = 8192
-#: Items a packing task should get. The number of tasks follows the number of rows.
-ITEMS_PER_TASK = 500_000
+#: Items that are packed together; open containers pass to the next window and no further.
+WINDOW = 1024
 
 
 @lru_cache(maxsize=2)
@@ -84,31 +83,45 @@ def curve_keys(ids: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return hilbert(grid.astype(np.int64))
 
 
-def pack(sizes: np.ndarray, capacity: int, window: int = WINDOW) -> np.ndarray:
-    """Container number of each item: best-fit decreasing inside windows, with open containers carried over."""
-    out = np.zeros(len(sizes), dtype=np.int64)
-    free: list[tuple[int, int]] = []  # (room, container), sorted
-    made = 0
-    for at in range(0, len(sizes), window):
-        part = sizes[at : at + window]
-        for k in np.argsort(-part, kind="stable"):
-            need = int(part[k])
-            if need >= capacity:
-                out[at + k] = made
-                made += 1
-                continue
-            i = bisect_left(free, (need, -1))
-            if i == len(free):
-                room, box = capacity, made
-                made += 1
+class Packer:
+    """Best-fit decreasing inside windows of a stream; open containers pass to the next window only."""
+
+    def __init__(self, capacity: int):
+        self.capacity, self.made, self.before = capacity, 0, 0
+        self.free: list[tuple[int, int]] = []  # (room, container), sorted
+
+    def window(self, sizes: np.ndarray) -> np.ndarray:
+        """Container number of each item of one window."""
+        out = np.zeros(len(sizes), dtype=np.int64)
+        self.free, self.before = [f for f in self.free if f[1] >= self.before], self.made
+        for k in np.argsort(-sizes, kind="stable"):
+            need = int(sizes[k])
+            i = bisect_left(self.free, (need, -1)) if need < self.capacity else len(self.free)
+            if i == len(self.free):
+                room, box = self.capacity, self.made
+                self.made += 1
             else:
-                room, box = free.pop(i)
-            out[at + k] = box
-            if room > need:
-                insort(free, (room - need, box))
-            elif need == 0:
-                insort(free, (room, box))
-    return out
+                room, box = self.free.pop(i)
+            out[k] = box
+            if room > need or need == 0:
+                insort(self.free, (room - need, box))
+        return out
+
+    def take(self, sizes: np.ndarray, window: int = WINDOW) -> np.ndarray:
+        return np.concatenate([self.window(sizes[at : at + window]) for at in range(0, len(sizes), window)] or [np.zeros(0, np.int64)])
+
+
+def pack(sizes: np.ndarray, capacity: int, window: int = WINDOW) -> np.ndarray:
+    """Container number of each item, in order of the curve."""
+    return Packer(capacity).take(sizes, window)
+
+
+def spans(keys: np.ndarray, boxes: np.ndarray) -> np.ndarray:
+    """Distance on the curve between the first and the last item of each container with more than one item."""
+    order = np.lexsort((keys, boxes))
+    k, first = keys[order], np.flatnonzero(np.append(True, np.diff(boxes[order]) != 0))
+    last = np.append(first[1:], len(k)) - 1
+    return (k[last] - k[first])[last > first]
 
 
 def pack_documents(df: DataFrame, id_col: str, text_col: str, capacity: int = CAPACITY, path: str = VOCABULARY) -> DataFrame:
@@ -130,17 +143,14 @@ def pack_documents(df: DataFrame, id_col: str, text_col: str, capacity: int = CA
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 40
-        got = [b for b in batches if b.num_rows]
-        if not got:
-            return
-        whole = pa.Table.from_batches(got)
-        boxes = pack(whole.column(2).to_numpy(), capacity) + task
-        whole = whole.select([0, 1, 2]).append_column("container_id", pa.array(boxes))
-        yield from whole.to_batches()
+        packer = Packer(capacity)
+        for batch in batches:
+            boxes = packer.take(batch.column(2).to_numpy())
+            yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in range(3)), pa.array(boxes + task)], names=["id", "piece", "n_tokens", "container_id"])
 
     pick = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = pick.schema[0].dataType.simpleString()
-    items = spread(pick).mapInArrow(measure, f"id {kind}, piece int, n_tokens int, curve_key bigint")
-    tasks = max(1, -(-df.count() // ITEMS_PER_TASK))
-    ordered = items.repartitionByRange(tasks, "curve_key", "id", "piece").sortWithinPartitions("curve_key", "id", "piece")
+    # written once: the range bounds are sampled from it, and the texts are not encoded again for that
+    items = stored(spread(pick).mapInArrow(measure, f"id {kind}, piece int, n_tokens int, curve_key bigint"), "items")
+    ordered = items.repartitionByRange("curve_key", "id", "piece").sortWithinPartitions("curve_key", "id", "piece")
     return ordered.mapInArrow(fill, f"id {kind}, piece int, n_tokens int, container_id bigint").withColumnRenamed("id", id_col)

@@ -2,7 +2,8 @@
 
 A text is read as a tree: sections by heading level, blocks (paragraph, list, fenced code), lines
 or list items, sentences, clauses, words. Sibling subtrees are merged in order up to the limit, and
-only a node that exceeds the limit is opened. Pieces are verbatim spans, their bodies joined give
+only a node that exceeds the limit is opened. What is left of an opened node is not joined with the
+node's own siblings: a piece lies inside one parent. Pieces are verbatim spans, their bodies joined give
 the text again; every piece but the first also repeats up to `overlap` words before its body,
 starting at a sentence where one starts there, and the repeated part counts towards both limits.
 
@@ -17,7 +18,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -96,8 +97,8 @@ def tree(text: str) -> Node:
         elif not line.strip():
             top = path[-1][1].children
             if block is not None:
-                block.children.append(Node(a, b, "line"))
-                block.end, block = b, None
+                block.children[-1].end = block.end = b
+                block = None
             elif top and not top[-1].children:
                 top[-1].end = b
             else:
@@ -157,6 +158,19 @@ class Splitter:
         self.words, self.chars, self.overlap, self.overlap_chars = words - overlap, chars - overlap_chars, overlap, overlap_chars
         self.limits = words, chars
 
+    @staticmethod
+    def headed(text: str, node: Node, inner: list[Node], fits: Callable[[int, int], bool]) -> list[Node]:
+        """The parts of a node; the heading of a section goes with the first part of what it heads, also where that is opened."""
+        if node.kind != "section" or len(inner) < 2 or inner[0].children or fits(inner[0].start, inner[1].end):
+            return inner
+
+        def attach(first: Node) -> Node:
+            at = inner[0].start
+            below = [] if fits(at, first.end) else parts(text, first)
+            return Node(at, first.end, first.kind, [attach(below[0]), *below[1:]] if below else [])
+
+        return [attach(inner[1]), *inner[2:]]
+
     def split(self, text: str) -> list[tuple[int, int, int]]:
         """(start with overlap, start of the body, end) of every piece."""
         found = [m.span() for m in _WORD.finditer(text)]
@@ -171,28 +185,32 @@ class Splitter:
         if len(text) <= self.limits[1] and len(starts) <= self.limits[0]:
             return [(0, 0, len(text))]
         bodies: list[list[int]] = []
+        owner: Node | None = None  # the parent whose whole children the last body is made of
 
-        def add(a: int, b: int, whole: bool) -> None:
-            """Merge with the piece before where both fit, else begin a new piece."""
-            if bodies and whole and fits(bodies[-1][0], b):
+        def add(a: int, b: int, parent: Node) -> None:
+            """Merge with the sibling before where both fit, else begin a new piece."""
+            nonlocal owner
+            if bodies and owner is parent and fits(bodies[-1][0], b):
                 bodies[-1][1] = b
             elif a < b:
                 bodies.append([a, b])
+            owner = parent
 
-        stack = [tree(text)]
+        root = tree(text)
+        stack = [(root, root)]
         while stack:
-            node = stack.pop()
+            node, parent = stack.pop()
             if fits(node.start, node.end):
-                add(node.start, node.end, True)
-            elif inner := parts(text, node):
-                stack += reversed(inner)
+                add(node.start, node.end, parent)
+            elif inner := self.headed(text, node, parts(text, node), fits):
+                stack += [(n, node) for n in reversed(inner)]
             else:
                 a = node.start
                 while a < node.end:
                     b = min(node.end, a + self.chars)
                     while a + 1 < b < node.end and unicodedata.combining(text[b]):
                         b -= 1
-                    add(a, b, True)
+                    add(a, b, node)
                     a = b
         sentence = {m.end() for m in _SENTENCE.finditer(text)} | {m.end() for m in _LINE.finditer(text)}
         out = [(bodies[0][0], *bodies[0])]

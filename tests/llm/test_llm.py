@@ -74,6 +74,19 @@ def test_pack_never_overfills():
     assert len(packing.pack(np.zeros(0, np.int64), 2048)) == 0
 
 
+def test_containers_hold_neighbours_on_the_curve():
+    """What a container holds lies within two windows, and far closer than in a random order."""
+    rng = np.random.default_rng(1)
+    sizes, keys = rng.integers(1, 600, 40_000), np.sort(rng.integers(0, 1 << 48, 40_000))
+    boxes = packing.pack(sizes, 2048)
+    place = np.arange(len(sizes))
+    assert packing.spans(place, boxes).max() < 2 * packing.WINDOW
+    shuffled = rng.permutation(len(sizes))
+    random_boxes = packing.pack(sizes[shuffled], 2048)
+    assert packing.spans(keys, boxes).mean() * 10 < packing.spans(keys[shuffled], random_boxes).mean()
+    assert sizes.sum() / 2048 / len(np.unique(boxes)) > 0.99
+
+
 # ---- splitting -----------------------------------------------------------------------------------------------------
 
 
@@ -98,6 +111,16 @@ def test_pieces_begin_at_headings():
         splitting.Splitter(words=10, overlap=10)
 
 
+def test_pieces_stay_inside_one_parent():
+    big = " ".join(f"Sentence {i} has some words in it." for i in range(130))
+    text = f"## A\n\n{big}\n\n## B\n\nShort b.\n\n## C\n\nShort c.\n"
+    s = splitting.Splitter()
+    pieces = [text[a:b] for _, a, b in s.split(text)]
+    assert pieces[0].startswith("## A\n\nSentence 0") and len(pieces) == 4
+    assert pieces[2].startswith("Sentence") and "##" not in pieces[2]  # the rest of A is not joined with its uncle
+    assert pieces[3] == "## B\n\nShort b.\n\n## C\n\nShort c.\n"  # siblings are
+
+
 def test_split_items(spark):
     df = spark.createDataFrame([("a", "short", 1), ("b", LONG, 2), ("c", None, 3), ("d", "", 4), ("b2", "x" * 4001, 5)], "id string, t string, piece int")
     got = splitting.split_items(df, "id", "t").toPandas()
