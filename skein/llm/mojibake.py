@@ -8,7 +8,8 @@ labels every character; each labelled span gets its state's inverse. Texts that
 are labelled again until nothing changes.
 
 The bigram model counts all texts of the corpus, but only lines without a sequence that some pair
-could have made from UTF-8; its table is bounded by the square of the number of character classes.
+could have made from UTF-8. Pairs of classes rarer than one in MOST_PAIRS take the back-off, so its
+table has MOST_PAIRS rows at most.
 
 Defined results: null and empty texts are never affected; a text in a single script that no pair
 can explain is left as it is; spans that cannot be restored (replacement characters, lost bytes)
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm._common import spread
+from skein.llm._common import spread, stored
 
 #: True encoding and the encoding it was read with.
 PAIRS = (
@@ -37,6 +38,10 @@ PAIRS = (
 #: Log costs: entering or leaving a garbled state (more inside a word), a character without inverse, the least gain
 #: of a character, and reading well-formed UTF-8 as double bytes.
 SWITCH, INSIDE, IMPOSSIBLE, LEAST_GAIN, WELL_FORMED = 3.5, 4.0, -14.0, 1.0, 12.0
+#: Characters, with padding, that are labelled in one array: bounds the memory of a group of texts.
+CELLS = 200_000
+#: A pair of classes rarer than one in so many is left to the back-off; this bounds the model.
+MOST_PAIRS = 32_000_000
 CLASS_END = 0x3000
 #: Classes: code points below CLASS_END folded to lower case, then blocks, private use, replacement.
 OTHERS = 8
@@ -259,6 +264,15 @@ def count_pairs(texts: list[str]) -> np.ndarray:
     return (cls[:-1] * n_classes() + cls[1:])[use]
 
 
+@lru_cache(maxsize=50_000)
+def inverted(span: str, pair: int) -> str:
+    """A span after the inverse transform of a pair; characters without inverse stay. Short spans repeat, so they are kept."""
+    points = code_points(span)
+    decoded, length = inverse(points, PAIRS[pair])
+    start = np.flatnonzero(length)
+    return "".join(map(chr, np.where(decoded[start] >= 0, decoded[start], points[start]).tolist()))
+
+
 class Labeller:
     """Viterbi over clean, pair and replacement states, for many texts at once."""
 
@@ -296,45 +310,71 @@ class Labeller:
         """For each text its code points and states, or None where all are clean (state 0).
 
         Only candidates and their neighbours are scored: elsewhere all states emit alike, or no pair
-        can have made the character.
+        can have made the character. They form islands, which repeat (as the words of a language do):
+        each different island is scored once.
         """
-        cp = code_points("\n".join(texts) + "\n" if texts else "")
+        joined = "\n".join(texts) + "\n" if texts else ""
+        cp = code_points(joined)
         size = np.array([len(t) + 1 for t in texts], dtype=np.int64)
+        ends = np.cumsum(size)
         odd, keep = candidates()[cp], near_candidates(cp)
-        at = np.flatnonzero(keep)
+        keep[ends - 1] = False  # no island reaches from one text into the next
         out: list[tuple[np.ndarray, np.ndarray] | None] = [None] * len(texts)
-        if not len(at):
+        edge = np.flatnonzero(np.diff(keep.astype(np.int8), prepend=0, append=0))
+        if not len(edge):
             return out
-        gains = self.emissions(cp[at])
-        ends = np.cumsum(size)
-        doc = np.searchsorted(ends, at, side="right")
-        live = np.unique(doc[(gains > LEAST_GAIN).any(axis=0)])
+        begin, end = edge[::2], edge[1::2]
+        number: dict[str, int] = {}
+        which = np.array([number.setdefault(joined[x:y], len(number)) for x, y in zip(begin.tolist(), end.tolist())], dtype=np.int64)
+        first = np.append(0, np.cumsum([len(i) + 1 for i in number]))
+        gains = self.emissions(code_points("\n".join(number) + "\n"))
+        hit = np.logical_or.reduceat((gains > LEAST_GAIN).any(axis=0), first[:-1])
         moves = (gains != 0).any(axis=0)
-        first, last = np.searchsorted(doc, live), np.searchsorted(doc, live, side="right")
-        letter = cyrillic(cp[at])
-        spans = [np.flatnonzero(moves[a:b]) + a for a, b in zip(first, last)]
-        order = sorted(range(len(live)), key=lambda k: len(spans[k]))
-        for a in range(0, len(order), 32):
-            some = order[a : a + 32]
-            inside = [np.append(False, (np.diff(at[spans[k]]) == 1) & letter[spans[k]][1:] & letter[spans[k]][:-1]) for k in some]
-            for k, path in zip(some, self.viterbi([gains[:, spans[k]] for k in some], inside)):
-                d = int(live[k])
+        doc = np.searchsorted(ends, begin, side="right")
+        live = np.zeros(len(texts), dtype=bool)
+        live[doc[hit[which]]] = True
+        mine = np.flatnonzero(live[doc])
+        long = end[mine] - begin[mine]
+        inner = np.arange(int(long.sum())) - np.repeat(np.cumsum(long) - long, long)
+        at, col = np.repeat(begin[mine], long) + inner, np.repeat(first[which[mine]], long) + inner
+        of = np.repeat(doc[mine], long)
+        at, col, of = at[moves[col]], col[moves[col]], of[moves[col]]
+        spans = []  # (length, document, first, after the last, states) of the texts in which some state can pay
+        docs, lows = np.unique(of, return_index=True)
+        for d, x, y in zip(docs.tolist(), lows.tolist(), [*lows[1:].tolist(), len(of)]):
+            # a stay in a state gains at most its best stretch, and pays for entering and leaving
+            total = np.zeros((len(gains), y - x + 1))
+            np.cumsum(gains[:, col[x:y]], axis=1, out=total[:, 1:])
+            could = (total - np.minimum.accumulate(total, axis=1)).max(axis=1)
+            if could.max() > 2 * SWITCH:
+                spans.append((y - x, d, x, y, could > 2 * SWITCH))
+        spans.sort(key=lambda s: s[0])
+        letter = cyrillic(cp)
+        b = 0
+        while b < len(spans):
+            # texts of about the same length together, at most CELLS characters and padding
+            a, b = b, b + 1
+            while b < len(spans) and (b + 1 - a) * spans[b][0] <= CELLS:
+                b += 1
+            some = spans[a:b]
+            use = np.flatnonzero(np.logical_or.reduce([s[4] for s in some]))
+            inside = [np.append(False, (np.diff(at[x:y]) == 1) & letter[at[x:y]][1:] & letter[at[x:y]][:-1]) for _, _, x, y, _ in some]
+            paths = self.viterbi([gains[np.ix_(use, col[x:y])] for _, _, x, y, _ in some], inside)
+            for (_, d, x, y, _), path in zip(some, paths):
                 if not path.any():
                     continue
-                begin = int(ends[d] - size[d])
+                start = int(ends[d] - size[d])
                 state = np.zeros(size[d] - 1, dtype=np.int16)
-                where = at[spans[k]] - begin
-                state[where[where < len(state)]] = path[where < len(state)]
-                points = cp[begin : begin + len(state)]
-                state[~keep[begin : begin + len(state)]] = 0
-                if (odd[begin : begin + len(state)] & (state > 0)).any():
+                state[at[x:y] - start] = np.append(0, use + 1)[path]
+                points = cp[start : start + len(state)]
+                if (odd[start : start + len(state)] & (state > 0)).any():
                     out[d] = points, state
         return out
 
     def viterbi(self, gains: list[np.ndarray], inside: list[np.ndarray]) -> list[np.ndarray]:
         """Best state sequences of several texts; inside marks characters within a word, where a switch costs more."""
         n, steps = len(gains), max(g.shape[1] for g in gains)
-        states = len(PAIRS) + 2
+        states = len(gains[0]) + 1
         g = np.full((steps, n, states - 1), IMPOSSIBLE)
         cost = np.full((steps, n), SWITCH)
         for i, x in enumerate(gains):
@@ -372,34 +412,37 @@ class Labeller:
             if s == 0 or s == len(PAIRS) + 1:
                 parts.append(text[a:b])
                 continue
-            decoded, length = inverse(points[a:b], PAIRS[s - 1])
-            start = np.flatnonzero(length)
-            units = np.where(decoded[start] >= 0, decoded[start], points[a:b][start])
-            parts.append("".join(map(chr, units.tolist())))
+            parts.append(inverted(text[a:b], s - 1))
         return "".join(parts)
 
     def restore(self, texts: list[str]) -> dict[int, str]:
-        """Position -> restored text of the affected texts."""
+        """Position -> restored text of the affected texts.
+
+        What was garbled more than once is labelled again until nothing changes, or until a form comes
+        back that the text had before (two one-byte pairs can be each other's inverse).
+        """
         out: dict[int, str] = {}
+        seen: dict[int, set[str]] = {}
         open_ = list(range(len(texts)))
-        for _ in range(3):
+        while open_:
             again = []
             for k, got in zip(open_, self.label([out.get(k, texts[k]) for k in open_])):
                 if got is None:
                     continue
                 old = out.get(k, texts[k])
                 new = self.invert(old, *got)
-                if new != old:
+                forms = seen.setdefault(k, {old})
+                if new not in forms:
+                    forms.add(new)
                     again.append(k)
-                if new != old or (got[1] == len(PAIRS) + 1).any():
                     out[k] = new
+                elif (got[1] == len(PAIRS) + 1).any():
+                    out.setdefault(k, new)
             open_ = again
-            if not open_:
-                break
         return out
 
 
-def batched(texts: list[str], chars: int = 1_000_000) -> Iterator[tuple[int, list[str]]]:
+def batched(texts: list[str], chars: int = 4_000_000) -> Iterator[tuple[int, list[str]]]:
     """Stretches of a list with about so many characters, with the position of the first."""
     start, held = 0, 0
     for i, t in enumerate(texts):
@@ -417,7 +460,7 @@ def beyond_ascii(text: Column) -> Column:
 
 
 def train(df: DataFrame, text_col: str) -> Model:
-    """The bigram model of all texts beyond ASCII; at most one row per pair of classes reaches the driver."""
+    """The bigram model of all texts beyond ASCII; at most MOST_PAIRS rows reach the driver, whatever the corpus."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, counts = np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -429,7 +472,9 @@ def train(df: DataFrame, text_col: str) -> Model:
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(counts)], names=["k", "n"])
 
     texts = spread(df.select(F.col(text_col).alias("t")).where(beyond_ascii(F.col("t"))), 1)
-    rows = texts.mapInArrow(run, "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).toArrow()
+    counts = stored(texts.mapInArrow(run, "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")), "pairs")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    rows = counts.where(F.col("n") >= total / MOST_PAIRS).toArrow()
     return Model(dict(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist())))
 
 

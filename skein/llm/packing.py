@@ -32,7 +32,7 @@ CAPACITY = 2048
 #: Dimensions of the projection and bits of each: the key has their product in bits.
 DIMENSIONS, BITS = 4, 12
 #: Items that are packed together; open containers pass to the next window and no further.
-WINDOW = 1024
+WINDOW = 512
 
 
 @lru_cache(maxsize=2)

@@ -357,6 +357,18 @@ def test_round_trip_of_encodings(lang, true, read):
     assert got[0] == want and got[1] == CLEAN[lang] + "\n" + want and set(got) == {0, 1, 3}
 
 
+@pytest.mark.parametrize("times", [1, 2, 5])
+def test_texts_garbled_many_times(times):
+    counts: dict[int, int] = {}
+    for k in mojibake.count_pairs([t * 6 for t in CLEAN.values()] * 5).tolist():
+        counts[k] = counts.get(k, 0) + 1
+    text = whole = CLEAN["fr"] * 2
+    for _ in range(times):
+        text = "".join(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in text.encode())
+    got = mojibake.Labeller(mojibake.Model(counts)).restore(["é", text, "x"])
+    assert got == {1: whole}
+
+
 def test_encodings_in_spark(spark):
     df = spark.createDataFrame([(i, t * 3, "x") for i, t in enumerate([*CLEAN.values()] * 10)] + [(100, "CafÃ© est agrÃ©able", "x"), (101, None, "x"), (102, "", "x"), (103, LONG + "é", "x")], "doc_id long, text string, restored string")
     assert rows(mojibake.restore_texts(df, "doc_id", "text")) == [(100, "Café est agréable")]
