@@ -1,23 +1,28 @@
 """Problem 1: markup residue, read with wrappers inferred per host as union-free regular expressions.
 
-Every text is lexed into markup tokens and text slots and cut into groups: an element with all it
-holds, a heading, a run of list items, a code block, a table, a formula, an inline span. The groups
-of one host that begin with the same token are aligned one after the other: equal parts stay,
-parts that only one side has become optional, neighbouring equal parts become repeated, and texts
-that differ become slots. The result is one wrapper per host and kind of group, with the number of
-texts behind it. Texts that never differ belong to the template, not to the data.
-
-Cleaning a text follows its host's wrappers. A group that begins with an unmistakable token (an
-element, a link, a command) is markup wherever it stands; one that begins with an ambiguous token
-(a dash, a number, a star at the start of a line) is markup only if the host's wrapper for it rests
-on at least two texts. Headings, lists, code blocks, tables and formulas keep their place in one
-plain notation; scripts, styles, comments and page furniture, and groups that are constant on their
-host, are left out.
-
-Wrappers are folded in every task, then by host and kind in salted groups: no task gets the texts
-of a host, and a shape that was folded before costs nothing. Defined results: null and blank texts
-hold no markup and clean to an empty string; a missing host is a host of its own; unbalanced tags
-and fences end where their surroundings end; texts of any length are read whole.
+Every text is read as a stream of tokens that may be markup (anything in angle brackets, commands,
+marks, line beginnings) and text slots, and cut into groups: an element with what it holds, a run of
+list items, a code block, a pair of marks, a formula. A group's shape is its tokens in order, groups
+inside it by name, and a slot for every text. The shapes of one host and kind are aligned one after
+the other: equal parts stay, parts that only one side has become optional, neighbouring equal parts
+become repeated, and texts that differ become slots. The result is one wrapper, a union-free regular
+expression, per host and kind, and one per kind over all hosts.
+
+The wrappers decide what is markup: a kind counts on a host if its expression there (or the one over
+all hosts) has the structure of a template around data. That is, it is delimited (some text closes
+what it opens, so `<li>` and a lone `</p>` count where `<li>` and `<p>` are ever closed, and
+`vector<int>` does not), or it repeats (list items, rows, quotes), or its slot takes different texts
+(headings, rules between paragraphs, emphasis). Slots are data; what no wrapper of the host has is
+plain text and stays as it is. A group whose wrapper rests on many texts and has no slot, option or
+repetition is part of the host's template and is left out of the clean text.
+
+Headings, lists, code blocks, tables and formulas keep their place in one plain notation; scripts,
+styles, comments and page furniture are left out. Shapes are counted in the tasks and united in
+shuffles, by general form first (an operation in which order does not matter); the forms are then
+aligned in sorted order, in salted parts, one at a time: no task holds the texts or the forms of a
+host, and the result does not depend on the splits of the input. Defined results: null and blank
+texts hold no markup and clean to an empty string; a missing host is a host of its own; unbalanced
+tags and fences end where their surroundings end; texts of any length are read whole.
 """
 
 from __future__ import annotations
@@ -30,36 +35,36 @@ from difflib import SequenceMatcher
 from functools import lru_cache
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm._common import spread
+from skein.llm._common import spread, stored
 
-#: Names of HTML elements, and of the wiki elements written the same way.
-ELEMENTS = set(
-    "a abbr acronym address applet area article aside audio b base bdi bdo big blockquote body br button canvas caption center cite code col colgroup data datalist dd del details dfn dialog dir div dl dt em embed "
-    "fieldset figcaption figure font footer form frame frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html i iframe img input ins kbd label legend li link main map mark menu meta meter nav noframes noscript object ol "
-    "optgroup option output p param picture pre progress q rp rt ruby s samp script section select small source span strike strong style sub summary sup svg table tbody td template textarea tfoot th thead time title tr "
-    "track tt u ul var video wbr math ref nowiki syntaxhighlight gallery references poem".split()
-)
+#: Fixed values of HTML: elements without an end tag, elements that begin a line, and elements that hold no content of a page.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = set("address article aside blockquote body center dd details div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html li main nav ol p pre section table tbody td tfoot th thead tr ul br syntaxhighlight gallery poem".split())
 FURNITURE = set("script style nav header footer aside noscript iframe template head svg button form select".split())
-#: Names of groups that plain text can also begin by chance.
-AMBIGUOUS = {"bullet", "number", "quote", "em", "rule", "underlined"}
-#: Texts that a wrapper of an ambiguous kind must rest on, and those that show a group to be constant.
-SUPPORT, CONSTANT = 2, 20
-#: Longest wrapper kept in full; beyond it inner parts that differ become slots.
-LONGEST, DEEPEST = 64, 3
+#: Tokens at the beginning of a line; marks that open and close alike.
+LINES = {"heading", "underlined", "rule", "row", "bullet", "number", "quote"}
+MARKS = {"fence", "strong", "under", "strike", "boldquote"}
+#: Tokens that hold a text of their own.
+HELD = {"link", "wikilink", "extlink", "image", "em", "tick", "dollar", "dollars", "paren", "entity"}
+#: Texts on which a wrapper must rest to be taken for a constant part of its host.
+CONSTANT = 20
+#: An expression of more parts is generalised to a repetition of its parts, each optional.
+LONGEST = 64
+#: Parts into which the forms of a host and kind are aligned before these are aligned, and forms a task counts before it hands them on.
+SALTS, MOST_FORMS = 16, 50_000
 
 _INLINE = r"""
   (?P<comment><!--.*?(?:-->|\Z)|<!doctype[^>]*>|<\?xml[^>]*>)
  |(?P<autolink><(?:https?://|mailto:)[^<>\s]+>)
  |(?P<tag></?(?P<el>[a-zA-Z][a-zA-Z0-9]*)(?P<attr>(?:\s+[^\s"'<>/=]+(?:\s*=\s*(?:"[^"]*"|'[^']*'|[^\s"'=<>`]+))?)*)\s*/?>)
  |(?P<entity>&(?:\#\d{1,7}|\#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});)
- |(?P<dollars>\$\$(?P<dm>(?:[^$\\]|\\.){1,2000}?)\$\$)
- |(?P<dollar>(?<![\w$\\])\$(?P<m>[^\s$](?:[^$\n]{0,300}?[^\s$\\])?)\$(?![\w$]))
- |(?P<paren>\\\((?P<pm>.{1,500}?)\\\)|\\\[(?P<bm>.{1,2000}?)\\\])
+ |(?P<dollars>\$\$(?P<dm>(?:[^$\\]|\\.)+?)\$\$)
+ |(?P<dollar>(?<![\w$\\])\$(?P<m>[^\s$](?:[^$\n]*?[^\s$\\])?)\$(?![\w$]))
+ |(?P<paren>\\\((?P<pm>.+?)\\\)|\\\[(?P<bm>.+?)\\\])
  |(?P<begin>\\(?:begin|end)\{[a-zA-Z]+\*?\}(?:\[[^\]\n]*\])?)
  |(?P<command>(?<![\w:\\])\\(?P<cmd>[a-zA-Z]{2,})\*?(?:\[[^\]\n]*\])?(?=[{\\\s]|$)\{?)
  |(?P<image>!\[(?P<alt>[^\]\n]*)\]\([^)\n]*\))
@@ -73,10 +78,12 @@ _INLINE = r"""
  |(?P<strong>(?<![\w*])\*\*(?=[^\s*])|(?<=[^\s*])\*\*(?![\w*]))
  |(?P<under>(?<!\w)__(?=[A-Za-z])(?!\w+__\s*\()|(?<=[\w.,!?])__(?!\w))
  |(?P<strike>~~(?=[^\s~])|(?<=[^\s~])~~)
- |(?P<em>(?<![\w*])\*(?P<et>[^\s*](?:[^*\n]{0,200}?[^\s*])?)\*(?![\w*]))
+ |(?P<em>(?<![\w*])\*(?P<et>[^\s*](?:[^*\n]*?[^\s*])?)\*(?![\w*]))
 """
 _LEX = re.compile(_INLINE, re.X | re.S | re.I)
-_ESCAPED = re.compile(r"/?([a-zA-Z][a-zA-Z0-9]*)[^<>\n]{0,80}?(?:>|&gt;)")
+_KINDS = ("comment", "autolink", "tag", "entity", "dollars", "dollar", "paren", "begin", "command", "image", "link", "wikilink", "extlink", "template", "refmark", "tick", "boldquote", "strong", "under", "strike", "em")
+_ESCAPED = re.compile(r"/?([a-zA-Z][a-zA-Z0-9]*)[^<>&\n]*?(?:>|&gt;)")
+_FIRST = set("#=-*+•>`~|{_0123456789")  # what a line with a token at its beginning can begin with
 _START = re.compile(r"[<&$\\!\[{`'*_~]")
 _HASH = re.compile(r" {0,3}(#{1,6})[ \t]+(\S.*?)[ \t#]*$")
 _WIKIHEAD = re.compile(r"(={2,6})[ \t]*([^=\n]+?)[ \t]*\1[ \t]*$")
@@ -90,6 +97,7 @@ _ROW = re.compile(r"[ \t]*\|.*\|[ \t]*$")
 _WIKITABLE = re.compile(r"[ \t]*(?:\{\||\|\}|\|-)")
 _MATH = re.compile(r"\\[a-zA-Z]+|[\^_=+<>]|^[A-Za-z]$|^[A-Za-z]\([^)]*\)$")
 _CALL = re.compile(r"(?:#include\s*|[A-Za-z_]\w*)$")
+_BRACE = re.compile(r"[{}]")
 _HEADS = {"part": 1, "chapter": 1, "section": 2, "subsection": 3, "subsubsection": 4, "paragraph": 4, "subparagraph": 5, "title": 1}
 _VERBATIM = re.compile(r"\\begin\{(verbatim|lstlisting|minted)\}.*?(?:\\end\{\1\}|\Z)|<(pre|syntaxhighlight|script|style)\b[^>]*>.*?(?:</\2\s*>|\Z)", re.S | re.I)
 
@@ -120,18 +128,20 @@ def lex(text: str) -> list[Token]:
                     out.append(("fence", start, end, ""))
                     fence = ""
                 continue
-            if m := _FENCE.match(line):
+            if not strip or strip[0] not in _FIRST:
+                pass
+            elif m := _FENCE.match(line):
                 fence = m[1][:3]
                 out.append(("fence", start, end, m[2]))
                 continue
-            if m := _HASH.match(line):
+            elif m := _HASH.match(line):
                 out.append(("heading", start, start + m.start(2), str(len(m[1]))))
                 body = start + m.start(2)
             elif m := _WIKIHEAD.match(line):
                 out.append(("heading", start, start + m.start(2), str(len(m[1]))))
                 out.append(("heading_end", start + m.end(2), end, ""))
                 body, end = start + m.start(2), start + m.end(2)
-            elif strip and _UNDER.match(line) and not previous_blank and len(previous) <= 120:
+            elif strip and _UNDER.match(line) and not previous_blank:
                 out.append(("underlined", start, end, "1" if strip[0] == "=" else "2"))
                 body = end
             elif _RULE.match(line) and strip:
@@ -159,23 +169,30 @@ def lex(text: str) -> list[Token]:
         fences = [t for t in tokens if t[0] == "fence"]
         blocked = [(a[2], b[1]) for a, b in zip(fences[::2], [*fences[1::2], ("", len(text), len(text), "")])]
     s = t = 0
+    last = {"\\(": text.rfind("\\)"), "\\[": text.rfind("\\]")}
+    block = 0
     while start_at := _START.search(text, t):
-        m = _LEX.match(text, start_at.start())
+        t = start_at.start()
+        # without a closer further on, the rest of the text need not be searched for one
+        m = None if last.get(text[t : t + 2], t) < t else _LEX.match(text, t)
         if m is None:
             t = start_at.end()
             continue
         s, t = m.start(), max(m.end(), m.start() + 1)
-        kind = next(n for n in ("comment", "autolink", "tag", "entity", "dollars", "dollar", "paren", "begin", "command", "image", "link", "wikilink", "extlink", "template", "refmark", "tick", "boldquote", "strong", "under", "strike", "em") if m[n] is not None)
+        kind = m.lastgroup if m.lastgroup in _KINDS else next(n for n in _KINDS if m[n] is not None)
         while e < len(edges) and edges[e][1] <= s:
             e += 1
         if e < len(edges) and edges[e][0] <= s < edges[e][1]:
             continue
-        if any(a <= s < b for a, b in blocked):
+        while block < len(blocked) and blocked[block][1] <= s:
+            block += 1
+        if block < len(blocked) and blocked[block][0] <= s:
+            t = max(t, blocked[block][1])
             continue
         held = ""
         if kind == "tag":
             name = m["el"].lower()
-            if name not in ELEMENTS or (m["el"] != name and m["el"] != name.upper()):
+            if m["el"] != name and m["el"] != name.upper():
                 continue
             if name in ("map", "time", "data", "s", "q", "var", "a", "i", "b", "u", "p") and not m["attr"] and m[0][1] != "/" and re.search(r"#include\s*$|\b[A-Z]\w*$", text[max(0, s - 12) : s]) and f"</{name}" not in text.lower():
                 continue
@@ -230,53 +247,98 @@ def valid_entity(ref: str) -> bool:
 
 SLOT = "_"
 Shape = tuple  # token names, ("_", text or None), ("?", shape), ("+", shape)
+Group = tuple[str, list[int], int, int]  # kind, its tokens, and the range of tokens inside it (empty where it holds none)
 
 
-def groups(text: str, tokens: list[Token]) -> list[tuple[str, int, int, Shape]]:
-    """(kind, first token, token after the last, shape) of every group of a text."""
-    out = []
-    i = 0
-    while i < len(tokens):
-        name = tokens[i][0]
-        j = i + 1
-        if name.startswith("<") and not name.startswith("</") and name[1:-1] not in VOID:
-            depth = 0
-            for k in range(i, len(tokens)):
-                n = tokens[k][0]
-                if n == name:
-                    depth += 1
-                elif n == "</" + name[1:]:
-                    depth -= 1
-                    if depth == 0:
-                        j = k + 1
-                        break
-        elif name.startswith("\\begin"):
-            close = name.replace("begin", "end", 1)
-            j = next((k + 1 for k in range(i + 1, len(tokens)) if tokens[k][0] == close), i + 1)
-        elif name in ("bullet", "number", "row", "quote"):
-            while j < len(tokens) and tokens[j][0] == name and text.count("\n", tokens[j - 1][2], tokens[j][1]) <= 2:
-                j += 1
-        elif name in ("fence", "strong", "under", "strike", "boldquote"):
-            j = next((k + 1 for k in range(i + 1, min(len(tokens), i + 400)) if tokens[k][0] == name and (name == "fence" or "\n\n" not in text[tokens[i][2] : tokens[k][1]])), i + 1)
-        out.append((name, i, j, shape(text, tokens[i:j])))
-        i = j
+def base(name: str) -> str:
+    """The kind of group that a token begins or, alone, ends."""
+    return "<" + name[2:] if name.startswith("</") else name.replace("\\end", "\\begin", 1) if name.startswith("\\end") else name
+
+
+def closers(text: str, tokens: list[Token]) -> list[int]:
+    """For each token the one that closes it (elements and environments by nesting, marks by their next like in the same paragraph), or -1."""
+    out, open_, mark = [-1] * len(tokens), {}, {}
+    for k, (name, start, _, _) in enumerate(tokens):
+        if name.startswith(("</", "\\end")):
+            if stack := open_.get(base(name)):
+                out[stack.pop()] = k
+        elif name in MARKS:
+            before = mark.pop(name, None)
+            if before is not None and (name == "fence" or text.find("\n\n", tokens[before][2], start) < 0):
+                out[before] = k
+            else:
+                mark[name] = k
+        elif name.startswith(("<", "\\begin")) and name[1:-1] not in VOID:
+            open_.setdefault(name, []).append(k)
     return out
 
 
-def shape(text: str, tokens: list[Token]) -> Shape:
-    """Token names with the texts between them, neighbouring equal parts folded."""
+def groups(text: str, tokens: list[Token]) -> Iterator[Group]:
+    """All groups of a text, those inside others too. Runs at line beginnings come first, whatever stands inside their lines."""
+    lines = [k for k, t in enumerate(tokens) if t[0] in LINES]
+    at = 0
+    while at < len(lines):
+        end, name = at + 1, tokens[lines[at]][0]
+        if name in ("bullet", "number", "row", "quote"):
+            while end < len(lines) and tokens[lines[end]][0] == name and text.count("\n", tokens[lines[end - 1]][2], tokens[lines[end]][1]) <= 2:
+                end += 1
+        yield name, lines[at:end], 0, 0
+        at = end
+    close = closers(text, tokens)
+    ranges = [(0, len(tokens))]
+    while ranges:
+        i, stop = ranges.pop()
+        while i < stop:
+            name, j = tokens[i][0], close[i]
+            if name in LINES or name == "heading_end":
+                i += 1
+            elif i < j < stop:
+                yield name, [i, j], i + 1, j
+                ranges.append((i + 1, j))
+                i = j + 1
+            else:
+                yield base(name), [i], 0, 0
+                i += 1
+
+
+def shape(text: str, tokens: list[Token], group: Group, close: list[int]) -> Shape:
+    """A group's tokens in order, the groups inside it by name, and the texts between them; neighbouring equal parts are folded."""
+    name, own, i, stop = group
     parts: list = []
-    for k, (name, _, end, held) in enumerate(tokens):
+
+    def slot(held: str) -> None:
+        if held := held.strip():
+            # long texts are told apart by their digest
+            parts.append((SLOT, held if len(held) <= 80 else "#" + xxhash.xxh64_hexdigest(held)))
+
+    if name in LINES:
+        for k in own:
+            end = text.find("\n", tokens[k][2])
+            parts.append(name)
+            if name == "underlined":
+                slot(text[: tokens[k][1]].rstrip("\n").rpartition("\n")[2])
+            elif name == "rule":
+                slot(text[tokens[k][2] :].lstrip().partition("\n")[0])
+            else:
+                slot(tokens[k][3] if name == "row" else text[tokens[k][2] : end if end >= 0 else len(text)])
+    elif len(own) == 1:
+        parts.append(tokens[own[0]][0])
+        if name in HELD:
+            slot(tokens[own[0]][3])
+    else:
         parts.append(name)
-        if held and name in ("link", "wikilink", "extlink", "image", "em", "tick"):
-            parts.append((SLOT, held))
-        if k + 1 < len(tokens) and text[end : tokens[k + 1][1]].strip():
-            parts.append((SLOT, text[end : tokens[k + 1][1]].strip()[:80]))
-        if len(parts) > 4 * LONGEST:
-            parts = list(fold_repeats(tuple(general(p) for p in parts)))
-            if len(parts) > 2 * LONGEST:
-                parts = parts[:LONGEST] + [(SLOT, None)]  # the shape, not the text: later parts are slots
-                break
+        at = tokens[own[0]][2]
+        while i < stop:
+            if tokens[i][0] in LINES or tokens[i][0] == "heading_end":
+                i += 1
+                continue
+            slot(text[at : tokens[i][1]])
+            parts.append(base(tokens[i][0]))
+            i = close[i] if i < close[i] < stop else i
+            at = tokens[i][2]
+            i += 1
+        slot(text[at : tokens[own[1]][1]])
+        parts.append(tokens[own[1]][0])
     return fold_repeats(tuple(parts))
 
 
@@ -321,22 +383,23 @@ def align(a: Shape, b: Shape) -> Shape:
             for part in (a[i:j], b[k:l]):
                 if part:
                     out.append(part[0] if len(part) == 1 and not isinstance(part[0], str) and part[0][0] == "?" else ("?", tuple(general(n) for n in part)))
-    out = [pruned(n, DEEPEST) for n in fold_repeats(tuple(pruned(n, DEEPEST) for n in _once(out)))]
+    out = list(fold_repeats(tuple(pruned(n) for n in _once(out))))
     if len(out) > LONGEST:
-        out = [out[0], (SLOT, None), out[-1]]
+        inner: dict = {}
+        for n in out[1:-1]:
+            inner.setdefault(_key(n), general(n))
+        out = [out[0], ("+", tuple(n if not isinstance(n, str) and n[0] == "?" else ("?", (n,)) for n in inner.values())), out[-1]]
     return tuple(out)
 
 
-def pruned(node, depth: int):
-    """A node without idle nesting, and with slots for what lies deeper than depth."""
+def pruned(node):
+    """A node without idle nesting: a choice in a choice and a repetition in a repetition are one."""
     if isinstance(node, str) or node[0] == SLOT:
         return node
     inner = node[1]
     while len(inner) == 1 and not isinstance(inner[0], str) and inner[0][0] == node[0]:
         inner = inner[0][1]
-    if depth == 0 or len(inner) > LONGEST:
-        return (SLOT, None)
-    return (node[0], tuple(pruned(n, depth - 1) for n in inner))
+    return (node[0], tuple(pruned(n) for n in inner))
 
 
 def _key(node) -> str:
@@ -392,66 +455,117 @@ def expression(shape_: Shape) -> str:
     return " ".join(out)
 
 
-class Wrappers:
-    """Wrappers of (host, kind), folded from groups one after the other."""
+def flat(shape_: Shape) -> Iterator[str]:
+    """All token names of an expression."""
+    for n in shape_:
+        if isinstance(n, str):
+            yield n
+        elif n[0] != SLOT:
+            yield from flat(n[1])
+
+
+def has(shape_: Shape, mark: str) -> bool:
+    """Whether an expression holds a repetition (+), or a slot that takes different texts (_)."""
+    return any(not isinstance(n, str) and ((n[0] == mark and (mark != SLOT or n[1] is None)) or (n[0] != SLOT and has(n[1], mark))) for n in shape_)
 
-    def __init__(self):
-        self.shape: dict[tuple[str, str], Shape] = {}
-        self.support: dict[tuple[str, str], int] = {}
-        self.known: dict[tuple[str, str], set] = {}
 
-    def add(self, host: str, kind: str, shape_: Shape, support: int = 1) -> None:
-        key = host, kind
-        self.support[key] = self.support.get(key, 0) + support
-        known = self.known.setdefault(key, set())
-        if shape_ in known:
-            return
-        if len(known) < 512:
-            known.add(shape_)
-        old = self.shape.get(key)
-        self.shape[key] = shape_ if old is None else align(old, shape_)
+def is_template(kind: str, shape_: Shape) -> bool:
+    """Whether a wrapper is a template around data: delimited, repeating, or with a slot for different texts."""
+    if kind.startswith("<"):
+        return kind[1:-1] in VOID or "</" + kind[1:] in flat(shape_)
+    if kind in MARKS:
+        return has(shape_, "+") or sum(n == kind for n in flat(shape_)) > 1
+    return kind not in LINES | {"em"} or has(shape_, "+") or has(shape_, SLOT)
 
 
-def _rows(w: Wrappers) -> pa.RecordBatch:
-    keys = list(w.shape)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.string()), pa.array([json.dumps(w.shape[k]) for k in keys], pa.string()), pa.array([w.support[k] for k in keys], pa.int64())],
-        names=["host", "kind", "wrapper", "support"],
-    )
+def united(a: Shape, b: Shape) -> Shape:
+    """Two shapes of the same general form: texts that differ become slots. The order does not matter."""
+    return tuple(x if x == y or isinstance(x, str) else (SLOT, None) if x[0] == SLOT else (x[0], united(x[1], y[1])) for x, y in zip(a, b))
 
 
 SCHEMA = "host string, kind string, wrapper string, support bigint"
 
 
+def _rows(rows: list[tuple], names: str) -> pa.RecordBatch:
+    cols = list(zip(*rows)) or [()] * 4
+    return pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(cols, (pa.string(), pa.string(), pa.string(), pa.int64()))], names=names.split())
+
+
 def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]+)", 1)), F.lit(""))
 
 
-def infer_wrappers(df: DataFrame, host_col: str, text_col: str) -> DataFrame:
-    """(host, kind, wrapper as JSON, support): the folded wrappers of all texts."""
+def forms(df: DataFrame) -> DataFrame:
+    """(host, kind, wrapper as JSON, support) of (host, t): one row a task for each general form of a host's groups."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[tuple, list] = {}
+
+        def out() -> pa.RecordBatch:
+            got = _rows([(h, k, json.dumps(s), n) for (h, k, _), (s, n) in seen.items()], "host kind wrapper support")
+            seen.clear()
+            return got
 
-    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        w = Wrappers()
         for batch in batches:
             for h, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen = set()
-                for kind, _, _, s in groups(t, lex(t)):
-                    w.add(h, kind, s, 0 if kind in seen else 1)
-                    seen.add(kind)
-        yield _rows(w)
-
-    def join(t: pa.Table) -> pa.Table:
-        w = Wrappers()
-        for h, k, s, n in sorted(zip(*(t.column(c).to_pylist() for c in ("host", "kind", "wrapper", "support")))):
-            w.add(h, k, _freeze(json.loads(s)), n)
-        return pa.Table.from_batches([_rows(w)])
+                tokens = lex(t)
+                close, met = closers(t, tokens), set()
+                for g in groups(t, tokens):
+                    form = shape(t, tokens, g, close)
+                    key = h, g[0], tuple(general(n) for n in form)
+                    old = seen.get(key)
+                    seen[key] = [united(old[0], form) if old else form, (old[1] if old else 0) + (g[0] not in met)]
+                    met.add(g[0])
+            if len(seen) > MOST_FORMS:
+                yield out()
+        yield out()
 
+    return df.mapInArrow(run, SCHEMA)
+
+
+def folded(forms: DataFrame, *by: str) -> DataFrame:
+    """(host, kind, wrapper, support): the forms of each (host, kind), or of each kind, aligned in sorted order, one at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, whole, one, general_, n = None, None, None, None, 0
+        for batch in batches:
+            out = []
+            for h, k, s, m in zip(*(batch.column(c).to_pylist() for c in range(4))):
+                form = _freeze(json.loads(s))
+                plain = tuple(general(x) for x in form)
+                if (h, k) != key:
+                    if key is not None:
+                        out.append((*key, json.dumps(one if whole is None else align(whole, one)), n))
+                    key, whole, one, general_, n = (h, k), None, form, plain, m
+                    continue
+                n += m
+                if plain == general_:
+                    one = united(one, form)
+                else:
+                    whole, one, general_ = one if whole is None else align(whole, one), form, plain
+            if out:
+                yield _rows(out, "host kind wrapper support")
+        if key is not None:
+            yield _rows([(*key, json.dumps(one if whole is None else align(whole, one)), n)], "host kind wrapper support")
+
+    host = F.col("host") if "host" in by else F.lit(None).cast("string").alias("host")
+    rows = forms.select(host, "kind", "wrapper", "support", _form("wrapper").alias("form"))
+    part = rows.withColumn("salt", F.pmod(F.xxhash64("form"), F.lit(SALTS)))
+    part = part.repartition("host", "kind", "salt").sortWithinPartitions("host", "kind", "salt", "form", "wrapper").select(F.concat_ws("\u0001", "host", "salt").alias("host"), "kind", "wrapper", "support")
+    part = part.mapInArrow(run, SCHEMA).select(F.when(F.instr("host", "\u0001") > 0, F.substring_index("host", "\u0001", 1)).alias("host"), "kind", "wrapper", "support")
+    return part.repartition("host", "kind").sortWithinPartitions("host", "kind", "wrapper").mapInArrow(run, SCHEMA)
+
+
+def _form(column: str) -> Column:
+    """The general form of a wrapper, from its JSON: the texts of all slots left out."""
+    return F.regexp_replace(column, r'\["_", "(?:[^"\\]|\\.)*"\]', '["_", null]')
+
+
+def infer_wrappers(df: DataFrame, host_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(host, kind, wrapper as JSON, support) of each host, and of all hosts together (host is null)."""
     texts = df.select(F.col(host_col).alias("host"), F.col(text_col).alias("t")).where(F.col("t").rlike(r"\S"))
-    part = spread(texts, 1).mapInArrow(fold, SCHEMA)
-    # partial wrappers: one row per task, host and kind; salted so that many tasks cannot meet in one group
-    salted = part.withColumn("salt", F.pmod(F.xxhash64("wrapper"), F.lit(8)))
-    salted = salted.groupBy("host", "kind", "salt").applyInArrow(join, SCHEMA)
-    return salted.groupBy("host", "kind").applyInArrow(join, SCHEMA)
+    own = stored(folded(forms(spread(texts, 1)), "host", "kind"), "wrappers")
+    return own, folded(own, "kind")
 
 
 def readable(wrappers: DataFrame) -> DataFrame:
@@ -460,37 +574,42 @@ def readable(wrappers: DataFrame) -> DataFrame:
     return wrappers.select("host", "kind", write("wrapper").alias("expression"), "support")
 
 
-def rules(wrappers: DataFrame) -> DataFrame:
-    """(host, trusted, fixed): kinds of ambiguous groups that the host really uses, and kinds that are constant there."""
+def rules(wrappers: DataFrame, everywhere: DataFrame) -> DataFrame:
+    """(host, kinds, fixed): the kinds of a host that its wrapper, or the one over all hosts, shows to be templates, and those that are constant there."""
+    test = F.udf(lambda k, s: is_template(k, _freeze(json.loads(s))), "boolean")
     is_constant = F.udf(lambda s: constant(_freeze(json.loads(s))), "boolean")
-    trusted = F.collect_set(F.when(F.col("kind").isin(*AMBIGUOUS) & (F.col("support") >= SUPPORT), F.col("kind")))
-    fixed = F.collect_set(F.when((F.col("support") >= CONSTANT) & is_constant("wrapper"), F.col("kind")))
-    return wrappers.groupBy("host").agg(trusted.alias("trusted"), fixed.alias("fixed"))
+    here = wrappers.select("host", "kind", "support", test("kind", "wrapper").alias("here"), is_constant("wrapper").alias("same"))
+    there = everywhere.select("kind", test("kind", "wrapper").alias("there"))
+    both = here.join(there, "kind")
+    whole = F.startswith("kind", F.lit("<")) | F.col("kind").isin("link", "image", "heading")
+    fixed = F.collect_set(F.when((F.col("support") >= CONSTANT) & F.col("same") & whole, F.col("kind")))
+    return both.groupBy("host").agg(F.collect_set(F.when(F.col("here") | F.col("there"), F.col("kind"))).alias("kinds"), fixed.alias("fixed"))
 
 
 # ---- cleaning ------------------------------------------------------------------------------------------------------
 
-def clean(text: str | None, trusted: set[str], fixed: set[str]) -> tuple[str, int]:
-    """The readable text, and the number of groups of markup that it held."""
+def clean(text: str | None, kinds: set[str], fixed: set[str]) -> tuple[str, int]:
+    """The readable text, and the number of its groups of a kind that counts as markup on its host."""
     if not text or not text.strip():
         return "", 0
-    tokens = lex(text)
-    drop: set[int] = set()
-    keep: set[int] = set()
+    found = lex(text)
     n = 0
-    for kind, i, j, _ in groups(text, tokens):
-        if kind in AMBIGUOUS and kind not in trusted:
-            keep |= set(range(i, j)) if kind != "em" else {i}
+    data: set[int] = set()  # tokens that are plain text
+    drop: dict[int, int] = {}  # constant groups: where they begin and end
+    for kind, own, _, _ in groups(text, found):
+        if kind not in kinds:
+            data.update(own)
             continue
         n += 1
-        if kind in fixed and j - i <= 4:
-            drop.add(i)
+        if kind in fixed:
+            drop[found[own[0]][1]] = found[own[-1]][2]
+    tokens = [t for k, t in enumerate(found) if k not in data and (t[0] != "heading_end" or "heading" in kinds)]
     out: list[str] = []
-    at, pre, listed, closers = 0, False, [], set()
+    at, pre, listed, braces, pairs = 0, False, [], set(), None
 
     def between(a: int, b: int) -> str:
         """The text from a to b without the braces that close commands."""
-        cuts = sorted(c for c in closers if a <= c < b)
+        cuts = sorted(c for c in braces if a <= c < b)
         return "".join(text[x:y] for x, y in zip([a, *(c + 1 for c in cuts)], [*cuts, b]))
 
     for k, (name, s, e, held) in enumerate(tokens):
@@ -498,10 +617,8 @@ def clean(text: str | None, trusted: set[str], fixed: set[str]) -> tuple[str, in
             continue
         out.append(between(at, s))
         at = e
-        if k in keep and k not in drop:
-            out.append(text[s:e])
-            continue
-        if k in drop and not name.startswith("<"):
+        if s in drop:
+            at = drop[s]
             continue
         if name.startswith("<"):
             shut, el = name[1] == "/", name.strip("</>")
@@ -540,7 +657,7 @@ def clean(text: str | None, trusted: set[str], fixed: set[str]) -> tuple[str, in
             pass
         elif name == "entity":
             # an escaped element goes as a whole
-            if held == "<" and (m := _ESCAPED.match(text, e)) and m[1].lower() in ELEMENTS:
+            if held == "<" and (m := _ESCAPED.match(text, e)) and f"<{m[1].lower()}>" in kinds:
                 at = m.end()
             else:
                 out.append(html.unescape(held))
@@ -598,21 +715,24 @@ def clean(text: str | None, trusted: set[str], fixed: set[str]) -> tuple[str, in
                 m = re.match(r"[^{}]*\}\s*\{", text[e:])
                 at = e + (m.end() if m else 0)
             if name.endswith("{"):
-                close = _closing(text, at)
+                pairs = brace_pairs(text) if pairs is None else pairs
+                close = pairs.get(at)
                 if close is not None:
-                    closers.add(close)
-        closers = {c for c in closers if c >= at} if closers else closers
+                    braces.add(close)
+        braces = {c for c in braces if c >= at} if braces else braces
     out.append(between(at, len(text)))
     return tidy("".join(out)), n
 
 
-def _closing(text: str, at: int) -> int | None:
-    depth = 1
-    for m in re.compile(r"[{}]").finditer(text, at, min(len(text), at + 5000)):
-        depth += 1 if m[0] == "{" else -1
-        if depth == 0:
-            return m.start()
-    return None
+def brace_pairs(text: str) -> dict[int, int]:
+    """Position after each opening brace -> position of the brace that closes it, in one pass."""
+    out, open_ = {}, []
+    for m in _BRACE.finditer(text):
+        if m[0] == "{":
+            open_.append(m.end())
+        elif open_:
+            out[open_.pop()] = m.start()
+    return out
 
 
 def tidy(text: str) -> str:
@@ -622,19 +742,16 @@ def tidy(text: str) -> str:
 
 
 def clean_texts(df: DataFrame, id_col: str, url_col: str, text_col: str) -> DataFrame:
-    """(id, clean_text, n_markup) of every row: n_markup counts the groups of markup the host's wrappers accept."""
+    """(id, clean_text, n_markup) of every row: n_markup counts the groups that the wrappers of the host show to be markup."""
     pick = df.select(F.col(id_col).alias("id"), host_of(F.col(url_col)).alias("host"), F.col(text_col).alias("t"))
-    known = rules(infer_wrappers(pick, "host", "t"))
+    known = rules(*infer_wrappers(pick, "host", "t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts, counts = [], []
-            for t, a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                c, n = clean(t, set(a or ()), set(b or ()))
-                texts.append(c)
-                counts.append(n)
+            got = [clean(t, set(a or ()), set(b or ())) for t, a, b in zip(*(batch.column(k).to_pylist() for k in (1, 2, 3)))]
+            texts, counts = zip(*got) if got else ((), ())
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string()), pa.array(counts, pa.int32())], names=["id", "clean_text", "n_markup"])
 
     kind = pick.schema[0].dataType.simpleString()
-    out = spread(pick, 1).join(known, "host", "left").select("id", "t", "trusted", "fixed").mapInArrow(run, f"id {kind}, clean_text string, n_markup int")
+    out = spread(pick, 1).join(known, "host", "left").select("id", "t", "kinds", "fixed").mapInArrow(run, f"id {kind}, clean_text string, n_markup int")
     return out.withColumnRenamed("id", id_col)

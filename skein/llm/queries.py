@@ -29,7 +29,8 @@ def p1_found(spark: SparkSession, sf: str) -> DataFrame:
 def p1_wrappers(spark: SparkSession, sf: str) -> DataFrame:
     """The wrappers inferred for each host, as union-free regular expressions."""
     posts = table(spark, sf, "raw_documents").select(markup.host_of(F.col("source_url")).alias("host"), "raw_content")
-    return markup.readable(markup.infer_wrappers(posts, "host", "raw_content"))
+    own, everywhere = markup.infer_wrappers(posts, "host", "raw_content")
+    return markup.readable(own.unionByName(everywhere))
 
 
 def p2_repeats(spark: SparkSession, sf: str) -> DataFrame:
