@@ -2,11 +2,12 @@
 
 A record is the set of its word sequences, a bit vector over all sequences. If two sets have
 Jaccard similarity t or more, they differ in at most d bits, where d follows from the size of the
-smaller one. The bits are cut (by hash) into m = d // 2 + 1 segments, so at least one segment
-differs by at most one bit: it is equal, or one side has one element more. Every record is indexed
-under the hash of each whole segment and of each segment without one of its elements; an equality
-join of whole segments with both kinds finds every pair, and exact similarity decides. There is no
-loss by chance: recall is complete but for collisions of 64-bit hashes.
+smaller one. The bits are cut (by hash) into a little more than d / 2 segments, so some of them
+differ by at most one bit: such a segment is equal, or one side has one element more. Every record is
+indexed under the hash of each whole segment and of each segment without one of its elements; an
+equality join of whole segments with both kinds finds every pair, and exact similarity decides. There
+is no loss by chance: recall is complete but for collisions of 64-bit hashes. Most variants have no
+partner; a filter of the whole keys, sent along while it is small, drops them before the shuffle.
 
 m depends on the size, so records fall into size classes of ratio 1/t; a record is indexed at its
 own level and, as the larger partner, at the level below. Records with equal sets are joined once,
@@ -25,9 +26,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm._common import cut, jaccard, led_sequences, mix, sequences, stored
+from skein.llm._common import cut, jaccard, mix, stored, with_sequences
 
 THRESHOLD, LEAST, RUN = 0.8, 10, 3
+#: Largest filter of whole keys that is sent to the tasks: 2^29 bits, 64 MB.
+MOST_BITS = 29
 
 
 def classes(largest: int, threshold: float) -> np.ndarray:
@@ -38,54 +41,166 @@ def classes(largest: int, threshold: float) -> np.ndarray:
     return np.array(bounds, dtype=np.int64)
 
 
-def segments(bounds: np.ndarray, threshold: float) -> np.ndarray:
-    """Number of segments at each level: half the largest possible difference, and one."""
+def segments(bounds: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Number of segments at each level, and how many of them differ by at most one bit in a similar pair.
+
+    Of m segments at most half of the largest possible difference d differ by two bits or more, so at
+    least m - d // 2 differ by one or none. m is d // 2 + 1 and a sixth more: asking for several such
+    segments instead of one leaves few pairs that are not similar.
+    """
     differ = np.floor(bounds * (1 - threshold) / threshold + 1e-9).astype(np.int64)
-    return differ // 2 + 1
-
-
-def variants(flat: np.ndarray, sizes: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, key, whole) of every signature of every set; flat holds the elements of all sets in order."""
-    live = sizes > 0
-    bounds = classes(int(sizes.max(initial=1)), threshold)
-    counts = segments(bounds, threshold)
-    own = np.searchsorted(bounds, sizes)
-    out = []
-    doc = np.repeat(np.arange(len(sizes)), sizes)
-    element = mix(flat.view(np.uint64), 1)
-    for below in (0, 1):
-        level = own - below
-        use = live & (level >= 0)
-        m = np.where(use, counts[np.maximum(level, 0)], 0)
-        first = np.append(0, np.cumsum(m))
-        mine = use[doc]
-        d, e = doc[mine], element[mine]
-        seg = (mix(e, 2) % m[d].astype(np.uint64)).astype(np.int64)
-        slot = first[d] + seg
-        sums = np.zeros(first[-1], dtype=np.uint64)
-        np.add.at(sums, slot, e)
-        owner = np.repeat(np.arange(len(sizes)), m)
-        salt = mix((level[owner].astype(np.uint64) << np.uint64(40)) | (np.arange(first[-1]) - first[owner]).astype(np.uint64), 3)
-        out.append((owner, mix(sums, 4) ^ salt, np.ones(len(owner), dtype=bool)))
-        out.append((d, mix(sums[slot] - e, 4) ^ salt[slot], np.zeros(len(d), dtype=bool)))
-    return tuple(np.concatenate([o[k] for o in out]) for k in range(3))
+    extra = (differ // 2 + 1) // 6
+    return differ // 2 + 1 + extra, extra + 1
+
+
+class Signatures:
+    """Keys of the segments of sets, at each set's own level and at the level below; flat holds the elements of all sets in order.
+
+    An empty segment would be one key for all records, so content without elements is not indexed: that
+    loses a match only where both sides have at most one element, and the number of a record's segments
+    with at most one is taken off what is asked of its pairs. Only records for which nothing would be
+    left to ask are indexed under their empty segments as well.
+    """
+
+    def __init__(self, flat: np.ndarray, sizes: np.ndarray, threshold: float):
+        bounds = classes(int(sizes.max(initial=1)), threshold)
+        counts, needs = segments(bounds, threshold)
+        own = np.searchsorted(bounds, sizes)
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        element = mix(flat.view(np.uint64), 1)
+        place = mix(element, 2)
+        self.levels = []
+        for below in (0, 1):
+            level = own - below
+            use = (sizes > 0) & (level >= 0)
+            m = np.where(use, counts[np.maximum(level, 0)], 0)
+            first = np.append(0, np.cumsum(m))
+            mine = use[doc]
+            d, e = doc[mine], element[mine]
+            slot = first[d] + (place[mine] % m[d].astype(np.uint64)).astype(np.int64)
+            sums = np.zeros(first[-1], dtype=np.uint64)
+            np.add.at(sums, slot, e)
+            held = np.bincount(slot, minlength=first[-1])
+            owner = np.repeat(np.arange(len(sizes)), m)
+            weak = np.bincount(owner, weights=held <= 1, minlength=len(sizes)).astype(np.int64)
+            ask = np.where(use, needs[np.maximum(level, 0)], 0) - weak
+            salt = mix((level[owner].astype(np.uint64) << np.uint64(40)) | (np.arange(first[-1]) - first[owner]).astype(np.uint64), 3)
+            # what a row says of its record and level: how much to ask, whether it is the level below
+            info = np.maximum(ask, 0) * 4 + below * 2
+            self.levels.append((d, e, slot, sums, held, owner, salt, info, ask <= 0))
+
+    def whole(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, key, info) of every whole segment."""
+        out = []
+        for _, _, _, sums, held, owner, salt, info, every in self.levels:
+            use = (held > 0) | every[owner]
+            out.append((owner[use], mix(sums[use], 4) ^ salt[use], info[owner[use]] + 1))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+    def variants(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(row, key, info) of every segment without one of its elements."""
+        out = []
+        for d, e, slot, sums, held, owner, salt, info, every in self.levels:
+            use = (held[slot] > 1) | every[d]
+            d, e, slot = d[use], e[use], slot[use]
+            out.append((d, mix(sums[slot] - e, 4) ^ salt[slot], info[d]))
+        return tuple(np.concatenate(x) for x in zip(*out))
+
+
+class KeyFilter:
+    """A Bloom filter over 64-bit keys, as packed bits."""
+
+    PROBES = 3
+
+    def __init__(self, bits: int, packed: np.ndarray | None = None):
+        self.bits = bits  # power of two
+        self.packed = np.zeros(1 << (bits - 3), dtype=np.uint8) if packed is None else packed
+
+    def _at(self, keys: np.ndarray, probe: int) -> np.ndarray:
+        return (mix(keys, 30 + probe) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def add(self, keys: np.ndarray) -> None:
+        at = np.sort(np.concatenate([self._at(keys, k) for k in range(self.PROBES)]))
+        at = at[np.diff(at, prepend=-1) != 0]
+        if len(at):
+            # the bits of one byte are different ones, so their sum is their union
+            first = np.flatnonzero(np.diff(at >> 3, prepend=-1))
+            self.packed[at[first] >> 3] |= np.add.reduceat((1 << (at & 7)).astype(np.uint8), first)
+
+    def holds(self, keys: np.ndarray) -> np.ndarray:
+        """Positions of the keys that may be in the filter."""
+        left = np.arange(len(keys))
+        for k in range(self.PROBES):
+            at = self._at(keys[left], k)
+            left = left[(self.packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0]
+        return left
+
+
+def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    lists = batch.column(1)
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.diff(lists.offsets.to_numpy()).astype(np.int64)
+
+
+def whole_keys(sets: DataFrame, threshold: float) -> KeyFilter | None:
+    """The filter of all whole-segment keys of (id, seqs); None where it would exceed MOST_BITS.
+
+    Each task fills a filter of its own; they are united slice by slice in a shuffle, so the driver
+    gets one filter, whatever the number of tasks.
+    """
+    elements = sets.agg(F.sum(F.size("seqs"))).first()[0] or 0
+    # both levels together have at most 0.4 segments an element, and 16 bits for each leave 0.5 % of strangers
+    bits = max(16, int(np.ceil(np.log2(max(1, elements * 0.4 * 16)))))
+    if bits > MOST_BITS:
+        return None
+    piece = 1 << min(bits - 3, 20)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mine = KeyFilter(bits)
+        for batch in batches:
+            mine.add(Signatures(*_flat(batch), threshold).whole()[1])
+        parts = mine.packed.reshape(-1, piece)
+        live = np.flatnonzero(parts.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(live.astype(np.int32)), pa.array([parts[i].tobytes() for i in live], pa.binary())], names=["part", "bits"])
+
+    def unite(t: pa.Table) -> pa.Table:
+        got = np.zeros(piece, dtype=np.uint8)
+        for b in t.column("bits"):
+            got |= np.frombuffer(b.as_py(), dtype=np.uint8)
+        return pa.table({"part": pa.array([t.column("part")[0].as_py()], pa.int32()), "bits": pa.array([got.tobytes()], pa.binary())})
+
+    rows = sets.select("id", "seqs").mapInArrow(run, "part int, bits binary").groupBy("part").applyInArrow(unite, "part int, bits binary").collect()
+    out = KeyFilter(bits)
+    for part, held in rows:
+        out.packed[part * piece : (part + 1) * piece] = np.frombuffer(held, dtype=np.uint8)
+    return out
 
 
 def signature_rows(sets: DataFrame, threshold: float) -> DataFrame:
-    """(key, id, n, whole) from (id, seqs)."""
+    """(key, id, n, info) from (id, seqs): whole segments, and the variants that some whole segment may equal.
+
+    A variant is dropped before any shuffle where the filter of whole keys does not know it: it has no
+    partner then. Where the filter would be too large, all variants are shuffled; the pairs are the same.
+    """
+    known = whole_keys(sets, threshold)
+    sent = sets.sparkSession.sparkContext.broadcast(known.packed) if known else None
+    bits = known.bits if known else 0
+    known = None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keep = KeyFilter(bits, sent.value) if sent else None
         for batch in batches:
-            lists = batch.column(1)
-            flat = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            sizes = np.diff(lists.offsets.to_numpy()).astype(np.int64)
-            row, key, whole = variants(flat, sizes, threshold)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(key.view(np.int64)), batch.column(0).take(pa.array(row)), pa.array(sizes[row].astype(np.int32)), pa.array(whole)],
-                names=["key", "id", "n", "whole"],
-            )
+            flat, sizes = _flat(batch)
+            signed = Signatures(flat, sizes, threshold)
+            for k, (row, key, info) in enumerate((signed.whole(), signed.variants())):
+                if k and keep:
+                    at = keep.holds(key)
+                    row, key, info = row[at], key[at], info[at]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(key.view(np.int64)), batch.column(0).take(pa.array(row)), pa.array(sizes[row].astype(np.int32)), pa.array(info.astype(np.int16))],
+                    names=["key", "id", "n", "info"],
+                )
 
-    return sets.select("id", "seqs").mapInArrow(run, f"key bigint, id {sets.schema['id'].dataType.simpleString()}, n int, whole boolean")
+    return sets.select("id", "seqs").mapInArrow(run, f"key bigint, id {sets.schema['id'].dataType.simpleString()}, n int, info smallint")
 
 
 class Similar:
@@ -93,26 +208,33 @@ class Similar:
 
     def __init__(self, df: DataFrame, id_col: str, text: Column, lead: Column | None = None, threshold: float = THRESHOLD, least: int = LEAST, run: int = RUN):
         """A record is its text, or lead + space + text; the text alone must have `least` sequences."""
-        s = led_sequences(lead, text, run) if lead is not None else F.transform(F.array(sequences(text, run)), lambda x: F.struct(x.alias("own"), x.alias("every")))[0]
-        pick = df.select(F.col(id_col).alias("id"), s.alias("s"))
-        sets = pick.where((F.size("s.own") >= least) & (F.size("s.every") > 0)).select("id", F.sort_array("s.every").alias("seqs"))
+        pick = df.select(F.col(id_col).alias("id"), text.alias("text"), *([] if lead is None else [lead.alias("lead")]))
+        sets = with_sequences(pick, "text", run, None if lead is None else "lead", least=max(1, least))
         self.sets = stored(sets.withColumn("copy", F.xxhash64("seqs")), "sets")
         self.threshold = threshold
         self.classes = self.sets.groupBy("copy").agg(F.min("id").alias("class_id"), F.count("*").alias("copies"))
-        self.members = self.sets.select("id", "copy").join(self.classes, "copy").select("id", "class_id", "copies")
+        self.members = stored(self.sets.select("id", "copy").join(self.classes, "copy").select("id", "class_id", "copies"), "members")
 
     def pairs(self) -> DataFrame:
         """(a, b, similarity) between class representatives, a < b."""
         t = self.threshold
-        reps = self.sets.join(self.classes.select(F.col("class_id").alias("id")), "id", "left_semi").select("id", "seqs")
-        rows = signature_rows(reps, t)
-        whole = rows.where("whole").select("key", F.col("id").alias("x"), F.col("n").alias("nx"))
-        every = rows.select("key", F.col("id").alias("y"), F.col("n").alias("ny"))
+        # the copies are named, not the representatives: they are fewer, and the sets need no shuffle while they are few
+        copies = self.members.where("id != class_id").select("id")
+        reps = self.sets.join(copies, "id", "left_anti").select("id", "seqs")
+        rows = stored(signature_rows(reps, t), "signatures")
+        one = rows.where("info % 2 = 1").select("key", F.col("id").alias("x"), F.col("n").alias("nx"), F.col("info").alias("ix"))
+        every = rows.select("key", F.col("id").alias("y"), F.col("n").alias("ny"), F.col("info").alias("iy"))
         near = F.least("nx", "ny") >= t * F.greatest("nx", "ny") - 1e-9
-        found = whole.join(every, "key").where((F.col("x") != F.col("y")) & near)
-        found = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        left = reps.select(F.col("id").alias("a"), F.col("seqs").alias("sa"))
-        right = reps.select(F.col("id").alias("b"), F.col("seqs").alias("sb"))
+        # a pair meets at the level of its smaller side, and once in each segment
+        once = F.expr("x != y and (iy % 2 = 0 or x < y) and not (ix % 4 >= 2 and iy % 4 >= 2)")
+        found = one.join(every, "key").where(once & near)
+        found = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.greatest("ix", "iy").alias("i"))
+        found = found.groupBy("a", "b").agg(F.count("*").alias("met"), F.max("i").alias("i"))
+        found = stored(found.where(F.col("met") >= F.greatest(F.lit(1), F.floor(F.col("i") / 4))).select("a", "b"), "candidates")
+        touched = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        asked = reps.join(touched, "id", "left_semi")
+        left = asked.select(F.col("id").alias("a"), F.col("seqs").alias("sa"))
+        right = asked.select(F.col("id").alias("b"), F.col("seqs").alias("sb"))
         both = found.join(left, "a").join(right, "b")
         return both.select("a", "b", jaccard(F.col("sa"), F.col("sb")).alias("similarity")).where(F.col("similarity") >= t)
 
@@ -127,13 +249,14 @@ class Similar:
         return wide.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
 
 
-def components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFrame:
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, group_id): connected components by alternating large and small stars, smallest id as label.
 
-    Every round works on pairs in shuffles only; lineage is cut by checkpoints in the shared folder.
+    The rounds end when nothing changes; their number grows with the logarithm of the edges. Every round works on pairs in shuffles only; lineage is cut by checkpoints in the shared folder.
     """
     e = cut(edges.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct())
-    for _ in range(rounds):
+    changed = True
+    while changed:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -144,8 +267,6 @@ def components(nodes: DataFrame, edges: DataFrame, rounds: int = 60) -> DataFram
         new = cut(small.where("u != v").distinct())
         changed = not new.exceptAll(e).isEmpty() or not e.exceptAll(new).isEmpty()
         e = new
-        if not changed:
-            break
     label = e.groupBy("u").agg(F.min("v").alias("g"))
     return nodes.join(label, nodes["id"] == label["u"], "left").select("id", F.coalesce("g", "id").alias("group_id"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from skein.llm import canonical, history, markup, mojibake, neardup, neighbours, packing, pii, splitting, tokens
 from skein.llm import queries as Q
+from skein.llm._common import with_sequences
 
 LONG = "word " * 40_000
 
@@ -177,7 +178,10 @@ def test_near_duplicates_lose_no_pair(spark):
     assert empty.all_pairs().count() == 0 and neardup.groups(empty).count() == 0
 
 
-def test_history_equals_a_sequential_pass(spark):
+@pytest.mark.parametrize("one_task, most_sent", [(200_000, 1_000_000), (0, 0)])
+def test_history_equals_a_sequential_pass(spark, monkeypatch, one_task, most_sent):
+    monkeypatch.setattr(history, "ONE_TASK", one_task)
+    monkeypatch.setattr(history, "MOST_SENT", most_sent)
     texts = corpus(2)
     rng = random.Random(5)
     data = [(i, f"2025-01-{rng.randrange(1, 8):02d}_weekly" if i % 17 else None, t, "x") for i, t in enumerate(texts)]
@@ -192,21 +196,40 @@ def test_history_equals_a_sequential_pass(spark):
             kept.append((i, s))
         else:
             want[i] = m
-    for deliveries in (1, 3, 50):
-        got = history.dedup_history(df, "seq", "batch", "body", deliveries)
-        assert dict(rows(got, "id", "match")) == want
+    got = history.dedup_history(df, "seq", "batch", "body")
+    assert dict(rows(got, "id", "match")) == want
     assert history.dedup_history(df.limit(0), "seq", "batch", "body").count() == 0
 
 
+def delivery(spark, texts, first=0):
+    df = spark.createDataFrame([(first + i, f"{first + i:04d}", t) for i, t in enumerate(texts)], "id long, rank string, text string")
+    return with_sequences(df, "text", 3, least=10)
+
+
 def test_history_survives_sessions(spark, tmp_path):
     texts = ["one text that has more than ten words in it so it can take part", "another text that has nothing in common with it but also many words inside"]
-    df = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
-    from skein.llm._common import sequences
-
-    part = history.with_keys(df.select("id", F.col("id").cast("string").alias("rank"), F.sort_array(sequences(F.col("t"))).alias("seqs")))
-    assert history.History(spark, f"file://{tmp_path}/h").deliver(part).count() == 0
-    later = part.withColumn("id", F.col("id") + 10).withColumn("rank", F.concat(F.lit("b"), "rank"))
-    assert rows(history.History(spark, f"file://{tmp_path}/h").deliver(later)) == [(10, 0), (11, 1)]
+    assert history.History(spark, f"file://{tmp_path}/h").deliver(delivery(spark, texts)).count() == 0
+    later = history.History(spark, f"file://{tmp_path}/h")
+    assert rows(later.deliver(delivery(spark, texts + texts[:1], 10))) == [(10, 0), (11, 1), (12, 0)]
+    with pytest.raises(ValueError):  # a delivery that is not later than the history
+        later.deliver(delivery(spark, ["some other text that nobody has seen so far in any of the deliveries"], 11))
+    assert later.deliver(delivery(spark, [])).count() == 0
+
+
+def test_history_moves_runs_and_reads_few_buckets(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(history, "RUNS", 3)
+    h = history.History(spark, f"file://{tmp_path}/h", buckets=64)
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(15))
+    for k in range(4):
+        assert h.deliver(delivery(spark, [text(100 * k + i) for i in range(20)], 100 * k)).count() == 0
+    assert h.store.hashed and len(h.store.runs) == 1
+    one = h.deliver(delivery(spark, [text(5)], 900))
+    assert rows(one) == [(900, 5)]
+    at = [spark.range(5, 6).select(history.bucket_of(F.col("id"), 64)).first()[0]]
+    assert 1 <= h.store.records(at).where("id < 300").count() < 60 / 8  # one bucket of the hashed part
+    assert h.store.bands(at).where("id < 300").count() < 60 * history.BANDS / 8
+    again = history.History(spark, f"file://{tmp_path}/h", buckets=64)
+    assert again.last == "0319" and again.store.records().count() == 80
 
 
 # ---- neighbours ----------------------------------------------------------------------------------------------------
@@ -255,36 +278,71 @@ PLAIN = ["for (auto& kv : freq) { if (kv.second > 4 && seen[kv.first] < k) heap.
 MARKED = ["<p>open", "closed.</div>", "one &nbsp; two", "&lt;b&gt;x", "<!-- c -->", "**unbalanced start", "[more](http://a.b)", "[[See also]]", "== Notes ==", "# Title", "text\n----", "$\\approx 3$", "\\ldots{} end", "{{tpl|x}}", "'''bold'''", "```\ncode\n```", "`code`", "~~gone~~", "$$x^2$$", "\\begin{itemize}\n\\item a\n\\end{itemize}", "| a | b |\n|---|---|"]
 
 
+#: Texts that show what their marks are for: what is opened is closed, list items repeat, headings differ.
+SHOWING = ["<p>one</p><div>two</div>", "**bold** and __more__ and ~~less~~", "== One ==\n\n# Two\n\n# Three", "first\n----\nmore", "second\n====\nmore", "- a\n- b", "<b>x</b> vector<int> v", "set<int> w; Map<string> m"]
+
+
+@pytest.fixture(scope="module")
+def learned(spark):
+    """Kinds of markup that the wrappers of one host show."""
+    df = spark.createDataFrame([("h", t) for t in SHOWING + MARKED], "host string, t string")
+    (row,) = markup.rules(*markup.infer_wrappers(df, "host", "t")).collect()
+    return set(row.kinds)
+
+
 @pytest.mark.parametrize("text", PLAIN)
-def test_plain_text_has_no_markup(text):
-    assert markup.clean(text, set(), set())[1] == 0
+def test_plain_text_has_no_markup(learned, text):
+    got, n = markup.clean(text, learned, set())
+    assert n == 0 and got == markup.tidy(text or "")
 
 
 @pytest.mark.parametrize("text", MARKED)
-def test_markup_is_found(text):
-    assert markup.clean(text, {"underlined"}, set())[1] >= 1
+def test_markup_is_found(learned, text):
+    assert markup.clean(text, learned, set())[1] >= 1
+    assert markup.clean(text, set(), set())[1] == 0  # nothing counts without the wrappers
 
 
 def test_cleaning_keeps_structure():
+    every = lambda text: {g[0] for g in markup.groups(text, markup.lex(text))}
+    clean = lambda text: markup.clean(text, every(text), set())
     text = "<nav>Home</nav><h2>Round &amp; one</h2><ul><li>a <b>b</b></li><li>c</li></ul><pre>x &lt; y</pre><math>\\frac{a}{b}</math>"
-    got = markup.clean(text, set(), set())[0]
+    got = clean(text)[0]
     assert "## Round & one" in got and "- a b" in got and "- c" in got and "```\nx < y\n```" in got and "$\\frac{a}{b}$" in got and "Home" not in got
-    assert markup.clean("\\section{Top}\n\\textbf{bold} and \\href{http://x}{text}", set(), set())[0] == "## Top\nbold and text"
-    assert markup.clean("<p>" * 500 + LONG, set(), set())[1] >= 1
+    assert clean("\\section{Top}\n\\textbf{bold} and \\href{http://x}{text}")[0] == "## Top\nbold and text"
+    assert clean("<p>" * 500 + LONG)[1] >= 1
+    # nothing depends on a distance: a brace, a mark, a formula and a fence that close far away
+    assert clean("\\textbf{" + "word " * 2000 + "}.")[0] == "word " * 2000 + "."
+    assert clean("**" + "`x` " * 600 + "y**")[0] == "`x` " * 600 + "y"
+    assert clean("$$" + "a+" * 3000 + "b$$")[0] == "$" + "a+" * 3000 + "b$"
+    assert clean("```\n" + "- x\n" * 600 + "```\n- y")[1] == 2
+
+
+def wrappers(spark, texts):
+    df = spark.createDataFrame([("h", t) for t in texts], "host string, t string")
+    return {r.kind: r for r in markup.readable(markup.infer_wrappers(df, "host", "t")[0]).collect()}
+
+
+def test_wrappers_align(spark):
+    got = wrappers(spark, ["<ul><li>a</li><li>b</li></ul>", "<ul><li>c</li></ul> <i>x</i>", "<ul><li>d <b>e</b></li>x</ul>"])
+    assert got["<ul>"].expression in ("<ul> ( <li> )+ ( #text )? </ul>", "<ul> ( <li> )+ ( 'x' )? </ul>") and got["<ul>"].support == 3
+    assert got["<li>"].expression.startswith("<li> #text") and got["<li>"].expression.endswith("</li>") and "<b>" in got["<li>"].expression
+    assert got["<b>"].expression == "<b> 'e' </b>"
 
 
-def test_wrappers_align():
-    w = markup.Wrappers()
-    for t in ("<ul><li>a</li><li>b</li></ul>", "<ul><li>c</li></ul>", "<ul><li>d <b>e</b></li></ul>"):
-        for kind, _, _, s in markup.groups(t, markup.lex(t)):
-            w.add("h", kind, s)
-    text = markup.expression(w.shape[("h", "<ul>")])
-    assert text.startswith("<ul>") and text.endswith("</ul>") and "#text" in text and ")?" in text and w.support[("h", "<ul>")] == 3
+def test_wrappers_do_not_depend_on_the_order(spark):
+    texts = [f"<div><h2>t{i}</h2>" + "<p>x</p>" * (i % 3) + "<ul><li>a</li></ul>" * (i % 2) + "</div>" for i in range(12)]
+    assert wrappers(spark, texts) == wrappers(spark, texts[::-1])
 
 
-def test_ambiguous_groups_need_support(spark):
-    df = spark.createDataFrame([(1, "http://a.b/1", "- one\n- two", "x"), (2, "http://a.b/2", "- three", "x"), (3, "http://c.d/1", "- lone dash", "x"), (4, None, None, "x"), (5, "http://a.b/3", " ", "x")], "id long, url string, body string, host string")
-    assert rows(markup.clean_texts(df, "id", "url", "body"), "id", "n_markup") == [(1, 1), (2, 1), (3, 0), (4, 0), (5, 0)]
+def test_ambiguous_groups_need_a_wrapper(spark):
+    cols = "id long, url string, body string, host string"
+    lists = [(1, "http://a.b/1", "- one\n- two", "x"), (2, "http://a.b/2", "- three", "x"), (4, None, None, "x"), (5, "http://a.b/3", " ", "x")]
+    df = spark.createDataFrame(lists + [(3, "http://c.d/1", "vector<int> v", "x"), (6, "http://c.d/2", "<em>open", "x")], cols)
+    assert rows(markup.clean_texts(df, "id", "url", "body"), "id", "n_markup") == [(1, 1), (2, 1), (3, 0), (4, 0), (5, 0), (6, 0)]
+    closed = df.unionByName(spark.createDataFrame([(7, "http://e.f/1", "<em>closed</em>", "x")], cols))  # another host shows it
+    assert rows(markup.clean_texts(closed, "id", "url", "body"), "id", "n_markup") == [(1, 1), (2, 1), (3, 0), (4, 0), (5, 0), (6, 1), (7, 1)]
+    lone = spark.createDataFrame([(3, "http://c.d/1", "- lone dash", "x")], cols)
+    assert rows(markup.clean_texts(lone, "id", "url", "body"), "id", "n_markup", "clean_text") == [(3, 0, "- lone dash")]
     assert markup.clean_texts(df.limit(0), "id", "url", "body").count() == 0
 
 
