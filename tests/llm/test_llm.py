@@ -349,7 +349,9 @@ def test_ambiguous_groups_need_a_wrapper(spark):
 # ---- personal information, canonical values, encodings -------------------------------------------------------------
 
 
-def test_personal_values(spark, sf):
+@pytest.mark.parametrize("most_sent", [200_000, 0])
+def test_personal_values(spark, monkeypatch, most_sent):
+    monkeypatch.setattr(pii, "MOST_SENT", most_sent)
     lines = ["Write to {0}.{1}@mail.example.org today", "I sat next to {N} during the test", "Thanks to {N} for the referral", "Call me on +44 20 7946 0{i} for a referral", "Call me on 0{i}7-55512 for a referral", "I live at 12 Fennel Court, Velanagar 560{i}, so"]
     first, last = ["Anvika", "Pavlo", "Odrin", "Mirelo"], ["Rosmede", "Karmolen", "Vintresh"]
     data, n = [], 0
