@@ -6,8 +6,8 @@ smaller one. The bits are cut (by hash) into a little more than d / 2 segments,
 differ by at most one bit: such a segment is equal, or one side has one element more. Every record is
 indexed under the hash of each whole segment and of each segment without one of its elements; an
 equality join of whole segments with both kinds finds every pair, and exact similarity decides. There
-is no loss by chance: recall is complete but for collisions of 64-bit hashes. Most variants have no
-partner; a filter of the whole keys, sent along while it is small, drops them before the shuffle.
+is no loss by chance: recall is complete but for collisions of 64-bit hashes. Most signatures have no
+partner; filters of the keys, sent along while they are small, drop them before the shuffle.
 
 m depends on the size, so records fall into size classes of ratio 1/t; a record is indexed at its
 own level and, as the larger partner, at the level below. Records with equal sets are joined once,
@@ -19,7 +19,7 @@ sequences take no part; ties need no order as all pairs come out; an empty table
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 from skein.llm._common import cut, jaccard, mix, stored, with_sequences
 
 THRESHOLD, LEAST, RUN = 0.8, 10, 3
-#: Largest filter of whole keys that is sent to the tasks: 2^29 bits, 64 MB.
-MOST_BITS = 29
+#: Largest filter of keys that is sent to the tasks: 2^28 bits, 32 MB.
+MOST_BITS = 28
 
 
 def classes(largest: int, threshold: float) -> np.ndarray:
@@ -108,31 +108,45 @@ class Signatures:
 
 
 class KeyFilter:
-    """A Bloom filter over 64-bit keys, as packed bits."""
+    """Bloom filters over 64-bit keys, as packed bits: of the keys added, and of those added twice."""
 
     PROBES = 3
 
-    def __init__(self, bits: int, packed: np.ndarray | None = None):
+    def __init__(self, bits: int, once: np.ndarray | None = None, twice: np.ndarray | None = None):
         self.bits = bits  # power of two
-        self.packed = np.zeros(1 << (bits - 3), dtype=np.uint8) if packed is None else packed
+        self.once = np.zeros(1 << (bits - 3), dtype=np.uint8) if once is None else once
+        self.twice = np.zeros_like(self.once) if twice is None else twice
 
     def _at(self, keys: np.ndarray, probe: int) -> np.ndarray:
         return (mix(keys, 30 + probe) >> np.uint64(64 - self.bits)).astype(np.int64)
 
     def add(self, keys: np.ndarray) -> None:
         at = np.sort(np.concatenate([self._at(keys, k) for k in range(self.PROBES)]))
-        at = at[np.diff(at, prepend=-1) != 0]
+        new = np.diff(at, prepend=-1) != 0
+        again = at[~new]
+        at = at[new]
+        self._set(self.twice, again[np.diff(again, prepend=-1) != 0])
+        self._set(self.twice, at[(self.once[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0])
+        self._set(self.once, at)
+
+    @staticmethod
+    def _set(packed: np.ndarray, at: np.ndarray) -> None:
+        """Set sorted, different bits."""
         if len(at):
             # the bits of one byte are different ones, so their sum is their union
             first = np.flatnonzero(np.diff(at >> 3, prepend=-1))
-            self.packed[at[first] >> 3] |= np.add.reduceat((1 << (at & 7)).astype(np.uint8), first)
+            packed[at[first] >> 3] |= np.add.reduceat((1 << (at & 7)).astype(np.uint8), first)
 
-    def holds(self, keys: np.ndarray) -> np.ndarray:
-        """Positions of the keys that may be in the filter."""
+    def unite(self, other: KeyFilter) -> None:
+        self.twice |= other.twice | (self.once & other.once)
+        self.once |= other.once
+
+    def holds(self, keys: np.ndarray, packed: np.ndarray) -> np.ndarray:
+        """Positions of the keys that may be in the filter with these bits."""
         left = np.arange(len(keys))
         for k in range(self.PROBES):
             at = self._at(keys[left], k)
-            left = left[(self.packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0]
+            left = left[(packed[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0]
         return left
 
 
@@ -141,59 +155,63 @@ def _flat(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.diff(lists.offsets.to_numpy()).astype(np.int64)
 
 
-def whole_keys(sets: DataFrame, threshold: float) -> KeyFilter | None:
-    """The filter of all whole-segment keys of (id, seqs); None where it would exceed MOST_BITS.
-
-    Each task fills a filter of its own; they are united slice by slice in a shuffle, so the driver
-    gets one filter, whatever the number of tasks.
-    """
-    elements = sets.agg(F.sum(F.size("seqs"))).first()[0] or 0
-    # both levels together have at most 0.4 segments an element, and 16 bits for each leave 0.5 % of strangers
-    bits = max(16, int(np.ceil(np.log2(max(1, elements * 0.4 * 16)))))
-    if bits > MOST_BITS:
-        return None
+def filled(sets: DataFrame, bits: int, threshold: float, keys: Callable[[Signatures], np.ndarray]) -> KeyFilter:
+    """The filter of the keys of (id, seqs). Each task fills its own; they are united slice by slice in a shuffle, so the driver gets one."""
     piece = 1 << min(bits - 3, 20)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = KeyFilter(bits)
         for batch in batches:
-            mine.add(Signatures(*_flat(batch), threshold).whole()[1])
-        parts = mine.packed.reshape(-1, piece)
-        live = np.flatnonzero(parts.any(axis=1))
-        yield pa.RecordBatch.from_arrays([pa.array(live.astype(np.int32)), pa.array([parts[i].tobytes() for i in live], pa.binary())], names=["part", "bits"])
+            mine.add(keys(Signatures(*_flat(batch), threshold)))
+        once, twice = mine.once.reshape(-1, piece), mine.twice.reshape(-1, piece)
+        live = np.flatnonzero(once.any(axis=1))
+        yield pa.RecordBatch.from_arrays([pa.array(live.astype(np.int32)), *(pa.array([x[i].tobytes() for i in live], pa.binary()) for x in (once, twice))], names=["part", "once", "twice"])
 
     def unite(t: pa.Table) -> pa.Table:
-        got = np.zeros(piece, dtype=np.uint8)
-        for b in t.column("bits"):
-            got |= np.frombuffer(b.as_py(), dtype=np.uint8)
-        return pa.table({"part": pa.array([t.column("part")[0].as_py()], pa.int32()), "bits": pa.array([got.tobytes()], pa.binary())})
+        got = KeyFilter(0, np.zeros(piece, dtype=np.uint8))
+        for a, b in zip(t.column("once"), t.column("twice")):
+            got.unite(KeyFilter(0, *(np.frombuffer(x.as_py(), dtype=np.uint8) for x in (a, b))))
+        return pa.table({"part": t.column("part").slice(0, 1), "once": pa.array([got.once.tobytes()], pa.binary()), "twice": pa.array([got.twice.tobytes()], pa.binary())})
 
-    rows = sets.select("id", "seqs").mapInArrow(run, "part int, bits binary").groupBy("part").applyInArrow(unite, "part int, bits binary").collect()
+    schema = "part int, once binary, twice binary"
     out = KeyFilter(bits)
-    for part, held in rows:
-        out.packed[part * piece : (part + 1) * piece] = np.frombuffer(held, dtype=np.uint8)
+    for part, once, twice in sets.select("id", "seqs").mapInArrow(run, schema).groupBy("part").applyInArrow(unite, schema).collect():
+        at = slice(part * piece, (part + 1) * piece)
+        out.once[at], out.twice[at] = np.frombuffer(once, dtype=np.uint8), np.frombuffer(twice, dtype=np.uint8)
     return out
 
 
 def signature_rows(sets: DataFrame, threshold: float) -> DataFrame:
-    """(key, id, n, info) from (id, seqs): whole segments, and the variants that some whole segment may equal.
+    """(key, id, n, info) from (id, seqs): whole segments and variants, but for those that cannot have a partner.
 
-    A variant is dropped before any shuffle where the filter of whole keys does not know it: it has no
-    partner then. Where the filter would be too large, all variants are shuffled; the pairs are the same.
+    A variant is dropped before any shuffle where no whole segment has its key, and a whole segment where
+    neither another one nor a kept variant has. Where the filters would be too large, all rows are
+    shuffled; the pairs are the same.
     """
-    known = whole_keys(sets, threshold)
-    sent = sets.sparkSession.sparkContext.broadcast(known.packed) if known else None
-    bits = known.bits if known else 0
-    known = None
+    context = sets.sparkSession.sparkContext
+    elements = sets.agg(F.sum(F.size("seqs"))).first()[0] or 0
+    # both levels together have at most 0.4 segments an element, and 16 bits for each leave 0.5 % of strangers
+    bits = max(16, int(np.ceil(np.log2(max(1, elements * 0.4 * 16)))))
+    sent = None
+    if bits <= MOST_BITS:
+        whole = filled(sets, bits, threshold, lambda s: s.whole()[1])
+        known = context.broadcast(whole.once)
+
+        def kept(s: Signatures) -> np.ndarray:
+            key = s.variants()[1]
+            return key[KeyFilter(bits, known.value).holds(key, known.value)]
+
+        wanted = context.broadcast(filled(sets, bits, threshold, kept).once | whole.twice)
+        sent = known, wanted
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        keep = KeyFilter(bits, sent.value) if sent else None
         for batch in batches:
             flat, sizes = _flat(batch)
             signed = Signatures(flat, sizes, threshold)
             for k, (row, key, info) in enumerate((signed.whole(), signed.variants())):
-                if k and keep:
-                    at = keep.holds(key)
+                if sent:
+                    packed = sent[1 - k].value
+                    at = KeyFilter(bits, packed, packed).holds(key, packed)
                     row, key, info = row[at], key[at], info[at]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(key.view(np.int64)), batch.column(0).take(pa.array(row)), pa.array(sizes[row].astype(np.int32)), pa.array(info.astype(np.int16))],

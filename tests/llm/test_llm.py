@@ -156,7 +156,9 @@ def similar(a, b):
     return len(a & b) / len(a | b) >= 0.8
 
 
-def test_near_duplicates_lose_no_pair(spark):
+@pytest.mark.parametrize("most_bits", [28, 0])
+def test_near_duplicates_lose_no_pair(spark, monkeypatch, most_bits):
+    monkeypatch.setattr(neardup, "MOST_BITS", most_bits)
     texts = corpus() + ["hot copy of one text with enough words to take part in the comparison here"] * 30
     df = spark.createDataFrame([(i, t, "z") for i, t in enumerate(texts)], "id long, body string, seqs string")
     s = neardup.Similar(df, "id", F.col("body"))
