@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from skein.llm._common import cut, jaccard, mix, stored, with_sequences
+from skein.llm._common import cut, drop, jaccard, mix, stored, with_sequences
 
 THRESHOLD, LEAST, RUN = 0.8, 10, 3
 #: Largest filter of keys that is sent to the tasks: 2^28 bits, 32 MB.
@@ -249,6 +249,7 @@ class Similar:
         found = found.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.greatest("ix", "iy").alias("i"))
         found = found.groupBy("a", "b").agg(F.count("*").alias("met"), F.max("i").alias("i"))
         found = stored(found.where(F.col("met") >= F.greatest(F.lit(1), F.floor(F.col("i") / 4))).select("a", "b"), "candidates")
+        drop(rows.sparkSession, rows)
         touched = found.select(F.explode(F.array("a", "b")).alias("id")).distinct()
         asked = reps.join(touched, "id", "left_semi")
         left = asked.select(F.col("id").alias("a"), F.col("seqs").alias("sa"))
