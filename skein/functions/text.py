@@ -192,23 +192,37 @@ def quality_score(n_words: Column, ratio: Column) -> Column:
     return F.round(0.5 * length + 0.5 * F.least(F.lit(1.0), ratio / 0.10), 3)
 
 
-#: Function words by which a language is voted for; a parameter of `language`.
+#: Letters of scripts that stand for one language here: language, pattern of one letter. Kana comes before the ideographs.
+SCRIPTS = (("ru", r"[\x{0400}-\x{04FF}]"), ("hi", r"[\x{0900}-\x{097F}]"), ("ja", r"[\x{3040}-\x{30FF}]"), ("zh", r"[\x{4E00}-\x{9FFF}]"), ("ko", r"[\x{AC00}-\x{D7A3}]"), ("ar", r"[\x{0600}-\x{06FF}]"), ("el", r"[\x{0370}-\x{03FF}]"))
+#: Function words by which a language in Latin letters is voted for; a parameter of `language`.
 STOP_WORDS = {
-    "en": "the and of to in that is was for with i my they it on",
-    "es": "el la los de que y en un una por con se no para",
-    "fr": "le la les de et un une des est dans que pour il je",
-    "de": "der die das und ich ist nicht ein eine zu mit den war",
-    "pt": "o a os de que e um uma em para com não foi se",
+    "en": "the and of to in that is was for with i my they it on we this at are be",
+    "es": "el la los de que y en un una por con se no para es las del al fue lo",
+    "fr": "le la les de et un une des est dans que pour il je en au du sur pas avec",
+    "de": "der die das und ich ist nicht ein eine zu mit den war im auf für es wir sie von",
+    "pt": "o a os de que e um uma em para com não foi se do da no na ao as",
+    "it": "il la di che e un una per con non sono del della gli in si le da come anche",
+    "nl": "de het een en van ik is niet op te dat met voor zijn was er aan ook als naar",
 }
 
 
-def language(text: Column, lists: dict[str, str] = STOP_WORDS, chars: int = 1000, least: int = 50) -> Column:
-    """The language whose function words are most frequent at the beginning; `en` for short texts, null for none."""
-    head = words(F.lower(F.substring(text, 1, chars)))
-    count = lambda v: F.size(F.filter(head, lambda w: w.isin(*v.split())))
-    votes = [F.struct(count(v).alias("n"), F.lit(-i).alias("o"), F.lit(k).alias("l")) for i, (k, v) in enumerate(lists.items())]
-    best = F.array_max(F.array(*votes))
-    return F.when(F.length(text) < least, F.lit("en")).when(best["n"] > 0, best["l"])
+def language(text: Column, lists: dict[str, str] = STOP_WORDS, chars: int = 1000, least: int = 50, keywords=P.SIGNAL) -> Column:
+    """The language of the beginning of a text: by script where most letters are of one, else by function words; `en` for short texts.
+
+    Japanese needs a tenth of its letters in kana. A text without letters, from which nothing can be said, counts as `en`,
+    and so does one without function words that has an English keyword; other Latin letters are `und`.
+    """
+
+    def vote(head: Column) -> Column:
+        n = lambda p: F.regexp_count(head, F.lit(p))
+        latin = n(r"[A-Za-z\x{00C0}-\x{024F}]")
+        script = F.array_max(F.array(*[F.struct((n(p) * (10 if k == "ja" else 1)).alias("n"), F.lit(-i).alias("o"), F.lit(k).alias("l")) for i, (k, p) in enumerate(SCRIPTS)]))
+        found = words(F.regexp_replace(F.lower(head), r"[.,;:!?()\"]", " "))
+        count = lambda v: F.size(F.filter(found, lambda w: w.isin(*v.split())))
+        word = F.array_max(F.array(*[F.struct(count(v).alias("n"), F.lit(-i).alias("o"), F.lit(k).alias("l")) for i, (k, v) in enumerate(lists.items())]))
+        return F.when(script["n"] > latin, script["l"]).when(latin == 0, "en").when(word["n"] > 0, word["l"]).when(F.exists(found, lambda w: w.isin(*keywords)), "en").otherwise("und")
+
+    return F.when(F.length(text) < least, F.lit("en")).otherwise(_bind(F.substring(text, 1, chars), vote))
 
 
 def rejection(text: Column, n_words: Column) -> Column:
@@ -263,73 +277,14 @@ def company_in_title(title: Column) -> Column:
     return F.coalesce(*[F.when(F.length(f).between(2, 50), f) for f in found])
 
 
-def longest_alias(text: Column, aliases: Column) -> Column:
-    """Canonical name of the longest alias the text holds; aliases is array<struct<alias, canonical>> in order of precedence."""
-
-    def first(low):
-        hit = F.filter(aliases, lambda a: F.contains(low, F.lower(a["alias"])) & F.regexp(low, F.concat(F.lit(r"\b\Q"), F.lower(a["alias"]), F.lit(r"\E\b"))))
-        return F.get(F.transform(hit, lambda a: a["canonical"]), F.lit(0))
-
-    return _bind(F.lower(text), first)
-
-
-#: Phrases before a role, tried in order.
-ROLE_TRIGGERS = (
-    r"(?:for\s+the\s+)?role\s+(?:of|:)\s+",
-    r"(?:applied|applying)\s+(?:for|as)\s+(?:the\s+)?(?:role\s+of\s+)?",
-    r"interview(?:ed)?\s+for\s+(?:the\s+)?(?:role\s+of\s+)?(?:a\s+)?",
-    r"(?:hiring|recruited?)\s+for\s+(?:the\s+)?",
-    r"(?:offered|selected\s+for)\s+(?:the\s+)?(?:role\s+of\s+)?",
-    r"(?:position|designation)\s*:\s*",
-    r"target\s+position\s*:\s*",
-)
-
-
-def _alias_after(text: Column, aliases: Column, before: str, level: bool) -> Column:
-    """The first alias in order that stands after a phrase, with a level number behind it where one is asked for."""
-    low = F.lower(text)
-    pattern = lambda a: F.concat(F.lit(before + r"\Q"), F.lower(a["alias"]), F.lit(r"\E" + (r"[\s\-]*(\d{1,2})?\b" if level else r"\b")))
-    # the plain test comes first: only aliases that occur at all are compiled to a pattern
-    hit = F.get(F.filter(aliases, lambda a: F.contains(low, F.lower(a["alias"])) & F.regexp(low, pattern(a))), F.lit(0))
-    if not level:
-        return hit["canonical"]
-    n = F.call_function("regexp_extract", low, pattern(hit), F.lit(1))
-    return F.when(hit.isNotNull(), F.concat(hit["canonical"], F.when(F.coalesce(n, F.lit("")) != "", F.concat(F.lit(" "), n)).otherwise(F.lit(""))))
-
-
-def role(title: Column, content: Column, aliases: Column) -> Column:
-    """The role of a document: alias and level in the title, else after a phrase in the first 500 characters, else anywhere.
-
-    aliases is array<struct<alias, canonical>>, longest alias first.
-    """
-    head = F.substring(content, 1, 500)
-    by_phrase = [_alias_after(head, aliases, t, True) for t in ROLE_TRIGGERS]
-    return F.coalesce(_alias_after(title, aliases, r"\b", True), *by_phrase, _alias_after(head, aliases, r"\b", False), _alias_after(content, aliases, r"\b", False))
+#: A run of capitalised words after a word or comma.
+CAPITALS = r"[a-z,] ([A-Z][\w&]+(?: [A-Z][\w&]+){0,2})"
 
 
-#: Capitalised words that are no company; a parameter of `company_by_capitals`.
-NOT_COMPANIES = ("I", "The", "My", "Round", "Java", "Python", "SQL", "HR", "API", "Monday", "Interview", "Experience", "Google Meet", "Zoom", "LinkedIn")
-
-
-def company_by_capitals(text: Column, blocked=NOT_COMPANIES, chars: int = 500) -> Column:
+def company_by_capitals(text: Column, blocked=P.NOT_COMPANIES) -> Column:
     """The first run of capitalised words inside a sentence, of 2 to 50 characters and not blocked: the fallback without a trained tagger."""
-    runs = F.regexp_extract_all(F.substring(text, 1, chars), F.lit(r"(?<=[a-z,] )([A-Z][\w&]+(?: [A-Z][\w&]+){0,2})"), F.lit(1))
-    return F.get(F.filter(runs, lambda r: ~r.isin(*blocked) & F.length(r).between(2, 50)), F.lit(0))
-
-
-def company_name(found: Column, aliases: Column) -> Column:
-    """The canonical name of an alias, else the trimmed text with capital initials."""
-    known = F.get(F.filter(aliases, lambda a: F.lower(a["alias"]) == F.lower(F.trim(found))), F.lit(0))["canonical"]
-    return F.coalesce(known, F.initcap(F.trim(found)))
-
-
-def company(title: Column, content: Column, aliases: Column) -> Column:
-    """The company of a document: by the form of the title, else listed in title, first 500 characters or whole text, else by capitals; under its canonical name.
-
-    aliases is array<struct<alias, canonical>>, longest alias first.
-    """
-    listed = [longest_alias(t, aliases) for t in (title, F.substring(content, 1, 500), content)]
-    return F.coalesce(company_name(company_in_title(title), aliases), *listed, company_name(company_by_capitals(content), aliases))
+    runs = F.regexp_extract_all(text, F.lit(CAPITALS), F.lit(1))
+    return F.get(F.filter(runs, lambda r: ~F.lower(r).isin(*blocked) & F.length(r).between(2, 50)), F.lit(0))
 
 
 def safe_enum(value: Column, allowed: list[str]) -> Column:
@@ -380,3 +335,20 @@ def published(value: Column) -> Column:
     v = F.trim(value)
     forms = ("yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "yyyy-MM-dd'T'HH:mm:ssXXX", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd", "dd MMM, yyyy", "d MMM, yyyy", "MMM d, yyyy", "dd/MM/yyyy")
     return F.coalesce(*[F.try_to_timestamp(v, F.lit(f)) for f in forms])
+
+
+def embedding_column(model: Column) -> Column:
+    """Column of a model's vectors: the last part of its name in lower case with underscores."""
+    return F.lower(F.concat(F.lit("embeddings_"), F.replace(F.substring_index(model, "/", -1), F.lit("-"), F.lit("_"))))
+
+
+def run_name(model: Column, dims: Column, mode: Column, vector_weight: Column, lexical_weight: Column, k: Column) -> Column:
+    """Name of an evaluation run: model and dimensions, then the mode, with its weights where it is hybrid."""
+    base = F.concat(model, F.lit("_dim"), dims.cast("string"))
+    hybrid = F.concat(base, F.lit("_hybrid_v"), vector_weight.cast("string"), F.lit("_b"), lexical_weight.cast("string"), F.lit("_rrf"), k.cast("string"))
+    return F.when(mode == "hybrid", hybrid).otherwise(F.concat(base, F.lit("_"), mode))
+
+
+def report_name(completed: Column) -> Column:
+    """File name of a load report, from the time it was completed at."""
+    return F.concat(F.lit("db_load_"), F.date_format(completed, "yyyyMMdd'T'HHmmss"), F.lit(".json"))

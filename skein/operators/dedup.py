@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skein.functions import text as T
 from skein.operators.minhash import with_keys
+from skein.operators.relational import cut
 
 #: Bands and rows of the signature, threshold of the verification, sequences below which only exact removal applies, words of a sequence.
 BANDS, ROWS, THRESHOLD, LEAST, RUN = 42, 6, 0.8, 10, 3
@@ -68,14 +67,6 @@ def set_pairs(sets: DataFrame, threshold: float = THRESHOLD, verify: bool = True
     return both.where(F.col("similarity") >= threshold) if verify else both
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Write to the checkpoint folder the cluster names (a temporary one only where none is set, as in tests)."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="skein-"))
-    return df.checkpoint(eager=True)
-
-
 def greedy(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     """(id, duplicate_of): null for rows kept in order of id; others resemble a kept earlier row, the first of which is named.
 
@@ -109,3 +100,26 @@ def near_duplicates(df: DataFrame, id_col: str, text: str, least: int = LEAST, *
     of = near.withColumnRenamed("id", "first_id")
     out = exact.join(of, "first_id", "left")
     return out.select("id", F.when(F.col("is_first"), F.col("duplicate_of")).otherwise(F.coalesce("duplicate_of", "first_id")).alias("duplicate_of"))
+
+
+def first_collisions(df: DataFrame, id_col: str, text: str, least: int = LEAST) -> DataFrame:
+    """(id, duplicate_of): rows that share a band of the loose layout with an earlier row, and the first such row; nothing is verified."""
+    pairs = near_pairs(df, id_col, text, least, verify=False)
+    return pairs.groupBy(F.col("b").alias("id")).agg(F.min("a").alias("duplicate_of"))
+
+
+def save_state(sets: DataFrame, path: str) -> None:
+    """Keep the signatures of accepted sets (id, shingles): band keys for probing, and the sets for verification."""
+    keyed = with_keys(sets.select("id", "shingles"), "shingles", BANDS, ROWS)
+    keyed.write.mode("append").parquet(path)
+
+
+def against_state(sets: DataFrame, path: str, threshold: float = THRESHOLD) -> DataFrame:
+    """(id, duplicate_of) of the sets (id, shingles) that resemble a kept one, the first of which is named; the kept ones are not signed again."""
+    kept = sets.sparkSession.read.parquet(path)
+    asked = with_keys(sets.select("id", "shingles"), "shingles", BANDS, ROWS).select("id", F.explode("keys").alias("key"))
+    met = asked.join(kept.select(F.col("id").alias("a"), F.explode("keys").alias("key")), "key").select("id", "a").distinct()
+    both = met.join(sets.select("id", "shingles"), "id").join(kept.select(F.col("id").alias("a"), F.col("shingles").alias("sa")), "a")
+    shared = F.size(F.array_intersect("shingles", "sa"))
+    near = both.where(shared / (F.size("shingles") + F.size("sa") - shared) >= threshold)
+    return near.groupBy("id").agg(F.min("a").alias("duplicate_of"))

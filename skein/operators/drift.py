@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 #: Limits of centroid distance, 95th percentile of the shift, share of drifted dimensions; limits to be broken; queries needed.
 CENTROID, SHIFT, SHARE, BROKEN, LEAST, ALPHA = 0.15, 2.0, 0.30, 2, 20, 0.05
-#: Width of the value buckets in which ranks are counted; results do not depend on it.
-BUCKET = 1e-3
+#: Share of the baseline by which a score may fall.
+DEGRADATION = 0.03
+#: Buckets of values of a dimension in which ranks are counted; results do not depend on it.
+BUCKETS = 4096
 
 
 def long(df: DataFrame, vector: str) -> DataFrame:
@@ -39,11 +41,15 @@ def two_sample(reference: DataFrame, current: DataFrame, vector: str) -> DataFra
     """(dim, n_ref, n_cur, ks): the exact two-sample statistic of every dimension.
 
     Ranks are counted in two steps, so no task sorts a whole dimension: counts per bucket of values
-    give each bucket its start, and a window inside the bucket does the rest.
+    give each bucket its start, and a window inside the bucket does the rest. A bucket is a share of the
+    dimension's own range, so the scale of the values does not matter.
     """
     a = long(reference, vector).select("dim", "x", F.lit(1).alias("r"), F.lit(0).alias("c"))
     b = long(current, vector).select("dim", "x", F.lit(0).alias("r"), F.lit(1).alias("c"))
-    points = a.unionByName(b).withColumn("bucket", F.floor(F.col("x") / BUCKET)).groupBy("dim", "bucket", "x").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
+    both = a.unionByName(b)
+    range_ = both.groupBy("dim").agg(F.min("x").alias("low"), F.max("x").alias("high"))
+    bucket = F.coalesce(F.floor((F.col("x") - F.col("low")) * BUCKETS / F.nullif(F.col("high") - F.col("low"), F.lit(0.0))), F.lit(0))
+    points = both.join(range_, "dim").withColumn("bucket", bucket).groupBy("dim", "bucket", "x").agg(F.sum("r").alias("r"), F.sum("c").alias("c"))
     per = points.groupBy("dim", "bucket").agg(F.sum("r").alias("br"), F.sum("c").alias("bc"))
     before = Window.partitionBy("dim").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy("dim")
@@ -69,3 +75,14 @@ def composite(reference: DataFrame, current: DataFrame, vector: str) -> DataFram
     one = centroid_distance(rs, cs).join(F.broadcast(shift(rs, cs))).join(F.broadcast(share)).join(F.broadcast(n))  # one row each
     broken = (F.col("centroid_distance") > CENTROID).cast("int") + (F.col("shift_p95") > SHIFT).cast("int") + (F.col("drifted_share") > SHARE).cast("int")
     return one.withColumn("limits_broken", F.coalesce(broken, F.lit(0))).withColumn("drift", (F.col("n_current") >= LEAST) & (F.col("limits_broken") >= BROKEN))
+
+
+def trigger(tests: DataFrame, share: float = SHARE) -> DataFrame:
+    """(drifted_share, refresh) of drifted tests: whether the share of drifted dimensions calls for a refresh of the corpus."""
+    part = F.avg(F.col("drifted").cast("double"))
+    return tests.agg(F.round(part, 6).alias("drifted_share"), F.coalesce(part > share, F.lit(False)).alias("refresh"))
+
+
+def degraded(baseline: float, current: float, most: float = DEGRADATION) -> bool:
+    """Whether a score has fallen by more than a share of the baseline."""
+    return baseline > 0 and (baseline - current) / baseline > most

@@ -67,7 +67,15 @@ def disparity(category_metrics: DataFrame, metric: str = "ndcg", k: int = 10) ->
     w = Window.partitionBy(F.lit(1))  # one row per category
     mean = F.round(F.avg("value").over(w), 4)
     out = c.select("query_category", "value", mean.alias("overall_mean"), F.round(F.max("value").over(w) - F.min("value").over(w), 4).alias("disparity"))
-    return out.withColumn("underperforming", F.col("value") < F.col("overall_mean") - DISPARITY)
+    out = out.withColumn("underperforming", F.col("value") < F.col("overall_mean") - DISPARITY)
+    return out.withColumn("note", F.when(F.count("*").over(w) < 2, F.lit("fewer than two categories")))
+
+
+def bias(category_metrics: DataFrame, metric: str = "ndcg", k: int = 10) -> DataFrame:
+    """(config, disparity, place) of configs, the least biased first; configs with fewer than two categories are left out."""
+    c = category_metrics.where((F.col("k") == k) & (F.col("query_category") != "overall")).groupBy("config")
+    d = c.agg(F.count("*").alias("n"), F.round(F.max(metric) - F.min(metric), 4).alias("disparity")).where("n >= 2")
+    return d.select("config", "disparity", F.row_number().over(Window.partitionBy(F.lit(1)).orderBy("disparity", "config")).alias("place"))  # one row per config
 
 
 def storage_mb(n: int, dims: int) -> float:
@@ -99,10 +107,23 @@ def grade_separation(ranked: DataFrame, grades: DataFrame) -> DataFrame:
     return hit.groupBy(F.coalesce(F.col("grade").cast("string"), F.lit("unjudged")).alias("grade")).agg(F.count("*").alias("n"), F.round(F.avg("score"), 6).alias("mean_score"))
 
 
+def grade_gap(ranked: DataFrame, grades: DataFrame) -> DataFrame:
+    """(gap): mean score of the texts of grade 2 minus that of grade 0; null where one has none."""
+    hit = ranked.join(grades, ["query_id", "id"])
+    mean = lambda g: F.avg(F.when(F.col("grade") == g, F.col("score")))
+    return hit.agg(F.round(mean(2) - mean(0), 4).alias("gap"))
+
+
+def coerced(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Columns read as whole numbers; rows where one of them is none are left out."""
+    out = df.withColumns({c: F.trim(F.col(c).cast("string")).try_cast("double") for c in columns})
+    return out.na.drop(subset=columns).withColumns({c: F.col(c).cast("bigint") for c in columns})
+
+
 def details(queries: DataFrame, ranked: DataFrame, grades: DataFrame) -> DataFrame:
-    """One row per query: grade counts of its judgments, grade of the first text (-1 without judgment), hits among the first ten."""
+    """One row per query: grade counts of its judgments, grade of the first text (-1 without judgment), hits among the first ten, grades and scores in order of rank."""
     hist = grades.groupBy("query_id").agg(*[F.count_if(F.col("grade") == g).alias(f"n_grade_{g}") for g in (0, 1, 2)])
     hit = ranked.join(grades, ["query_id", "id"], "left")
-    top = hit.groupBy("query_id").agg(F.max(F.when(F.col("rank") == 1, F.coalesce("grade", F.lit(-1)))).alias("top_grade"), F.count_if((F.col("rank") <= 10) & (F.col("grade") >= RELEVANT)).alias("hits_at_10"))
+    top = hit.groupBy("query_id").agg(F.max(F.when(F.col("rank") == 1, F.coalesce("grade", F.lit(-1)))).alias("top_grade"), F.count_if((F.col("rank") <= 10) & (F.col("grade") >= RELEVANT)).alias("hits_at_10"), F.sort_array(F.collect_list(F.struct("rank", F.coalesce("grade", F.lit(-1)).alias("grade"), F.round("score", 4).alias("score")))).alias("l"))
     out = queries.select("query_id").join(hist, "query_id", "left").join(top, "query_id", "left")
-    return out.select("query_id", *[F.coalesce(f"n_grade_{g}", F.lit(0)).cast("bigint").alias(f"n_grade_{g}") for g in (0, 1, 2)], F.coalesce("top_grade", F.lit(-1)).alias("top_grade"), F.coalesce("hits_at_10", F.lit(0)).cast("bigint").alias("hits_at_10"))
+    return out.select("query_id", *[F.coalesce(f"n_grade_{g}", F.lit(0)).cast("bigint").alias(f"n_grade_{g}") for g in (0, 1, 2)], F.coalesce("top_grade", F.lit(-1)).alias("top_grade"), F.coalesce("hits_at_10", F.lit(0)).cast("bigint").alias("hits_at_10"), F.transform("l", lambda x: x["grade"]).alias("grades"), F.transform("l", lambda x: x["score"]).alias("scores"))

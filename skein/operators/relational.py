@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -66,9 +67,10 @@ def get_or_create(dim: DataFrame, id_col: str, name_col: str, values: DataFrame,
 def numbered(df: DataFrame, order: str, out: str) -> DataFrame:
     """Dense numbers from 1 in the order of a column, without sorting everything in one task.
 
-    Rows are range-partitioned; a small count per partition gives each its offset.
+    Rows are range-partitioned; a small count per partition gives each its offset. The partitioned rows are
+    written once: the bounds of a second range exchange could differ from those the counts were taken with.
     """
-    part = df.repartitionByRange(F.col(order)).withColumn("_p", F.spark_partition_id())
+    part = cut(df.repartitionByRange(F.col(order)).withColumn("_p", F.spark_partition_id()))
     per = part.groupBy("_p").agg(F.count("*").alias("_c"))
     offset = per.withColumn("_o", F.coalesce(F.sum("_c").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_c")
     inside = part.withColumn("_i", F.row_number().over(Window.partitionBy("_p").orderBy(order)))
@@ -104,6 +106,25 @@ def reconcile(written: DataFrame, reported: int) -> int:
     return n
 
 
+def shared_dir(spark: SparkSession) -> str:
+    """The folder all executors share; a temporary one only in local mode where none is configured, as in tests."""
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="skein-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return found
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Write to the checkpoint folder the cluster names and cut the lineage."""
+    context = df.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint(eager=True)
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Enough partitions for expression-heavy stages where a scan has few splits; larger inputs stay as they are."""
     want = df.sparkSession.sparkContext.defaultParallelism

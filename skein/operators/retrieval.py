@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections import Counter
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -11,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.functions import text as T
-from skein.operators.relational import ranked_list
+from skein.operators.relational import cut, ranked_list, spread
 
 #: BM25 parameters, share of the mean weight that replaces negative ones, and the constant of rank fusion.
 K1, B, FLOOR, RRF_K = 1.5, 0.75, 0.25, 60
@@ -26,83 +29,174 @@ def cosine(a: Column, b: Column) -> Column:
     return dot / F.nullif(norm(a) * norm(b), F.lit(0.0))
 
 
+class Best:
+    """The best k of a stream of scored blocks for each of n queries; ties go to the smaller id."""
+
+    def __init__(self, n: int, k: int, positive: bool = False):
+        self.k, self.least = k, 0.0 if positive else -np.inf
+        self.scores: list[np.ndarray] = [np.zeros(0)] * n
+        self.ids: list[list] = [[]] * n
+        self.bar = np.full(n, self.least)
+
+    def add(self, first: int, scores: np.ndarray, ids: list) -> None:
+        """Scores of queries first, first + 1, ... against rows ids."""
+        for q in range(len(scores)):
+            row, at = scores[q], first + q
+            # all that reach the bar, so that ties are settled by id
+            found = np.flatnonzero(row >= self.bar[at]) if len(self.ids[at]) >= self.k else np.flatnonzero(row > self.least)
+            if len(found) > 4 * self.k:
+                found = found[row[found] >= np.partition(row[found], -self.k)[-self.k]]
+            if not len(found):
+                continue
+            whole = np.concatenate([self.scores[at], row[found]])
+            names = self.ids[at] + [ids[i] for i in found.tolist()]
+            order = sorted(range(len(names)), key=lambda i: (-whole[i], names[i]))[: self.k]
+            self.scores[at], self.ids[at] = whole[order], [names[i] for i in order]
+            if len(order) == self.k:
+                self.bar[at] = self.scores[at][-1]
+
+    def rows(self, q_ids: list, q_kind: pa.DataType, kind: pa.DataType) -> pa.RecordBatch:
+        n = [len(i) for i in self.ids]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(list(chain.from_iterable([q] * m for q, m in zip(q_ids, n))), q_kind), pa.array(list(chain.from_iterable(self.ids)), kind), pa.array(np.concatenate([np.zeros(0), *self.scores]))],
+            names=["query_id", "id", "score"],
+        )
+
+
+def _kinds(queries: DataFrame, corpus: DataFrame) -> str:
+    return f"query_id {queries.schema['query_id'].dataType.simpleString()}, id {corpus.schema['id'].dataType.simpleString()}, score double"
+
+
+def asked(queries: DataFrame, column: str) -> pd.DataFrame:
+    """(query_id, column) of a stated query set, whose size is checked before it is sent to the tasks."""
+    rows = queries.where(F.col(column).isNotNull()).select("query_id", column).limit(MOST_QUERIES + 1).toPandas()
+    if len(rows) > MOST_QUERIES:
+        raise ValueError(f"more than {MOST_QUERIES} queries: split the query set")
+    return rows
+
+
 def vector_top_k(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     """(query_id, id, score, rank) of a stated query set (query_id, vector) against all rows (id, vector), exactly.
 
-    Blocks of the corpus are multiplied with the query matrix and keep their best k per query, so only
-    queries x k rows of each block are shuffled. The query set is bounded and checked; a larger one is
+    Blocks of the corpus are multiplied with the query matrix; a task keeps its best k per query, so only
+    queries x k rows of each task are shuffled. The query set is bounded and checked; a larger one is
     processed in groups by the caller.
     """
-    rows = queries.where("vector is not null").select("query_id", "vector").limit(MOST_QUERIES + 1).toPandas()
-    if len(rows) > MOST_QUERIES:
-        raise ValueError(f"more than {MOST_QUERIES} queries: split the query set")
-    q_ids = rows["query_id"].to_numpy()
+    rows = asked(queries, "vector")
     q = np.array(rows["vector"].tolist(), dtype=np.float64) if len(rows) else np.zeros((0, 1))
     length = np.sqrt((q * q).sum(axis=1)) if len(rows) else np.zeros(0)
-    q_ids, q = q_ids[length > 0], q[length > 0] / length[length > 0, None]
+    sent = corpus.sparkSession.sparkContext.broadcast((rows["query_id"][length > 0].tolist(), q[length > 0] / length[length > 0, None]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q_ids, q = sent.value
+        best, kind = Best(len(q), k), None
         for batch in batches:
-            lists = batch.column(1)
+            lists, kind = batch.column(1), batch.schema.field(0).type
             size = np.asarray(lists.value_lengths().fill_null(-1))
             keep = np.flatnonzero(size == q.shape[1])
             x = lists.take(pa.array(keep)).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, q.shape[1])
             norm = np.sqrt((x * x).sum(axis=1))
             keep, x, norm = keep[norm > 0], x[norm > 0], norm[norm > 0]
-            ids = np.asarray(batch.column(0).take(pa.array(keep)))
-            if not len(ids) or not len(q):
-                continue
-            order = np.argsort(ids, kind="stable")
-            ids, x, norm = ids[order], x[order], norm[order]
-            for at in range(0, len(q), 512):
-                s = np.round((q[at : at + 512] @ (x / norm[:, None]).T), 12)
-                top = np.argsort(-s, axis=1, kind="stable")[:, :k]
-                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(q_ids[at : at + 512], top.shape[1])), pa.array(ids[top].ravel()), pa.array(np.take_along_axis(s, top, axis=1).ravel())], names=["query_id", "id", "score"])
-
-    kinds = f"query_id {queries.schema['query_id'].dataType.simpleString()}, id {corpus.schema['id'].dataType.simpleString()}, score double"
-    found = corpus.where("vector is not null").select("id", "vector").mapInArrow(run, kinds)
+            ids = batch.column(0).take(pa.array(keep)).to_pylist()
+            for at in range(0, len(q) if ids else 0, 512):
+                best.add(at, np.round(q[at : at + 512] @ (x / norm[:, None]).T, 12), ids)
+        if kind is not None and len(q):
+            yield best.rows(q_ids, q_kind, kind)
+
+    q_kind = pa.array(rows["query_id"].tolist() or [None]).type
+    found = corpus.where("vector is not null").select("id", "vector").mapInArrow(run, _kinds(queries, corpus))
     return ranked_list(found, "query_id", "score", "id", k)
 
 
-def terms(df: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(id, term, tf, length) of lower-cased words between white space."""
-    w = df.select(F.col(id_col).alias("id"), T.words(F.lower(F.col(text))).alias("w"))
-    return w.select("id", F.size("w").alias("length"), F.explode("w").alias("term")).groupBy("id", "length", "term").agg(F.count("*").alias("tf"))
+_BLANK = re.compile(T.BLANK)
+
 
+def split_words(text: str | None) -> list[str]:
+    """Lower-cased words between white space, as `text.words` has them."""
+    return [w for w in _BLANK.split(text.lower()) if w] if text else []
 
-def bm25_weights(posting: DataFrame, lengths: DataFrame) -> DataFrame:
-    """(term, idf): the weight of every term; negative ones become a share of the mean weight. lengths has every text once."""
-    stats = lengths.agg(F.count("*").alias("n"), F.avg("length").alias("avg_length"))
-    df = posting.groupBy("term").agg(F.count("*").alias("df")).join(F.broadcast(stats))  # one row
-    raw = df.withColumn("raw", F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5))
+
+def bm25_weights(corpus: DataFrame) -> DataFrame:
+    """(term, idf, avg_length) of every word of corpus (id, text): one count of texts per word; negative weights become a share of the mean weight."""
+    words = corpus.select(T.words(F.lower(F.col("text"))).alias("w"))
+    stats = words.agg(F.count("*").alias("n"), F.avg(F.size("w")).alias("avg_length"))
+    df = words.select(F.explode(F.array_distinct("w")).alias("term")).groupBy("term").agg(F.count("*").alias("df")).join(F.broadcast(stats))  # one row
+    raw = cut(df.withColumn("raw", F.log(F.col("n") - F.col("df") + 0.5) - F.log(F.col("df") + 0.5)))
     mean = raw.agg(F.avg("raw").alias("mean"))
     return raw.join(F.broadcast(mean)).select("term", F.when(F.col("raw") < 0, FLOOR * F.col("mean")).otherwise(F.col("raw")).alias("idf"), "avg_length")
 
 
-def bm25(queries: DataFrame, corpus: DataFrame, k: int | None) -> DataFrame:
-    """(query_id, id, score, rank) of queries (query_id, text) over corpus (id, text); repeated query words count repeatedly.
+def _lexical(queries: DataFrame, corpus: DataFrame, k: int, score: str) -> DataFrame:
+    """Ranked lists of a stated, checked set of queries over all texts: every text is scored in its own task, which keeps its best k per query.
 
-    An inverted file in shuffles: only postings of words that occur in a query are joined.
+    Only the words of the queries (with their weights) are sent to the tasks, and only queries x k rows
+    of each task are shuffled: there is no row per query and text.
     """
-    posting = terms(corpus, "id", "text")
-    lengths = corpus.select("id", T.word_count(F.col("text")).alias("length"))
-    weight = bm25_weights(posting, lengths)
-    asked = terms(queries.withColumnRenamed("query_id", "id"), "id", "text").select(F.col("id").alias("query_id"), "term", F.col("tf").alias("qtf"))
-    hit = asked.join(weight, "term").join(posting, "term")
-    part = F.col("qtf") * F.col("idf") * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("avg_length")))
-    scored = hit.groupBy("query_id", "id").agg(F.round(F.sum(part), 9).alias("score")).where("score > 0")
-    return scored if k is None else ranked_list(scored, "query_id", "score", "id", k)
+    rows = asked(queries, "text")
+    terms: dict[str, int] = {}
+    pairs: dict[tuple[int, int], int] = {}
+    for q, t in enumerate(rows["text"]):
+        for w in split_words(t):
+            at = terms.setdefault(w, len(terms)), q
+            pairs[at] = pairs.get(at, 0) + 1
+    order = sorted(pairs)
+    first = np.searchsorted([t for t, _ in order], np.arange(len(terms) + 1))
+    of = np.array([q for _, q in order], dtype=np.int64)
+    count = np.array([pairs[x] for x in order], dtype=np.float64)
+    weight, average = np.ones(len(terms)), 1.0
+    if score == "bm25" and terms:
+        spark = corpus.sparkSession
+        held = spark.createDataFrame([(w, i) for w, i in terms.items()], "term string, i int").join(bm25_weights(corpus), "term").select("i", "idf", "avg_length").toPandas()
+        weight = np.zeros(len(terms))
+        weight[held["i"]] = held["idf"]
+        average = float(held["avg_length"].iloc[0]) if len(held) else 1.0
+    norm = np.sqrt(np.bincount(of, weights=count * count, minlength=len(rows)))
+    sent = corpus.sparkSession.sparkContext.broadcast((rows["query_id"].tolist(), terms, first, of, count, weight, norm))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q_ids, terms, first, of, count, weight, norm = sent.value
+        best, kind, n = Best(len(q_ids), k, positive=True), None, len(q_ids)
+        step = max(1, 2_000_000 // max(1, n))
+        for batch in batches:
+            kind = batch.schema.field(0).type
+            for start in range(0, batch.num_rows if n else 0, step):
+                part = batch.slice(start, step)
+                docs, term, tf, lengths, squares = [], [], [], [], []
+                for d, t in enumerate(part.column(1).to_pylist()):
+                    held = Counter(split_words(t))
+                    lengths.append(sum(held.values()))
+                    squares.append(sum(c * c for c in held.values()))
+                    for w in held.keys() & terms.keys():
+                        docs.append(d)
+                        term.append(terms[w])
+                        tf.append(held[w])
+                docs, term, tf = np.array(docs, np.int64), np.array(term, np.int64), np.array(tf, np.float64)
+                if score == "bm25":
+                    part_of = weight[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * np.array(lengths, np.float64)[docs] / average))
+                else:
+                    part_of = tf
+                many = first[term + 1] - first[term] if len(term) else np.zeros(0, np.int64)
+                at = np.repeat(first[term] - np.cumsum(many) + many, many) + np.arange(int(many.sum())) if len(term) else np.zeros(0, np.int64)
+                s = np.bincount(of[at] * part.num_rows + np.repeat(docs, many), weights=count[at] * np.repeat(part_of, many), minlength=n * part.num_rows).reshape(n, part.num_rows)
+                if score != "bm25":
+                    s = s / np.maximum(1e-300, norm[:, None] * np.sqrt(np.array(squares, np.float64))[None, :])
+                best.add(0, np.round(s, 9), part.column(0).to_pylist())
+        if kind is not None and n:
+            yield best.rows(q_ids, q_kind, kind)
+
+    q_kind = pa.array(rows["query_id"].tolist() or [None]).type
+    found = spread(corpus.select("id", "text")).mapInArrow(run, _kinds(queries, corpus))
+    return ranked_list(found, "query_id", "score", "id", k)
+
+
+def bm25(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
+    """(query_id, id, score, rank) of queries (query_id, text) over corpus (id, text); repeated query words count repeatedly."""
+    return _lexical(queries, corpus, k, "bm25")
 
 
 def term_cosine(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     """(query_id, id, score, rank): cosine of term frequency vectors, the sparse stand-in for an encoder."""
-    posting = terms(corpus, "id", "text")
-    norm = posting.groupBy("id").agg(F.sqrt(F.sum(F.col("tf") * F.col("tf"))).alias("norm"))
-    asked = terms(queries.withColumnRenamed("query_id", "id"), "id", "text").select(F.col("id").alias("query_id"), "term", F.col("tf").alias("qtf"))
-    q_norm = asked.groupBy("query_id").agg(F.sqrt(F.sum(F.col("qtf") * F.col("qtf"))).alias("q_norm"))
-    dot = asked.join(posting, "term").groupBy("query_id", "id").agg(F.sum(F.col("qtf") * F.col("tf")).alias("dot"))
-    scored = dot.join(norm, "id").join(q_norm, "query_id").select("query_id", "id", F.round(F.col("dot") / (F.col("norm") * F.col("q_norm")), 9).alias("score"))
-    return ranked_list(scored, "query_id", "score", "id", k)
+    return _lexical(queries, corpus, k, "cosine")
 
 
 def match_all(queries: DataFrame, corpus: DataFrame) -> DataFrame:
@@ -234,6 +328,29 @@ def overlap(pooled: DataFrame) -> DataFrame:
     return pooled.groupBy("sources").agg(F.count("*").alias("n_rows"), F.count_distinct("query_id").alias("n_queries"))
 
 
+#: Ways to search, by the name of the mode.
+MODES: dict[str, Callable[[DataFrame, DataFrame, int], DataFrame]] = {
+    "vector": term_cosine,
+    "bm25": bm25,
+    "hybrid": lambda q, c, k: rank_fusion(term_cosine(q, c, 2 * k), bm25(q, c, 2 * k), k=k),
+    "linear": lambda q, c, k: linear_fusion(term_cosine(q, c, 2 * k), bm25(q, c, 2 * k), k=k),
+    "stemmed": lambda q, c, k: stemmed_match(q, c, k),
+}
+
+
+def register_mode(name: str, search: Callable[[DataFrame, DataFrame, int], DataFrame]) -> None:
+    """Add a way to search, or replace one of the same name."""
+    MODES[name] = search
+
+
+def retrieve(mode: str, queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
+    """(query_id, id, score, rank and the other columns of corpus): the best k rows of corpus (id, text, ...) by a mode; the fused modes take 2 k of each list."""
+    if mode not in MODES:
+        raise KeyError(f"unknown mode: {mode}")
+    found = MODES[mode](queries, corpus.select("id", "text"), k)
+    return found.join(corpus, "id").select("query_id", "id", F.round("score", 6).alias("score"), "rank", *[c for c in corpus.columns if c != "id"])
+
+
 def hashed_vectors(text: Column, dims: int = 64) -> Column:
     """A deterministic text vector: words hashed to signed positions, scaled to length 1; null for texts without words."""
 

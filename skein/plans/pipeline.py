@@ -5,12 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skein.functions import patterns as P
 from skein.functions import text as T
-from skein.operators import dedup
+from skein.operators import dedup, entities
 from skein.sources.sinks import Checkpoints
 
 Step = Callable[..., DataFrame]
@@ -57,7 +57,7 @@ def quality_filter(df: DataFrame) -> DataFrame:
     lang = T.language(F.col("content"))
     reason = T.rejection(F.col("content"), F.col("word_count"))
     low = F.lit("low_interview_signal")
-    reason = F.when(reason.isNull() | (reason == low), F.when(lang != "en", F.lit("non_english")).otherwise(reason)).otherwise(reason)
+    reason = F.when(reason.isNull() | (reason == low), F.when(~lang.eqNullSafe("en"), F.lit("non_english")).otherwise(reason)).otherwise(reason)
     out = reject(df, "quality_filter", reason)
     return out.withColumn("quality_score", F.when(F.col("filter_reason").isNull(), T.quality_score(F.col("word_count"), T.signal_ratio(F.col("content")))))
 
@@ -65,6 +65,7 @@ def quality_filter(df: DataFrame) -> DataFrame:
 @step("deduplicator")
 def deduplicator(df: DataFrame) -> DataFrame:
     """Exact and near duplicates among the rows not rejected so far, the first in order of ingest_seq stays."""
+    df = reject(df, "deduplicator", F.when(~F.coalesce(F.col("content").rlike(r"\S"), F.lit(False)), "empty_content_at_dedup"))
     live = dedup.cut(df.where("filter_reason is null").select("ingest_seq", "content"))
     exact = dedup.exact_duplicates(live, "ingest_seq", "content").select(F.col("id").alias("ingest_seq"), "content_hash", "is_first")
     of = dedup.near_duplicates(live, "ingest_seq", "content").withColumnRenamed("id", "ingest_seq")
@@ -73,19 +74,17 @@ def deduplicator(df: DataFrame) -> DataFrame:
     return out.drop("is_first", "duplicate_of")
 
 
-def listed(names: DataFrame, label: str, out: str) -> DataFrame:
-    """One row with the names of a list as aliases of themselves, longest first, checked to be small."""
-    one = names.where(F.col(label).isNotNull()).agg(F.array_sort(F.collect_list(F.struct((-F.length(label)).alias("l"), F.col(label).alias("alias"), F.col(label).alias("canonical")))).alias(out))
-    return one.where(F.size(out) <= 10_000)
+def with_company_and_role(df: DataFrame, companies: DataFrame | None = None, job_roles: DataFrame | None = None, id_col: str | None = None) -> DataFrame:
+    """Add company and role by all tiers; companies (name) and job_roles (title) are the lists, of any size, empty where none is given.
 
-
-def with_company_and_role(df: DataFrame, companies: DataFrame | None = None, job_roles: DataFrame | None = None) -> DataFrame:
-    """Add company and role by all tiers; companies (name) and job_roles (title) are the lists, empty where none is given."""
-    none = F.array().cast("array<struct<alias:string,canonical:string>>")
-    out = df.withColumn("_companies", none) if companies is None else df.join(F.broadcast(listed(companies, "name", "_companies")), how="left")
-    out = out.withColumn("_roles", none) if job_roles is None else out.join(F.broadcast(listed(job_roles, "title", "_roles")), how="left")
-    out = out.withColumn("company", T.company(F.col("title"), F.col("content"), F.col("_companies")))
-    return out.withColumn("role", T.role(F.col("title"), F.col("content"), F.col("_roles"))).drop("_companies", "_roles")
+    Rows are told apart by id_col; without one by ingest_seq or document_id, or else the first column.
+    """
+    id_col = id_col or next(c for c in ("ingest_seq", "document_id", df.columns[0]) if c in df.columns)
+    none = df.sparkSession.createDataFrame([], "alias string, canonical string")
+    docs = df.select(F.col(id_col).alias("id"), "title", "content")
+    company = entities.companies(docs, none if companies is None else companies.select(F.col("name").alias("alias"), F.col("name").alias("canonical")))
+    role = entities.roles(docs, none if job_roles is None else job_roles.select(F.col("title").alias("alias"), F.col("title").alias("canonical")))
+    return df.join(company.join(role, "id", "left").withColumnRenamed("id", id_col), id_col, "left")
 
 
 @step("entity_extractor")
@@ -158,3 +157,16 @@ def report(df: DataFrame) -> DataFrame:
     """(filter_step, filter_reason, n): rows by the step and reason that rejected them; numbers in reasons are masked."""
     why = F.coalesce(F.regexp_replace("filter_reason", r"\d+", "n"), F.lit("kept"))
     return df.groupBy(F.coalesce("filter_step", F.lit("none")).alias("filter_step"), why.alias("filter_reason")).agg(F.count("*").alias("n"))
+
+
+def statistics(df: DataFrame, steps: list[str] | None = None) -> DataFrame:
+    """(step, n_input, n_output, n_filtered, pass_rate, reasons) of tagged rows: every step's share of what the steps before left; one row a step."""
+    order = steps or ORDER
+    why = F.regexp_replace("filter_reason", r"\d+", "n")
+    per = df.groupBy(F.col("filter_step").alias("step"), why.alias("why")).agg(F.count("*").alias("n"))
+    per = per.groupBy("step").agg(F.sum("n").alias("n"), F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct(F.coalesce("why", F.lit("kept")).alias("k"), "n"))))).alias("reasons"))
+    names = F.array(*[F.struct(F.lit(i).alias("o"), F.lit(s).alias("step")) for i, s in enumerate(order)])
+    rows = per.agg(F.sum("n").alias("all")).select("all", F.explode(names).alias("x")).select("all", "x.o", "x.step").join(F.broadcast(per.where("step is not null")), "step", "left")
+    before = F.coalesce(F.sum(F.coalesce("n", F.lit(0))).over(Window.orderBy("o").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # one row a step
+    out = rows.select("step", (F.col("all") - before).alias("n_input"), F.coalesce("n", F.lit(0)).alias("n_filtered"), "reasons", "o")
+    return out.select("step", "n_input", (F.col("n_input") - F.col("n_filtered")).alias("n_output"), "n_filtered", F.coalesce(F.try_divide(F.col("n_input") - F.col("n_filtered"), "n_input"), F.lit(0.0)).alias("pass_rate"), F.coalesce("reasons", F.lit("{}")).alias("reasons"))

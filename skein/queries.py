@@ -5,6 +5,7 @@ Queries read whole tables. Text patterns are used in their ASCII forms on both s
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Callable
 from functools import reduce
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from skein.functions import patterns as P
 from skein.functions import text as T
-from skein.operators import chunk, dedup, drift, evaluate, retrieval
+from skein.operators import chunk, dedup, drift, entities, evaluate, loading, retrieval
 from skein.operators import relational as R
 from skein.plans import pipeline
 from skein.sources import parsers, readers
@@ -79,14 +80,17 @@ def corpus_quality_report(spark, sf):
     """Flagship: normalise, gate, exact duplicates, score, and the histogram of reasons by platform, in one plan."""
     d = load(spark, sf, "raw_documents")
     t = F.coalesce("raw_content", F.lit(""))
-    d = d.select("ingest_seq", T.platform(F.col("source_platform")).alias("platform"), t.alias("t"), T.word_count(t).alias("n"), T.signal_ratio(t).alias("ratio"), T.content_hash(t).alias("h"))
-    first = d.groupBy("h").agg(F.min("ingest_seq").alias("first_id"))
-    d = d.join(first, "h")
-    reason = (
+    d = d.select("ingest_seq", T.platform(F.col("source_platform")).alias("platform"), T.word_count(t).alias("n"), T.signal_ratio(t).alias("ratio"), T.is_error_page(t).alias("junk"), T.content_hash(t).alias("h"))
+    d = R.cut(d)  # the flags are computed once, and the text is in no shuffle
+    failed = (
         F.when(F.col("n") == 0, "empty").when(F.col("n") < P.MIN_WORDS, "too_short").when(F.col("n") > P.MAX_WORDS, "too_long")
-        .when(T.is_error_page(F.col("t")), "error_or_junk_page").when(F.col("ratio") < P.MIN_SIGNAL, "low_interview_signal")
-        .when(F.col("ingest_seq") != F.col("first_id"), "exact_duplicate").otherwise("kept")
+        .when(F.col("junk"), "error_or_junk_page").when(F.col("ratio") < P.MIN_SIGNAL, "low_interview_signal")
     )
+    # only hashes that more than one row has are joined, and only rows without another reason ask
+    first = d.groupBy("h").agg(F.min("ingest_seq").alias("first_id"), F.count("*").alias("copies")).where("copies > 1").select("h", "first_id")
+    d = d.withColumn("failed", failed).withColumn("h", F.when(F.col("failed").isNull(), F.col("h")))
+    d = d.join(first, "h", "left")
+    reason = F.coalesce("failed", F.when(F.col("ingest_seq") != F.col("first_id"), "exact_duplicate"), F.lit("kept"))
     length = F.when(F.col("n") < 200, F.col("n") / 200.0).when(F.col("n") <= 2000, F.lit(1.0)).otherwise(F.greatest(F.lit(0.5), 1.0 - (F.col("n") - 2000) / 10000.0))
     score = 0.5 * length + 0.5 * F.least(F.lit(1.0), F.col("ratio") / 0.10)
     return d.groupBy("platform", reason.alias("reason")).agg(F.count("*").alias("n_documents"), F.sum("n").cast("bigint").alias("n_words"), F.round(F.avg(score), 6).alias("mean_score"))
@@ -105,27 +109,26 @@ def platform_counts(spark, sf):
     return d.groupBy(T.platform(F.col("source_platform")).alias("platform")).agg(F.count("*").alias("n"), F.count_distinct("document_id").alias("n_ids"))
 
 
-_SQL_MARKDOWN = (r"!\[([^\]]*)\]\([^)]+\)", ""), (r"\[([^\]]+)\]\([^)]+\)", r"\1"), (r"~~(.+?)~~", r"\1"), (r"(?m)^#{1,6}[ \t]+", ""), (r"(?m)^[-*+][ \t]+", ""), (r"(?m)^\d+\.[ \t]+", "")
+#: The Markdown rules for an engine without back references: emphasis is written out by its marks, longest first.
+_SQL_EMPHASIS = "|".join(f"{re.escape(m)}(.+?){re.escape(m)}" for m in ("***", "**", "*", "___", "__", "_"))
+_SQL_MARKDOWN = [(_SQL_EMPHASIS, r"\1\2\3\4\5\6") if r"\1" in p else (p.replace("(?d)", "").replace("(?dm)", "(?m)"), r.replace("$", "\\")) for p, r in P.MARKDOWN]
 
 
 @query("SELECT ingest_seq, " + reduce(lambda s, r: f"regexp_replace({s}, '{_re(r[0])}', '{r[1]}', 'g')", _SQL_MARKDOWN, "replace(raw_content, chr(13), '')") + " AS plain FROM raw_documents WHERE raw_content IS NOT NULL")
 def markdown_strip(spark, sf):
-    d = load(spark, sf, "raw_documents").where("raw_content is not null")
-    rules = [(r"(?d)" + p if "(?m)" not in p else p.replace("(?m)", "(?dm)"), r.replace("\\", "$")) for p, r in _SQL_MARKDOWN]
-    return d.select("ingest_seq", T.replace_all(F.replace("raw_content", F.lit("\r"), F.lit("")), rules).alias("plain"))
+    """All Markdown rules over whole posts."""
+    d = R.spread(load(spark, sf, "raw_documents").where("raw_content is not null").select("ingest_seq", "raw_content"))
+    return d.select("ingest_seq", T.strip_markdown(F.replace("raw_content", F.lit("\r"), F.lit(""))).alias("plain"))
 
 
-@query()
-def markdown_plain(spark, sf):
-    """All Markdown rules (back references, code blocks, quotes: no SQL form); `markdown_strip` has those that SQL can express."""
-    d = R.spread(load(spark, sf, "raw_documents").where("raw_content is not null"))
-    return d.select("ingest_seq", T.strip_markdown(F.replace("raw_content", F.lit("\r"), F.lit(""))).alias("plain"))
+_SQL_EMOJI = "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in P.EMOJI) + "]+"
+_SQL_QUOTES = reduce(lambda t, kv: f"replace({t}, chr({ord(kv[0])}), '{kv[1].replace(chr(39), chr(39) * 2)}')", [kv for kv in P.ENCODING.items() if kv[0] != "\x00"], "coalesce(title, '')")
 
 
-@query(r"SELECT ingest_seq, trim(regexp_replace(regexp_replace(coalesce(title, ''), '[ \t\n\r\f]+', ' ', 'g'), '[\x{1F300}-\x{1F5FF}\x{1F600}-\x{1F64F}\x{1F680}-\x{1F6FF}]+', '', 'g')) AS title FROM raw_documents")
+@query(f"SELECT ingest_seq, regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({_SQL_QUOTES}, '{_SQL_EMOJI}', '', 'g'), '[^\\S\\n]+', ' ', 'g'), '\\n{{3,}}', chr(10) || chr(10), 'g'), '\\n\\s+\\n', chr(10) || chr(10), 'g'), ' +\\n', chr(10), 'g'), '^\\s+|\\s+$', '', 'g') AS title FROM raw_documents")
 def title_clean(spark, sf):
-    t = F.regexp_replace(F.coalesce("title", F.lit("")), T.BLANK, " ")
-    return load(spark, sf, "raw_documents").select("ingest_seq", F.trim(F.regexp_replace(t, r"[\x{1F300}-\x{1F5FF}\x{1F600}-\x{1F64F}\x{1F680}-\x{1F6FF}]+", "")).alias("title"))
+    """Plain quotes, all emoji ranges and white space of every title; `titles_normalised` decodes markup as well (no SQL form)."""
+    return load(spark, sf, "raw_documents").select("ingest_seq", T.squeeze(T.strip_emoji(T.straight_quotes(F.coalesce("title", F.lit(""))))).alias("title"))
 
 
 @query()
@@ -229,24 +232,60 @@ def company_in_title(spark, sf):
 @query(
     r"""
     WITH hit AS (
-        SELECT d.document_id, c.company_id, c.name, row_number() OVER (PARTITION BY d.document_id ORDER BY length(c.name) DESC, c.company_id) AS r
+        SELECT d.document_id, c.name, row_number() OVER (PARTITION BY d.document_id ORDER BY length(c.name) DESC, lower(c.name)) AS r
         FROM processed_documents d JOIN companies c ON regexp_matches(lower(d.title), concat('\b', regexp_escape(lower(c.name)), '\b')))
     SELECT d.document_id, h.name AS company FROM processed_documents d LEFT JOIN hit h ON d.document_id = h.document_id AND h.r = 1
     """
 )
 def longest_alias(spark, sf):
-    """The longest known company name that a title holds; the list is one row, checked to be small."""
+    """The longest known company name that a title holds; words are joined with a list of any size."""
     d, c = load(spark, sf, "processed_documents"), load(spark, sf, "companies")
-    names = c.where("name is not null").agg(F.array_sort(F.collect_list(F.struct((-F.length("name")).alias("l"), "company_id", F.col("name").alias("alias"), F.col("name").alias("canonical")))).alias("aliases"))
-    names = names.where(F.size("aliases") <= 10_000)
-    return d.join(F.broadcast(names), how="left").select("document_id", T.longest_alias(F.col("title"), F.col("aliases")).alias("company"))
+    docs = d.select(F.col("document_id").alias("id"), F.array("title").alias("texts"))
+    found = entities.first_alias(docs, c.select(F.col("name").alias("alias"), F.col("name").alias("canonical")), "company")
+    return docs.select("id").join(found, "id", "left").withColumnRenamed("id", "document_id")
 
 
-@query()
+_LEVEL = r"[\s\-]*(\d{1,2}|i{1,3}|iv|vi{0,3}|ix|x)?"
+
+
+def _sql_tier(order: int, text: str, before: str, after: str, level: bool) -> str:
+    pattern = f"concat('{_re(before)}', regexp_escape(alias), '{_re(after)}')"
+    n = f"regexp_extract({text}, {pattern}, 1)" if level else "''"
+    return f"SELECT id, {order} AS o, alias, canonical, {n} AS level FROM r WHERE contains({text}, alias) AND regexp_matches({text}, {pattern})"
+
+
+_SQL_ROLES = " UNION ALL ".join(
+    [_sql_tier(0, "title", r"\b", _LEVEL + r"\b", True)]
+    + [_sql_tier(1 + i, "head", t, _LEVEL, True) for i, t in enumerate(P.ROLE_TRIGGERS)]
+    + [_sql_tier(20 + i, c, r"\b", r"\b", False) for i, c in enumerate(("title", "head", "content"))]
+)
+_SQL_FORM = ", ".join(f"CASE WHEN length(trim(regexp_extract(title, '{_re(p)}', 1))) BETWEEN 2 AND 50 THEN trim(regexp_extract(title, '{_re(p)}', 1)) END" for p in P.TITLE_COMPANY)
+_SQL_CAPITAL = lambda t: f"list_filter(regexp_extract_all({t}, '{_re(T.CAPITALS)}', 1), lambda x: length(x) BETWEEN 2 AND 50 AND lower(x) NOT IN {_list(P.NOT_COMPANIES)})[1]"
+_SQL_INITIALS = lambda v: f"array_to_string(list_transform(string_split(lower({v}), ' '), lambda w: upper(w[1]) || w[2:]), ' ')"
+_SQL_ROMAN = "CASE " + " ".join(f"WHEN {{0}} = '{k}' THEN '{v}'" for k, v in P.ROMAN.items()) + " ELSE {0} END"
+
+
+@query(
+    f"""
+    WITH d AS (SELECT document_id AS id, title, content, substr(content, 1, 500) AS head FROM processed_documents),
+    n AS (SELECT lower(name) AS alias, min(name) AS canonical FROM companies GROUP BY 1),
+    raw AS (SELECT id, trim(coalesce({_SQL_FORM})) AS form, trim(coalesce({_SQL_CAPITAL("title")}, {_SQL_CAPITAL("head")})) AS capital FROM d),
+    hit AS (SELECT d.id, n.alias, n.canonical, CASE WHEN regexp_matches(lower(title), p) THEN 1 WHEN regexp_matches(lower(head), p) THEN 2 WHEN regexp_matches(lower(content), p) THEN 3 END AS place
+            FROM d JOIN (SELECT *, concat('\\b', regexp_escape(alias), '\\b') AS p FROM n) n ON contains(lower(concat_ws(' ', title, content)), alias)),
+    listed AS (SELECT id, first(canonical ORDER BY place, length(alias) DESC, alias) AS listed FROM hit WHERE place IS NOT NULL GROUP BY id),
+    company AS (SELECT raw.id, coalesce(CASE WHEN form IS NOT NULL THEN coalesce(a.canonical, {_SQL_INITIALS("form")}) END, listed, CASE WHEN capital IS NOT NULL THEN coalesce(b.canonical, {_SQL_INITIALS("capital")}) END) AS company
+                FROM raw LEFT JOIN listed ON raw.id = listed.id LEFT JOIN n a ON lower(form) = a.alias LEFT JOIN n b ON lower(capital) = b.alias),
+    r AS (SELECT d.id, lower(title) AS title, lower(head) AS head, lower(content) AS content, j.alias, j.canonical FROM d JOIN (SELECT lower(title) AS alias, min(title) AS canonical FROM job_roles GROUP BY 1) j ON contains(lower(concat_ws(' ', d.title, d.content)), j.alias)),
+    t AS ({_SQL_ROLES}),
+    role AS (SELECT id, first(CASE WHEN level <> '' THEN canonical || ' ' || {_SQL_ROMAN.format("level")} WHEN o < 20 THEN canonical
+                ELSE array_to_string(list_transform(string_split(canonical, ' '), lambda w: CASE WHEN regexp_full_match(w, 'I{{1,3}}|IV|VI{{0,3}}|IX|X') THEN {_SQL_ROMAN.format("lower(w)")} ELSE w END), ' ') END ORDER BY o, length(alias) DESC, alias, canonical, level) AS role FROM t GROUP BY id)
+    SELECT d.id AS document_id, role, company FROM d LEFT JOIN role ON d.id = role.id LEFT JOIN company ON d.id = company.id
+    """
+)
 def roles_and_companies(spark, sf):
-    """Role by title, phrase or text; company by title, list (title, beginning, whole text) or capitals, under its canonical name. The lists are one row each, checked to be small."""
+    """Role by title, phrase or text; company by title, list (title, beginning, whole text) or capitals, under its canonical name."""
     d = R.spread(load(spark, sf, "processed_documents").select("document_id", "title", "content"))
-    return pipeline.with_company_and_role(d, load(spark, sf, "companies"), load(spark, sf, "job_roles")).select("document_id", "role", "company")
+    return pipeline.with_company_and_role(d, load(spark, sf, "companies"), load(spark, sf, "job_roles"), "document_id").select("document_id", "role", "company")
 
 
 @query(f"SELECT document_id, {', '.join(f'CASE WHEN lower(trim({c})) IN {_list(v)} THEN lower(trim({c})) END AS {c}' for c, v in P.ENUMS.items() if c != 'interview_types')}, coalesce(document_id, '') <> '' AND trim(coalesce(title, '')) <> '' AND trim(coalesce(content, '')) <> '' AND trim(coalesce(company, '')) <> '' AND trim(coalesce(role, '')) <> '' AS complete FROM processed_documents")
@@ -276,15 +315,40 @@ def error_categories(spark, sf):
     return load(spark, sf, "eval_dataset").select("judgment_id", T.error_category(F.col("relevance_reason")).alias("category"))
 
 
-@query()
+_SQL_SCRIPTS = "list_max([" + ", ".join(f"{{'n': len(regexp_extract_all(head, '{p}')) * {10 if k == 'ja' else 1}, 'o': -{i}, 'l': '{k}'}}" for i, (k, p) in enumerate(T.SCRIPTS)) + "])"
+_SQL_VOTES = "list_max([" + ", ".join(f"{{'n': len(list_filter(w, lambda x: x IN {_list(v.split())})), 'o': -{i}, 'l': '{k}'}}" for i, (k, v) in enumerate(T.STOP_WORDS.items())) + "])"
+
+
+@query(
+    rf"""
+    WITH h AS (SELECT doc_id, coalesce(text, '') AS t, substr(coalesce(text, ''), 1, 1000) AS head FROM documents),
+    w AS (SELECT *, {WORDS.format("regexp_replace(lower(head), '[.,;:!?()\"]', ' ', 'g')")} AS w, len(regexp_extract_all(head, '[A-Za-z\x{{00C0}}-\x{{024F}}]')) AS latin FROM h),
+    v AS (SELECT *, {_SQL_SCRIPTS} AS script, {_SQL_VOTES} AS word FROM w)
+    SELECT doc_id, CASE WHEN length(t) < 50 THEN 'en' WHEN script.n > latin THEN script.l WHEN latin = 0 THEN 'en' WHEN word.n > 0 THEN word.l WHEN len(list_filter(w, lambda x: x IN {_list(P.SIGNAL)})) > 0 THEN 'en' ELSE 'und' END AS lang FROM v
+    """
+)
 def language_votes(spark, sf):
-    """Language by function words, over all documents."""
-    return load(spark, sf, "documents").select("doc_id", T.language(F.coalesce("text", F.lit(""))).alias("lang"))
+    """Language by script and function words, over all documents."""
+    return R.spread(load(spark, sf, "documents").select("doc_id", "text")).select("doc_id", T.language(F.coalesce("text", F.lit(""))).alias("lang"))
 
 
-@query()
+@query(
+    "SELECT ingest_seq, strftime(coalesce("
+    + ", ".join(f"try_strptime(trim(published_at), '{f}')" for f in ("%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%dT%H:%M:%S", "%Y-%m-%d %H:%M:%S", "%Y-%m-%d", "%d %b, %Y", "%b %d, %Y", "%d/%m/%Y"))
+    + "), '%Y-%m-%d %H:%M:%S') AS published FROM raw_documents"
+)
 def published_dates(spark, sf):
-    return load(spark, sf, "raw_documents").select("ingest_seq", T.published(F.col("published_at")).alias("published"))
+    """Times of posts from any of the formats in use; null where none fits."""
+    return load(spark, sf, "raw_documents").select("ingest_seq", F.date_format(T.published(F.col("published_at")), "yyyy-MM-dd HH:mm:ss").alias("published"))
+
+
+@query("WITH m AS (SELECT 'org/' || replace(lower(title), ' ', '-') AS model, role_id FROM job_roles) SELECT role_id, 'embeddings_' || replace(string_split(model, '/')[-1], '-', '_') AS column_name, model || '_dim384_' || CASE WHEN role_id % 2 = 0 THEN 'hybrid_v0.5_b0.5_rrf60' ELSE 'vector' END AS run, 'db_load_' || strftime(TIMESTAMP '2026-01-02 03:04:05' + role_id * INTERVAL 1 HOUR, '%Y%m%dT%H%M%S') || '.json' AS report FROM m")
+def file_names(spark, sf):
+    """Names of vector columns, evaluation runs and load reports."""
+    model = F.concat(F.lit("org/"), F.replace(F.lower("title"), F.lit(" "), F.lit("-")))
+    mode = F.when(F.col("role_id") % 2 == 0, "hybrid").otherwise("vector")
+    at = F.timestamp_seconds(F.lit(1767323045) + F.col("role_id") * 3600)
+    return load(spark, sf, "job_roles").select("role_id", T.embedding_column(model).alias("column_name"), T.run_name(model, F.lit(384), mode, F.lit(0.5), F.lit(0.5), F.lit(60)).alias("run"), T.report_name(at).alias("report"))
 
 
 # ---- duplicates ----------------------------------------------------------------------------------------------------
@@ -317,10 +381,32 @@ def near_dup_pairs(spark, sf):
     return p.select("a", "b", F.round("similarity", 9).alias("similarity"))
 
 
-@query()
+@query(
+    rf"""
+    WITH RECURSIVE h AS (SELECT ingest_seq AS id, raw_content, min(ingest_seq) OVER (PARTITION BY trim(regexp_replace(lower(raw_content), '[ \t\n\r\f]+', ' ', 'g'))) AS first_id FROM raw_documents WHERE raw_content IS NOT NULL),
+    w AS (SELECT id, {WORDS.format('lower(raw_content)')} AS w FROM h WHERE id = first_id),
+    s AS (SELECT id, list_distinct(list_transform(range(1, greatest(1, len(w) - 2) + 1), lambda i: array_to_string(w[i:i + 2], ' '))) AS s FROM w WHERE len(w) > 0),
+    e AS (SELECT id, len(s) AS n, unnest(s) AS x FROM s WHERE len(s) >= 10),
+    p AS (SELECT a.id AS a, b.id AS b, count(*) AS k, any_value(a.n) AS na, any_value(b.n) AS nb FROM e a JOIN e b ON a.x = b.x AND a.id < b.id GROUP BY a.id, b.id),
+    edge AS MATERIALIZED (SELECT a, b FROM p WHERE k / (na + nb - k) >= 0.8),
+    lates AS (SELECT row_number() OVER (ORDER BY b) AS step, b, list_sort(list(a)) AS early FROM edge GROUP BY b),
+    walk AS (
+        SELECT CAST(0 AS BIGINT) AS step, CAST([] AS BIGINT[]) AS lost
+        UNION ALL SELECT l.step, CASE WHEN len(list_filter(l.early, lambda x: NOT list_contains(walk.lost, x))) > 0 THEN list_append(walk.lost, l.b) ELSE walk.lost END FROM walk JOIN lates l ON l.step = walk.step + 1),
+    lost AS (SELECT lost FROM walk ORDER BY step DESC LIMIT 1),
+    near AS (SELECT b AS id, min(a) AS of FROM edge, lost WHERE NOT list_contains(lost.lost, a) GROUP BY b)
+    SELECT h.id, CASE WHEN h.id = h.first_id THEN n.of ELSE coalesce(n.of, h.first_id) END AS duplicate_of FROM h LEFT JOIN near n ON n.id = h.first_id
+    """
+)
 def near_dedup_greedy(spark, sf):
-    """Kept and rejected rows in input order (iterative: checked against brute force in the tests)."""
-    return dedup.near_duplicates(load(spark, sf, "raw_documents"), "ingest_seq", "raw_content", bands=42, rows=6)
+    """Kept and rejected rows in input order."""
+    return dedup.near_duplicates(load(spark, sf, "raw_documents"), "ingest_seq", "raw_content")
+
+
+@query()
+def near_dup_collisions(spark, sf):
+    """Rows that share a band with an earlier one, without verification, and the first such row (depends on the hash: no SQL form)."""
+    return dedup.first_collisions(load(spark, sf, "raw_documents"), "ingest_seq", "raw_content")
 
 
 # ---- chunks --------------------------------------------------------------------------------------------------------
@@ -615,18 +701,23 @@ def _arms(spark, sf, k: int = 15):
     return q, c, retrieval.term_cosine(q, c, k), retrieval.bm25(q, c, k)
 
 
-_RETRIEVAL = rf"""
-    cw AS (SELECT chunk_id AS id, {WORDS.format("lower(coalesce(raw_text, ''))")} AS w FROM document_chunks),
+def _sql_arms(source: str = "document_chunks", text: str = "raw_text", k: int = 15) -> str:
+    """Ranked lists bm (BM25) and co (term cosine) of eval_queries over the chunks of a source."""
+    return rf"""
+    cw AS (SELECT chunk_id AS id, {WORDS.format(f"lower(coalesce({text}, ''))")} AS w FROM {source}),
     post AS (SELECT id, len(w) AS length, term, count(*) AS tf FROM (SELECT id, w, unnest(w) AS term FROM cw) GROUP BY id, length, term),
     qw AS (SELECT query_id, term, count(*) AS qtf FROM (SELECT query_id, unnest({WORDS.format("lower(query_text)")}) AS term FROM eval_queries) GROUP BY ALL),
     st AS (SELECT count(*) AS n, avg(len(w)) AS avg_length FROM cw),
     dfs AS (SELECT term, ln(n - count(*) + 0.5) - ln(count(*) + 0.5) AS raw, avg_length FROM post, st GROUP BY term, n, avg_length),
     idf AS (SELECT term, CASE WHEN raw < 0 THEN 0.25 * (SELECT avg(raw) FROM dfs) ELSE raw END AS idf, avg_length FROM dfs),
     bs AS (SELECT query_id, id, round(sum(qtf * idf * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * length / avg_length))), 9) AS score FROM qw JOIN idf USING (term) JOIN post USING (term) GROUP BY ALL),
-    bm AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM bs WHERE score > 0) WHERE rank <= 15),
+    bm AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM bs WHERE score > 0) WHERE rank <= {k}),
     cn AS (SELECT id, sqrt(sum(tf * tf)) AS norm FROM post GROUP BY id), qn AS (SELECT query_id, sqrt(sum(qtf * qtf)) AS qnorm FROM qw GROUP BY query_id),
     cs AS (SELECT query_id, id, round(sum(qtf * tf) / (any_value(norm) * any_value(qnorm)), 9) AS score FROM qw JOIN post USING (term) JOIN cn USING (id) JOIN qn USING (query_id) GROUP BY ALL),
-    co AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM cs) WHERE rank <= 15)"""
+    co AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM cs) WHERE rank <= {k})"""
+
+
+_RETRIEVAL = _sql_arms()
 
 
 @query(f"WITH {_RETRIEVAL} SELECT query_id, id, score, rank FROM bm")
@@ -711,13 +802,30 @@ def source_overlap(spark, sf):
     return retrieval.overlap(retrieval.pool({"vector": a, "bm25": b}))
 
 
-@query()
+_FUSED = "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS rank FROM (SELECT query_id, id, round(coalesce(0.5 / (60 + co.rank), 0) + coalesce(0.5 / (60 + bm.rank), 0), 12) AS score FROM co FULL OUTER JOIN bm USING (query_id, id))) WHERE rank <= {0}"
+_POOL = ("vector", "co"), ("bm25", "bm"), ("hybrid", "hy")
+
+
+@query(
+    f"""
+    WITH {_RETRIEVAL}, hy AS ({_FUSED.format(10)}),
+    p AS ({" UNION ALL ".join(f"SELECT query_id, id, {i} AS o, '{n}' AS source, rank, round(score, 6) AS score FROM {t}" for i, (n, t) in enumerate(_POOL))})
+    SELECT query_id, id, string_agg(source, ',' ORDER BY o) AS sources, greatest(max(score), 0.0) AS best_score, count(*) AS n_sources,
+           {", ".join(f"max({c}) FILTER (source = '{n}') AS {n}_{c}" for n, _ in _POOL for c in ("rank", "score"))} FROM p GROUP BY query_id, id
+    """
+)
 def pooled_candidates(spark, sf):
     q, c, a, b = _arms(spark, sf)
     return retrieval.pool({"vector": a, "bm25": b, "hybrid": retrieval.rank_fusion(a, b)})
 
 
-@query()
+@query(
+    f"""
+    WITH {_sql_arms(k=8)},
+    i AS (SELECT bm.query_id, bm.rank, '[' || bm.rank || '] ' || bm.id || chr(10) || CASE WHEN length(c.raw_text) > 1500 THEN substr(c.raw_text, 1, 1500) || '...' ELSE c.raw_text END AS item FROM bm JOIN document_chunks c ON bm.id = c.chunk_id)
+    SELECT i.query_id, string_agg(item, chr(10) || chr(10) ORDER BY rank) || chr(10) || chr(10) || 'Question: ' || any_value(q.query_text) AS prompt FROM i JOIN eval_queries q USING (query_id) GROUP BY i.query_id
+    """
+)
 def prompts(spark, sf):
     """The best texts of each query as one prompt."""
     q, c, _, b = _arms(spark, sf, 8)
@@ -725,6 +833,25 @@ def prompts(spark, sf):
     return retrieval.prompt(top, "question")
 
 
+def _corpus(spark, sf):
+    """Chunks with the address, company and role of their document; those without company or role are left out."""
+    c, d = load(spark, sf, "document_chunks").select("chunk_id", "document_id", "chunk_text"), load(spark, sf, "processed_documents")
+    key = lambda x: F.lower(F.trim(x))
+    d = d.select("document_id", "source_url", key("company").alias("ck"), key("role").alias("rk"))
+    co, r = load(spark, sf, "companies").select(F.col("name").alias("company"), key("name").alias("ck")), load(spark, sf, "job_roles").select(F.col("title").alias("role"), key("title").alias("rk"))
+    return c.join(d.join(co, "ck").join(r, "rk"), "document_id").select(F.col("chunk_id").alias("id"), F.col("chunk_text").alias("text"), "source_url", "company", "role")
+
+
+_SQL_CORPUS = "(SELECT c.chunk_id, c.chunk_text, d.source_url, co.name AS company, r.title AS role FROM document_chunks c JOIN processed_documents d ON c.document_id = d.document_id JOIN companies co ON lower(trim(d.company)) = lower(trim(co.name)) JOIN job_roles r ON lower(trim(d.role)) = lower(trim(r.title)))"
+
+
+@query(f"WITH {_sql_arms(_SQL_CORPUS, 'chunk_text', 16)}, hy AS ({_FUSED.format(8)}) SELECT hy.query_id, hy.id, round(hy.score, 6) AS score, hy.rank, c.chunk_text AS text, c.source_url, c.company, c.role FROM hy JOIN {_SQL_CORPUS} c ON hy.id = c.chunk_id")
+def retrieved_chunks(spark, sf):
+    """What a search returns: the best eight chunks of the hybrid mode with address, company and role; each list is asked for twice as many."""
+    q = load(spark, sf, "eval_queries").select("query_id", F.col("query_text").alias("text"))
+    return retrieval.retrieve("hybrid", q, _corpus(spark, sf), 8)
+
+
 # ---- evaluation ----------------------------------------------------------------------------------------------------
 
 _GRADES = "g AS (SELECT query_id, relevant_chunk_id AS id, relevance AS grade FROM (SELECT *, row_number() OVER (PARTITION BY query_id, relevant_chunk_id ORDER BY created_at DESC, judgment_id DESC) AS r FROM eval_dataset WHERE relevance >= 0) WHERE r = 1)"
@@ -751,7 +878,7 @@ def retrieval_metrics(spark, sf):
     return evaluate.metrics(evaluate.per_query(q, ranked, grades))
 
 
-@query(f"WITH {_METRICS}, c AS (SELECT query_category, ndcg AS value FROM cat WHERE k = 10) SELECT query_category, value, round(avg(value) OVER (), 4) AS overall_mean, round(max(value) OVER () - min(value) OVER (), 4) AS disparity, value < round(avg(value) OVER (), 4) - 0.1 AS underperforming FROM c")
+@query(f"WITH {_METRICS}, c AS (SELECT query_category, ndcg AS value FROM cat WHERE k = 10) SELECT query_category, value, round(avg(value) OVER (), 4) AS overall_mean, round(max(value) OVER () - min(value) OVER (), 4) AS disparity, value < round(avg(value) OVER (), 4) - 0.1 AS underperforming, CASE WHEN count(*) OVER () < 2 THEN 'fewer than two categories' END AS note FROM c")
 def category_disparity(spark, sf):
     q, ranked, grades = _evaluated(spark, sf)
     return evaluate.disparity(evaluate.metrics(evaluate.per_query(q, ranked, grades)))
@@ -763,35 +890,91 @@ def grade_separation(spark, sf):
     return evaluate.grade_separation(ranked, grades)
 
 
-@query()
+@query(f"WITH {_METRICS} SELECT round(avg(score) FILTER (grade = 2) - avg(score) FILTER (grade = 0), 4) AS gap FROM h")
+def grade_gap(spark, sf):
+    _, ranked, grades = _evaluated(spark, sf)
+    return evaluate.grade_gap(ranked, grades)
+
+
+@query(
+    f"""
+    WITH {_METRICS}, gh AS (SELECT query_id, {", ".join(f"count(*) FILTER (grade = {g}) AS n_grade_{g}" for g in (0, 1, 2))} FROM g GROUP BY query_id),
+    t AS (SELECT query_id, coalesce(max(grade) FILTER (rank = 1), -1) AS top_grade, count(*) FILTER (rank <= 10 AND grade >= 1) AS hits, string_agg(CAST(coalesce(grade, -1) AS VARCHAR), ',' ORDER BY rank) AS grades, round(sum(round(score, 4)), 4) AS score_sum FROM h GROUP BY query_id)
+    SELECT q.query_id, {", ".join(f"coalesce(n_grade_{g}, 0) AS n_grade_{g}" for g in (0, 1, 2))}, coalesce(top_grade, -1) AS top_grade, coalesce(hits, 0) AS hits_at_10, grades, score_sum FROM eval_queries q LEFT JOIN gh USING (query_id) LEFT JOIN t USING (query_id)
+    """
+)
 def query_details(spark, sf):
+    """Judgments and hits of every query, with the grades and the sum of the scores of what was found."""
     q, ranked, grades = _evaluated(spark, sf)
-    return evaluate.details(q, ranked, grades)
+    d = evaluate.details(q, ranked, grades)
+    total = F.round(F.aggregate("scores", F.lit(0.0), lambda s, x: s + x), 4)
+    return d.withColumn("score_sum", F.when(F.size("scores") > 0, total)).withColumn("grades", F.when(F.size("grades") > 0, F.array_join("grades", ","))).drop("scores")
 
 
-def _compared(spark, sf):
-    """Three configurations against the same judgments, scored in one plan."""
+def _runs(spark, sf):
+    """Three configurations over the same chunks: metrics of each category and of all queries."""
     q, _, a, b = _arms(spark, sf)
     grades = evaluate.judged(load(spark, sf, "eval_dataset"))
     queries = load(spark, sf, "eval_queries")
     runs = {"cosine": a, "bm25": b, "hybrid": retrieval.rank_fusion(a, b, k=15)}
-    overall = reduce(DataFrame.unionByName, [evaluate.metrics(evaluate.per_query(queries, r, grades)).withColumn("config", F.lit(n)) for n, r in runs.items()])
+    return R.cut(reduce(DataFrame.unionByName, [evaluate.metrics(evaluate.per_query(queries, r, grades)).withColumn("config", F.lit(n)) for n, r in runs.items()]))
+
+
+def _compared(spark, sf):
     n = load(spark, sf, "document_chunks").agg(F.count("*").alias("n"))
     mb = n.select(F.explode(F.array(*[F.struct(F.lit(c).alias("config"), F.lit(d).alias("d")) for c, d in (("cosine", 384), ("bm25", 0), ("hybrid", 384))])).alias("x"), "n")
     storage = mb.select("x.config", F.when(F.col("x.d") > 0, F.col("n") * (F.col("x.d") * 4 + 64) / 2**20).otherwise(0.0).alias("mb"))
-    return evaluate.selection(overall, storage)
+    return evaluate.selection(_runs(spark, sf), storage)
 
 
-@query()
+_SQL_RUNS = f"""{_METRICS}, hy AS ({_FUSED.format(15)}), cf AS (SELECT * FROM (VALUES ('cosine', 384), ('bm25', 0), ('hybrid', 384)) c(config, d)),
+    runs AS (SELECT 'cosine' AS config, query_id, id, rank FROM co UNION ALL SELECT 'bm25', query_id, id, rank FROM bm UNION ALL SELECT 'hybrid', query_id, id, rank FROM hy),
+    got3 AS (SELECT config, query_id, k, min(rank) FILTER (grade >= 1) AS first_hit, count(*) FILTER (grade >= 1) AS hits, sum((pow(2, coalesce(grade, 0)) - 1) / log2(rank + 1)) AS dcg FROM runs LEFT JOIN g USING (query_id, id) JOIN ks ON rank <= k GROUP BY ALL),
+    pq3 AS (SELECT cf.config, coalesce(q.query_category, 'uncategorised') AS query_category, ks.k, coalesce(1.0 / first_hit, 0) AS rr, coalesce(hits, 0) / nullif(n_relevant, 0) AS recall, coalesce(coalesce(dcg, 0) / nullif(idcg, 0), 0) AS ndcg
+            FROM eval_queries q CROSS JOIN ks CROSS JOIN cf LEFT JOIN got3 ON got3.config = cf.config AND got3.query_id = q.query_id AND got3.k = ks.k LEFT JOIN ideal ON ideal.query_id = q.query_id AND ideal.k = ks.k LEFT JOIN rel ON rel.query_id = q.query_id),
+    ov3 AS (SELECT config, k, round(avg(rr), 6) AS mrr, round(avg(recall), 6) AS recall, round(avg(ndcg), 6) AS ndcg FROM pq3 GROUP BY ALL),
+    s3 AS (SELECT config, max(ndcg) FILTER (k = 10) AS ndcg, max(recall) FILTER (k = 10) AS recall, max(mrr) FILTER (k = 5) AS mrr FROM ov3 GROUP BY config),
+    sel AS (SELECT config, ndcg, round(0.47 * ndcg + 0.29 * recall + 0.18 * mrr + 0.06 * least(1.0, 120.0 / greatest(CASE WHEN d > 0 THEN n * (d * 4 + 64) / 1048576.0 ELSE 0.0 END, 1.0)), 6) AS selection_score FROM s3 JOIN cf USING (config), (SELECT count(*) AS n FROM document_chunks)),
+    placed AS (SELECT *, row_number() OVER (ORDER BY selection_score DESC, config) AS place FROM sel)"""
+
+
+@query(f"WITH {_SQL_RUNS} SELECT * FROM placed")
 def selection_scores(spark, sf):
+    """Three configurations against the same judgments, ranked by their selection score."""
     return _compared(spark, sf)
 
 
-@query()
+@query(
+    f"WITH {_SQL_RUNS}, t AS (SELECT config AS winner, ndcg AS best FROM placed WHERE place = 1), m AS (SELECT config AS candidate, ndcg AS own FROM placed WHERE config IN ('bm25', 'cosine') ORDER BY place LIMIT 1) "
+    "SELECT winner, candidate, round((best - own) / nullif(best, 0), 6) AS relative_gap, round((best - own) / nullif(best, 0), 6) <= 0.05 AS accept FROM t, m"
+)
 def decision_gate(spark, sf):
     return evaluate.decision(_compared(spark, sf), ["bm25", "cosine"])
 
 
+@query(
+    f"WITH {_SQL_RUNS}, c3 AS (SELECT config, query_category, round(avg(ndcg), 6) AS ndcg FROM pq3 WHERE k = 10 GROUP BY ALL), d3 AS (SELECT config, round(max(ndcg) - min(ndcg), 4) AS disparity FROM c3 GROUP BY config HAVING count(*) >= 2) "
+    "SELECT *, row_number() OVER (ORDER BY disparity, config) AS place FROM d3"
+)
+def config_bias(spark, sf):
+    """Configurations from the least to the most biased one by the disparity of their categories."""
+    return evaluate.bias(_runs(spark, sf))
+
+
+@query("SELECT judgment_id, CAST(TRY_CAST(substr(query_id, 3) AS DOUBLE) AS BIGINT) AS query_no, CAST(relevance AS BIGINT) AS relevance FROM eval_dataset WHERE TRY_CAST(substr(query_id, 3) AS DOUBLE) IS NOT NULL AND relevance IS NOT NULL")
+def coerced_numbers(spark, sf):
+    """Judgments whose query number and grade read as numbers."""
+    e = load(spark, sf, "eval_dataset").select("judgment_id", F.substr("query_id", F.lit(3)).alias("query_no"), "relevance")
+    return evaluate.coerced(e, ["query_no", "relevance"])
+
+
+@query(f"WITH {_RETRIEVAL}, {_GRADES} SELECT bm.query_id, bm.id, bm.rank FROM bm WHERE NOT EXISTS (SELECT 1 FROM g WHERE g.query_id = bm.query_id AND g.id = bm.id)")
+def judgments_to_resume(spark, sf):
+    """Candidates that still have to be judged: an anti join on two keys with what has been judged."""
+    _, ranked, grades = _evaluated(spark, sf)
+    return ranked.join(grades, ["query_id", "id"], "left_anti").select("query_id", "id", "rank")
+
+
 # ---- drift ---------------------------------------------------------------------------------------------------------
 
 _DIMS = "l AS (SELECT id, logged_at > (SELECT max(logged_at) FROM query_logs) - INTERVAL 30 DAY AS cur, generate_subscripts(query_embedding, 1) - 1 AS dim, CAST(unnest(query_embedding) AS DOUBLE) AS x FROM query_logs WHERE query_embedding IS NOT NULL), s AS (SELECT dim, cur, count(*) AS n, avg(x) AS mean, stddev_pop(x) AS std FROM l GROUP BY ALL), rs AS (SELECT * FROM s WHERE NOT cur), cs AS (SELECT * FROM s WHERE cur)"
@@ -830,10 +1013,30 @@ def two_sample_test(spark, sf):
     return drift.two_sample(a, b, "query_embedding").select("dim", F.round("ks", 9).alias("ks"))
 
 
-@query()
+_SQL_KS = f"""{_DIMS}, v AS (SELECT dim, x, count(*) FILTER (NOT cur) AS r, count(*) FILTER (cur) AS c FROM l GROUP BY dim, x),
+    f AS (SELECT dim, abs(sum(r) OVER w / sum(r) OVER (PARTITION BY dim) - sum(c) OVER w / sum(c) OVER (PARTITION BY dim)) AS gap FROM v WINDOW w AS (PARTITION BY dim ORDER BY x)),
+    n AS (SELECT dim, sum(r) AS nr, sum(c) AS nc FROM v GROUP BY dim),
+    t AS (SELECT f.dim, CASE WHEN any_value(nr) > 0 AND any_value(nc) > 0 THEN max(gap) > sqrt(-ln(0.025) / 2) * sqrt((any_value(nr) + any_value(nc)) / (any_value(nr) * any_value(nc))) END AS drifted FROM f JOIN n USING (dim) GROUP BY f.dim),
+    m AS (SELECT 1 - sum(rs.mean * cs.mean) / (sqrt(sum(rs.mean * rs.mean)) * sqrt(sum(cs.mean * cs.mean))) AS centroid, quantile_cont(abs(cs.mean - rs.mean) / greatest(rs.std, 1e-8), 0.95) AS shift FROM rs JOIN cs USING (dim)),
+    o AS (SELECT centroid, shift, (SELECT avg(CAST(drifted AS DOUBLE)) FROM t) AS share, (SELECT count(DISTINCT id) FROM l WHERE cur) AS n_current FROM m)"""
+
+
+@query(
+    f"WITH {_SQL_KS}, b AS (SELECT *, coalesce(CAST(centroid > 0.15 AS INTEGER) + CAST(shift > 2.0 AS INTEGER) + CAST(share > 0.30 AS INTEGER), 0) AS limits_broken FROM o) "
+    "SELECT round(centroid, 6) AS centroid_distance, round(shift, 6) AS shift_p95, round(share, 6) AS drifted_share, n_current, limits_broken, n_current >= 20 AND limits_broken >= 2 AS drift FROM b"
+)
 def drift_flag(spark, sf):
+    """The three measures of drift, the limits they break, and the flag."""
     a, b = _split(spark, sf)
-    return drift.composite(a, b, "query_embedding")
+    d = drift.composite(a, b, "query_embedding")
+    return d.select(*[F.round(c, 6).alias(c) for c in ("centroid_distance", "shift_p95", "drifted_share")], "n_current", "limits_broken", "drift")
+
+
+@query(f"WITH {_SQL_KS} SELECT round(share, 6) AS drifted_share, coalesce(share > 0.30, FALSE) AS refresh FROM o")
+def drift_trigger(spark, sf):
+    """The share of drifted dimensions, and whether it calls for a refresh of the corpus."""
+    a, b = _split(spark, sf)
+    return drift.trigger(drift.drifted(drift.two_sample(a, b, "query_embedding")))
 
 
 # ---- pages, pipeline, streams --------------------------------------------------------------------------------------
@@ -841,20 +1044,13 @@ def drift_flag(spark, sf):
 
 @query()
 def article_pages(spark, sf):
-    """Raw posts read as pages: heading, text, date."""
-    d = load(spark, sf, "raw_documents").where("raw_content like '%<%'")
-    return parsers.parse_articles(d, "source_url", "raw_content")
+    """All raw posts read as pages: heading, text, tags, date."""
+    return parsers.parse_articles(R.spread(load(spark, sf, "raw_documents").select("source_url", "raw_content")), "source_url", "raw_content")
 
 
-@query("SELECT ingest_seq, CASE WHEN regexp_matches(raw_content, '(?i)member-only\\s+story') THEN 'member_badge' WHEN regexp_matches(raw_content, '(?i)(?:create an account|sign up) to read the full story') THEN 'call_to_action' END AS reason FROM raw_documents WHERE raw_content IS NOT NULL AND NOT regexp_matches(raw_content, '(?i)class=\"[^\"]*(?:paywall|meteredContent)')")
+@query("SELECT ingest_seq, CASE " + " ".join(f"WHEN regexp_matches(raw_content, '{_re(p)}') THEN '{k}'" for k, p in parsers.PAYWALL) + " END AS reason FROM raw_documents WHERE raw_content IS NOT NULL")
 def paywall_signs(spark, sf):
-    d = load(spark, sf, "raw_documents").where("raw_content is not null")
-    return d.select("ingest_seq", parsers.paywall(F.col("raw_content")).alias("reason")).where("reason is null or reason != 'paywall_class'")
-
-
-@query()
-def paywall_pages(spark, sf):
-    """The first sign of a paywall on every page, the class of an element included; `paywall_signs` leaves pages with that sign out."""
+    """The first sign of a paywall on every page."""
     d = load(spark, sf, "raw_documents").where("raw_content is not null")
     return d.select("ingest_seq", parsers.paywall(F.col("raw_content")).alias("reason"))
 
@@ -865,6 +1061,42 @@ def url_report(spark, sf):
     return d.groupBy(F.regexp_extract("source_url", r"^https?://([^/?#]+)", 1).alias("host")).agg(F.count("*").alias("n"), F.count_distinct("source_url").alias("n_urls"), F.min("scrape_batch_id").alias("first_batch"))
 
 
+@query(
+    """
+    WITH f AS (SELECT trim(coalesce(source_metadata, '')) AS t FROM raw_documents),
+    s AS (SELECT CASE WHEN NOT (json_valid(t) AND t LIKE '{%') THEN 'failed_read' WHEN trim(coalesce(json_extract_string(t, '$.tags'), '')) = '' OR trim(coalesce(json_extract_string(t, '$.reactions'), '')) = '' THEN 'failed_insert' ELSE 'ok' END AS s FROM f)
+    SELECT count(*) AS total, count(*) FILTER (s = 'ok') AS inserted, count(*) FILTER (s <> 'ok') AS skipped, count(*) FILTER (s = 'failed_read') AS failed_reads, count(*) FILTER (s = 'failed_insert') AS failed_inserts FROM s
+    """
+)
+def load_summary(spark, sf):
+    """Every metadata document read on its own: how many were loaded, could not be read, or lack a required field."""
+    return loading.summary(loading.read_states(load(spark, sf, "raw_documents"), "source_url", "source_metadata", ["tags", "reactions"]))
+
+
+@query(
+    "SELECT document_id, trim(company) AS company, trim(role) AS role, "
+    + ", ".join(f"CASE WHEN lower(trim({c})) IN {_list(P.ENUMS[c])} THEN lower(trim({c})) END AS {c}" for c in ("experience_level", "interview_outcome", "difficulty"))
+    + f", num_rounds, CASE WHEN lower(trim(interview_types[1])) IN {_list(P.ENUMS['interview_types'])} THEN lower(trim(interview_types[1])) END AS interview_type, array_to_string(coalesce(topics, []), ',') AS topics FROM processed_documents WHERE trim(coalesce(company, '')) <> '' AND trim(coalesce(role, '')) <> ''"
+)
+def metadata_rows(spark, sf):
+    """Metadata of the documents that have a company and a role."""
+    return loading.metadata_rows(load(spark, sf, "processed_documents")).withColumn("topics", F.array_join("topics", ","))
+
+
+@query("SELECT count(*) FILTER (json_valid(source_metadata)) AS collected, count(*) FILTER (NOT json_valid(source_metadata)) AS errors, max(scraped_at) AS last, (SELECT string_agg(u, ' ' ORDER BY u) FROM (SELECT DISTINCT source_url AS u FROM raw_documents WHERE NOT json_valid(source_metadata) ORDER BY u LIMIT 10)) AS error_urls FROM raw_documents WHERE source_metadata IS NOT NULL")
+def scrape_manifest(spark, sf):
+    """What a run collected and what failed (here: metadata that is cut off), with the first addresses that failed."""
+    d = load(spark, sf, "raw_documents").where("source_metadata is not null").withColumn("error", F.when(F.try_parse_json("source_metadata").isNull(), "broken"))
+    return loading.manifest(d, "source_url", "error", "scraped_at").withColumn("error_urls", F.nullif(F.array_join("error_urls", " "), F.lit("")))
+
+
+@query("SELECT company, n, first_at, last_at FROM (SELECT trim(company) AS company, count(*) AS n, min(scraped_at) AS first_at, max(scraped_at) AS last_at FROM processed_documents WHERE trim(coalesce(company, '')) <> '' GROUP BY 1) ORDER BY n DESC, company LIMIT 10")
+def top_companies(spark, sf):
+    """The ten companies with most documents (a report of ten rows), with the first and last time of a fetch."""
+    d = load(spark, sf, "processed_documents").where(F.trim(F.coalesce("company", F.lit(""))) != "")
+    return d.groupBy(F.trim("company").alias("company")).agg(F.count("*").alias("n"), F.min("scraped_at").alias("first_at"), F.max("scraped_at").alias("last_at")).orderBy(F.desc("n"), "company").limit(10)
+
+
 @query()
 def pipeline_report(spark, sf):
     """The six steps over all raw documents: rows by the step and reason that rejected them."""

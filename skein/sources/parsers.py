@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: The article container of a page, elements left out of it, least lengths of a text.
-ARTICLE_CLASS, SKIPPED, LEAST_CLEAN, LEAST_ARTICLE = "article--viewer", {"script", "style", "nav", "footer", "aside"}, 50, 100
+ARTICLE_CLASS, TAGS_CLASS, SKIPPED, LEAST_CLEAN, LEAST_ARTICLE = "article--viewer", "HeadingAndChipComponent_mainContainer__dataChips", {"script", "style", "nav", "footer", "aside"}, 50, 100
 #: Markdown of the paragraph types of an embedded state.
 PARAGRAPHS = {"H2": "## ", "H3": "### ", "H4": "#### ", "PQ": "> ", "BQ": "> ", "OLI": "1. ", "ULI": "- "}
 #: Signs of a paywall in order: reason, pattern.
@@ -31,14 +31,20 @@ class Article(HTMLParser):
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.title, self.inside, self.body = "", [], []
-        self.stack: list[tuple[str, bool, bool]] = []  # name, begins the container, is skipped
+        self.title, self.inside, self.body, self.tags = "", [], [], []
+        self.meta: dict[str, str] = {}
+        self.stack: list[tuple[str, bool, bool, bool]] = []  # name, begins the container, is skipped, begins the tags
 
     def handle_starttag(self, tag, attrs):
+        a = dict(attrs)
+        if tag == "meta" and (name := a.get("property") or a.get("name")):
+            self.meta.setdefault(name.lower(), a.get("content") or "")
+        elif tag == "link" and "canonical" in (a.get("rel") or "").lower().split():
+            self.meta.setdefault("canonical", a.get("href") or "")
         if tag in VOID:
             return
-        classes = dict(attrs).get("class") or ""
-        self.stack.append((tag, tag == "div" and ARTICLE_CLASS in classes, tag in SKIPPED or tag == "header"))
+        classes = a.get("class") or ""
+        self.stack.append((tag, tag == "div" and ARTICLE_CLASS in classes, tag in SKIPPED or tag == "header", tag == "div" and TAGS_CLASS in classes))
 
     def handle_endtag(self, tag):
         for k in range(len(self.stack) - 1, -1, -1):
@@ -53,6 +59,8 @@ class Article(HTMLParser):
         names = [s[0] for s in self.stack]
         if "h1" in names and not self.title:
             self.title = text
+        if "a" in names and any(s[3] for s in self.stack) and text not in self.tags:
+            self.tags.append(text)
         skipped = [s[0] for s in self.stack if s[2]]
         if any(s[1] for s in self.stack) and not [s for s in skipped if s != "header"]:
             self.inside.append(text)
@@ -61,20 +69,20 @@ class Article(HTMLParser):
 
 
 def parse_articles(pages: DataFrame, url: str, page: str) -> DataFrame:
-    """(url, title, content) of HTML pages; pages without text are left out, a missing heading is `Untitled`."""
+    """(url, title, content, tags, last_updated) of HTML pages; pages without text are left out, a missing heading is `Untitled`."""
 
-    @F.pandas_udf("title string, content string")
+    @F.pandas_udf("title string, content string, tags array<string>")
     def read(texts: pd.Series) -> pd.DataFrame:
         rows = []
         for t in texts:
             a = Article()
             a.feed(t or "")
             a.close()
-            rows.append((a.title or "Untitled", "\n".join(a.inside or a.body)))
-        return pd.DataFrame(rows, columns=["title", "content"])
+            rows.append((a.title or "Untitled", "\n".join(a.inside or a.body), a.tags))
+        return pd.DataFrame(rows, columns=["title", "content", "tags"])
 
     out = pages.select(F.col(url).alias("url"), read(page).alias("a"), F.col(page).alias("html"))
-    return out.select("url", "a.title", "a.content", last_updated("html").alias("last_updated")).where("content != ''")
+    return out.select("url", "a.title", "a.content", "a.tags", last_updated("html").alias("last_updated")).where("content != ''")
 
 
 def last_updated(page: str) -> Column:
@@ -112,15 +120,61 @@ def paywall(page: Column) -> Column:
     return F.coalesce(*[F.when(page.rlike(p), F.lit(reason)) for reason, p in PAYWALL])
 
 
-def page_metadata(page: Column) -> Column:
-    """struct<description, image, canonical, reading_minutes> of a page."""
-    meta = lambda p: F.nullif(F.regexp_extract(page, p, 1), F.lit(""))
-    return F.struct(
-        meta(r"(?i)<meta[^>]+property=[\"']og:description[\"'][^>]+content=[\"']([^\"']*)").alias("description"),
-        meta(r"(?i)<meta[^>]+property=[\"']og:image[\"'][^>]+content=[\"']([^\"']*)").alias("image"),
-        meta(r"(?i)<link[^>]+rel=[\"']canonical[\"'][^>]+href=[\"']([^\"']*)").alias("canonical"),
-        meta(r"(?i)(\d+)\s+min(?:ute)?s?\s+read").cast("int").alias("reading_minutes"),
+def page_metadata(page: Column, state: Column | None = None) -> Column:
+    """struct<description, image, canonical, reading_time, reading_minutes, tags> of a page, its attributes in any order; tags come from an embedded JSON state."""
+
+    @F.pandas_udf("description string, image string, canonical string, reading_time string")
+    def read(texts: pd.Series) -> pd.DataFrame:
+        rows = []
+        for t in texts:
+            a = Article()
+            a.feed(t or "")
+            a.close()
+            m = a.meta
+            rows.append((m.get("og:description", m.get("description")) or None, m.get("og:image") or None, m.get("canonical") or None, m.get("twitter:data1") or None))
+        return pd.DataFrame(rows, columns=["description", "image", "canonical", "reading_time"])
+
+    m = read(page)
+    minutes = F.nullif(F.regexp_extract(page, r"(?i)(\d+)\s+min(?:ute)?s?\s+read", 1), F.lit("")).cast("int")
+    tags = F.array().cast("array<string>") if state is None else state_tags(state)
+    return F.struct(m["description"].alias("description"), m["image"].alias("image"), m["canonical"].alias("canonical"), m["reading_time"].alias("reading_time"), minutes.alias("reading_minutes"), tags.alias("tags"))
+
+
+def state_tags(state: Column) -> Column:
+    """Distinct titles (else ids) of the `Tag:` entries of an embedded JSON state."""
+    entries = F.map_entries(F.from_json(state, "map<string, struct<displayTitle: string, id: string>>"))
+    own = F.transform(F.filter(entries, lambda e: e["key"].startswith("Tag:")), lambda e: F.coalesce(F.nullif(e["value"]["displayTitle"], F.lit("")), e["value"]["id"]))
+    return F.coalesce(F.array_distinct(F.array_compact(own)), F.array().cast("array<string>"))
+
+
+#: An answer of the discussion service: an article, what its list says of it, and pages of comments.
+ANSWER = (
+    "topicId string, slug string, title string, content string, createdAt string, hitCount long, reactions array<struct<reactionType: string, count: long>>, "
+    "tags array<struct<name: string, slug: string, tagType: string>>, comments array<struct<id: string, content: string, hidden: boolean>>"
+)
+
+
+def answers(df: DataFrame, body: str, base_url: str, known: list[str], least: int = LEAST_CLEAN, pages: int = 5, per_page: int = 20) -> DataFrame:
+    """Documents of JSON answers: address, cleaned text, tags, reactions as a map, company, the visible comments of the first pages.
+
+    Answers that are no JSON, have no content, or fewer than `least` characters after cleaning are left out.
+    """
+    a = df.select("*", F.from_json(body, ANSWER).alias("_a")).where("_a.content is not null")
+    reactions = F.map_from_entries(F.transform(F.coalesce("_a.reactions", F.array().cast("array<struct<reactionType: string, count: long>>")), lambda r: F.struct(F.coalesce(r["reactionType"], F.lit("UNKNOWN")), F.coalesce(r["count"], F.lit(0)))))
+    names = F.filter(F.transform("_a.tags", lambda t: t["name"]), lambda n: n != "")
+    shown = comments(F.slice(F.coalesce("_a.comments", F.array().cast("array<struct<id: string, content: string, hidden: boolean>>")), 1, pages * per_page))
+    out = a.select(
+        *[c for c in df.columns if c != body],
+        F.concat(F.lit(base_url), F.coalesce("_a.topicId", F.lit("")), F.lit("/"), F.coalesce("_a.slug", F.lit("")), F.lit("/")).alias("source_url"),
+        F.coalesce("_a.title", F.lit("Untitled")).alias("title"),
+        bare_content(F.col("_a.content")).alias("raw_content"),
+        F.col("_a.createdAt").alias("published_at"),
+        names.alias("tags"),
+        reactions.alias("reactions"),
+        company_of_tags(F.col("_a.tags"), F.coalesce("_a.title", F.lit("")), known).alias("company"),
+        F.transform(shown, bare_content).alias("comments"),
     )
+    return out.where(F.length(F.trim("raw_content")) >= least)
 
 
 def state_to_markdown(state: Column) -> Column:

@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from skein.operators.relational import shared_dir
+
 
 def parquet_stream(spark: SparkSession, path: str, per_trigger: int | None = None) -> DataFrame:
     """A file stream over a parquet directory or a single file."""
@@ -25,13 +27,18 @@ def parquet_stream(spark: SparkSession, path: str, per_trigger: int | None = Non
 
 
 def run_now(df: DataFrame, name: str, mode: str, checkpoint: str | None = None) -> DataFrame:
-    """Process what is there and return the result table; for results of bounded size (windows, not rows)."""
-    writer = df.writeStream.outputMode(mode).format("memory").queryName(name).trigger(availableNow=True)
-    if checkpoint:
-        writer = writer.option("checkpointLocation", checkpoint)
-    query = writer.start()
-    query.awaitTermination()
-    return df.sparkSession.table(name)
+    """Process what is there and return the result: every trigger's rows are written to the shared folder, nothing is held by the driver.
+
+    In complete mode the last trigger's rows are the result, in the others those of all triggers.
+    """
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/{name}"
+
+    def one(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/rows/epoch={0 if mode == 'complete' else epoch}")
+
+    writer = df.writeStream.outputMode(mode).foreachBatch(one).option("checkpointLocation", checkpoint or f"{path}/checkpoint").trigger(availableNow=True)
+    writer.start().awaitTermination()
+    return df.sparkSession.read.schema(df.schema).parquet(f"{path}/rows")
 
 
 def tumbling(events: DataFrame, time: str = "ts", width: str = "1 hour", late: str = "10 minutes", key: str = "event_type") -> DataFrame:

@@ -50,10 +50,10 @@ def test_whole_operators_over_all_rows(spark, tmp_path):
     texts = [(1, "ask @some_user or github.com/some/repo now"), (2, "@Override is kept"), (3, None)]
     spark.createDataFrame(texts, "id int, query_text string").write.parquet(f"{tmp_path}/query_logs.parquet")
     got = lambda q, *c: [tuple(r) for r in Q.QUERIES[q](spark, str(tmp_path)).select(*c).orderBy(c[0]).collect()]
-    assert got("paywall_pages", "ingest_seq", "reason") == [(1, "paywall_class"), (2, "member_badge"), (3, None)]
+    assert got("paywall_signs", "ingest_seq", "reason") == [(1, "paywall_class"), (2, "member_badge"), (3, None)]
     assert got("pii_all_rules_queries", "id", "redacted") == [(1, "ask [USERNAME] or [PERSONAL_URL] now"), (2, "@Override is kept")]
     assert got("titles_normalised", "ingest_seq", "title") == [(1, '"A" & b'), (2, ""), (3, "t"), (4, "t")]
-    plain = dict(got("markdown_plain", "ingest_seq", "plain"))
+    plain = dict(got("markdown_strip", "ingest_seq", "plain"))
     assert set(plain) == {1, 2, 3} and plain[3].split() == "[code block removed] bold and code".split()
 
 

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from skein.functions import patterns as P
 from skein.functions import text as T
+from skein.operators import entities
 
 
 def one(spark, f, *values):
@@ -70,10 +71,16 @@ def test_extraction(spark):
     assert one(spark, T.company_in_title, "Acme Interview Experience for SDE") == "Acme"
 
 
+def names(spark, *pairs):
+    return spark.createDataFrame(list(pairs), "alias string, canonical string")
+
+
 def test_longest_alias_wins(spark):
-    aliases = F.array(*[F.struct(F.lit(a).alias("alias"), F.lit(c).alias("canonical")) for a, c in (("acme labs", "Labs"), ("acme", "Acme"))])
-    assert one(spark, lambda c: T.longest_alias(c, aliases), "At Acme Labs now") == "Labs"
-    assert one(spark, lambda c: T.longest_alias(c, aliases), "acmes") is None
+    docs = spark.createDataFrame([(1, ["At Acme Labs now", "acme"]), (2, ["acmes", None]), (3, [None, "so Acme, then"]), (4, ["C++ at .NET house", ""])], "id int, texts array<string>")
+    found = entities.first_alias(docs, names(spark, ("acme labs", "Labs"), ("Acme", "Acme"), (".net", "Dot"), (None, "x"), ("++", "y")), "company")
+    assert {r.id: r.company for r in found.collect()} == {1: "Labs", 3: "Acme"}
+    many = names(spark, ("Acme", "Acme")).unionByName(spark.range(10_500).select(F.concat(F.lit("Firm"), "id").alias("alias"), F.concat(F.lit("Firm"), "id").alias("canonical")))
+    assert {r.id: r.company for r in entities.first_alias(docs, many, "company").collect()} == {1: "Acme", 3: "Acme"}  # a list of any size
 
 
 @pytest.mark.parametrize("answer, grade", [('{"relevance": 2}', 2), ("```json\n{\"relevance\": 1}\n```", 1), ("grade 0 it is", 0), ("none", -1), ("", -1)])
@@ -93,11 +100,16 @@ def test_small_helpers(spark):
 
 
 def test_roles_and_companies(spark):
-    aliases = F.array(*[F.struct(F.lit(a).alias("alias"), F.lit(c).alias("canonical")) for a, c in (("data engineer", "Data Engineer"), ("sde", "Software Engineer"))])
-    assert one(spark, lambda t, c: T.role(t, c, aliases), "SDE-2 at Acme", "nothing") == "Software Engineer 2"
-    assert one(spark, lambda t, c: T.role(t, c, aliases), "My day", "I applied for the role of Data Engineer 3 there") == "Data Engineer 3"
-    assert one(spark, lambda t, c: T.role(t, c, aliases), "x", "long ago " * 100 + "an sde told me") == "Software Engineer"
-    assert one(spark, lambda t, c: T.role(t, c, aliases), None, None) is None
-    assert one(spark, T.company_by_capitals, "I went to Blue Acme Labs on Monday.") == "Blue Acme Labs"
-    assert one(spark, T.company_by_capitals, "nothing here") is None
-    assert one(spark, lambda c: T.company_name(c, aliases), " SDE ") == "Software Engineer" and one(spark, lambda c: T.company_name(c, aliases), "blue acme") == "Blue Acme"
+    rows = [(1, "SDE-2 at Acme", "nothing"), (2, "My day", "i applied for the role of data engineer iii there"), (3, "x", "long ago " * 100 + "an sde told me"), (4, None, None), (5, "Blue acme Interview Experience", "sde"), (6, "t", "I went to Blue Acme Labs, then to ACME")]
+    docs = spark.createDataFrame(rows, "id int, title string, content string")
+    listed = names(spark, ("data engineer", "Data Engineer"), ("sde", "Software Engineer II"))
+    assert {r.id: r.role for r in entities.roles(docs, listed).collect()} == {1: "Software Engineer II 2", 2: "Data Engineer 3", 3: "Software Engineer 2", 5: "Software Engineer 2"}
+    got = {r.id: r.company for r in entities.companies(docs, names(spark, ("acme", "Acme Inc"))).collect()}
+    assert got == {1: "Acme Inc", 2: None, 3: None, 4: None, 5: "Blue Acme", 6: "Acme Inc"}
+    assert {r.id: r.company for r in entities.companies(docs, names(spark)).collect()}[6] == "Blue Acme Labs"
+    assert one(spark, T.company_by_capitals, "nothing here") is None and one(spark, T.company_by_capitals, "we used Python there") is None
+
+
+@pytest.mark.parametrize("text, want", [("Собеседование прошло хорошо, и потом мне прислали задание на дом от команды", "ru"), ("索引は準備していましたが、整列アルゴリズムは難しかったです。面接官は親切で、質問は三つありました。結果は来週までにメールで届くそうです。", "ja"), ("मुझे साक्षात्कार में तीन प्रश्न पूछे गए और फिर परिणाम की प्रतीक्षा करनी पड़ी", "hi"), ("Der Hund und die Katze sind nicht hier und das ist gut so wie es ist", "de"), ("Les questions étaient dans la deuxième partie et le jury est sympathique pour nous", "fr"), ("The interviewer asked me for the second time and it was in the afternoon", "en"), ("qwzx vbnm plokij uhygt fredc swaq qwzx vbnm plokij uhygt", "und"), ("short", "en"), ("1234567890 " * 10, "en")])
+def test_language(spark, text, want):
+    assert one(spark, T.language, text) == want
