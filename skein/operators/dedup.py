@@ -73,22 +73,22 @@ def greedy(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
     The kept rows are the first independent set in order of id; each round decides all rows without
     an undecided earlier neighbour, so the rounds are bounded by the longest chain of repeats.
     """
-    e = cut(pairs.select("a", "b"))
-    lost = None
-    while not e.isEmpty():
+    lost = cut(pairs.select("b").limit(0))
+    while True:
+        # what is still open: both ends undecided or kept
+        e = pairs.select("a", "b").join(lost, "b", "left_anti").join(lost.withColumnRenamed("b", "a"), "a", "left_anti")
         roots = e.select("a").distinct().join(e.select(F.col("b").alias("a")).distinct(), "a", "left_anti")
         now = cut(e.join(roots, "a", "left_semi").select("b").distinct())
-        lost = now if lost is None else lost.unionByName(now)
-        e = cut(e.join(now, "b", "left_anti").join(now.select(F.col("b").alias("a")), "a", "left_anti"))
-    if lost is None:
-        return nodes.select("id", F.lit(None).cast(nodes.schema["id"].dataType).alias("duplicate_of"))
+        if now.isEmpty():
+            break
+        lost = lost.unionByName(now)
     match = pairs.join(lost.select(F.col("b").alias("a")), "a", "left_anti").groupBy("b").agg(F.min("a").alias("duplicate_of"))
     return nodes.join(match.withColumnRenamed("b", "id"), "id", "left").select("id", "duplicate_of")
 
 
-def near_duplicates(df: DataFrame, id_col: str, text: str, least: int = LEAST, **options) -> DataFrame:
-    """(id, duplicate_of) of every row: exact copies first, then greedy near-duplicates among the first rows."""
-    exact = exact_duplicates(df, id_col, text)
+def near_duplicates(df: DataFrame, id_col: str, text: str, least: int = LEAST, exact: DataFrame | None = None, **options) -> DataFrame:
+    """(id, duplicate_of) of every row: exact copies first, then greedy near-duplicates among the first rows; exact is what `exact_duplicates` gives."""
+    exact = cut(exact_duplicates(df, id_col, text)) if exact is None else exact
     firsts = exact.where("is_first").select("id")
     kept = df.join(firsts.withColumnRenamed("id", id_col), id_col, "left_semi")
     sets = shingle_sets(kept, id_col, text, least)

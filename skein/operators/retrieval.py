@@ -12,8 +12,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from skein.functions import text as T
+from skein.functions.stem import stem
 from skein.operators.relational import cut, ranked_list, spread
 
 #: BM25 parameters, share of the mean weight that replaces negative ones, and the constant of rank fusion.
@@ -103,7 +105,7 @@ def vector_top_k(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
         if kind is not None and len(q):
             yield best.rows(q_ids, q_kind, kind)
 
-    q_kind = pa.array(rows["query_id"].tolist() or [None]).type
+    q_kind = to_arrow_type(queries.schema["query_id"].dataType)
     found = corpus.where("vector is not null").select("id", "vector").mapInArrow(run, _kinds(queries, corpus))
     return ranked_list(found, "query_id", "score", "id", k)
 
@@ -184,7 +186,7 @@ def _lexical(queries: DataFrame, corpus: DataFrame, k: int, score: str) -> DataF
         if kind is not None and n:
             yield best.rows(q_ids, q_kind, kind)
 
-    q_kind = pa.array(rows["query_id"].tolist() or [None]).type
+    q_kind = to_arrow_type(queries.schema["query_id"].dataType)
     found = spread(corpus.select("id", "text")).mapInArrow(run, _kinds(queries, corpus))
     return ranked_list(found, "query_id", "score", "id", k)
 
@@ -208,80 +210,67 @@ def match_all(queries: DataFrame, corpus: DataFrame) -> DataFrame:
     return hit.where("n = n_terms").select("query_id", "id", F.col("n_terms").cast("bigint").alias("n_terms"))
 
 
-_STEPS = (("ational", "ate"), ("tional", "tion"), ("enci", "ence"), ("anci", "ance"), ("izer", "ize"), ("ization", "ize"), ("ation", "ate"), ("fulness", "ful"), ("ousness", "ous"), ("iveness", "ive"), ("biliti", "ble"), ("aliti", "al"), ("iviti", "ive"))
-
-
-def stem(word: str) -> str:
-    """A suffix stemmer for English after the published algorithm (plural, -ed and -ing, -y, and common derivations)."""
-    if len(word) < 4:
-        return word
-    vowel = lambda w: any(c in "aeiouy" for c in w)
-    for end, new in (("sses", "ss"), ("ies", "i"), ("ss", "ss"), ("us", "us"), ("s", "")):
-        if word.endswith(end):
-            word = word[: len(word) - len(end)] + new
-            break
-    for end in ("eed", "ing", "ed"):
-        if word.endswith(end):
-            base = word[: -len(end)]
-            if end == "eed":
-                word = base + "ee" if vowel(base) else word
-            elif vowel(base) and len(base) > 2:
-                word = base
-                if word.endswith(("at", "bl", "iz")):
-                    word += "e"
-                elif len(word) > 2 and word[-1] == word[-2] and word[-1] not in "lsz":
-                    word = word[:-1]
-            break
-    if word.endswith("y") and vowel(word[:-1]) and len(word) > 2:
-        word = word[:-1] + "i"
-    for end, new in _STEPS:
-        if word.endswith(end) and vowel(word[: -len(end)]) and len(word) - len(end) > 2:
-            return word[: -len(end)] + new
-    return word
-
-
 #: Words that a full-text query leaves out.
 STOP = set("a an and are as at be but by for from had has have he her his i if in into is it its me my not of on or our she so that the their them they this to was we were what when which who will with you your".split())
 
 
+def stems(text: str | None) -> list[str]:
+    """Stems of the words of a text, in order; words that a query leaves out as empty strings, so that places stay."""
+    return ["" if w in STOP else stem(w) for w in _ALNUM.findall(text.lower())] if text else []
+
+
+_ALNUM = re.compile(r"[a-z0-9]+")
+
+
+def cover(places: list[tuple[int, int]], want: int) -> float:
+    """Number of terms divided by the length of the shortest window that holds them all; places are (position, term) in order."""
+    count: dict[int, int] = {}
+    best, left = 0, 0
+    for at, term in places:
+        count[term] = count.get(term, 0) + 1
+        while len(count) == want:
+            first, other = places[left]
+            best = at - first + 1 if not best else min(best, at - first + 1)
+            count[other] -= 1
+            if not count[other]:
+                del count[other]
+            left += 1
+    return want / best if best else 0.0
+
+
 def stemmed_match(queries: DataFrame, corpus: DataFrame, k: int) -> DataFrame:
     """(query_id, id, score, rank): texts with all stems of a query, ranked by the density of the closest cover.
 
-    score is the number of stems divided by the length of the shortest window that holds them all.
+    Every text is matched in its own task against the stated, checked query set, of which a task keeps the
+    best k each; only words of queries are looked at. Queries without a stem find nothing.
     """
+    rows = asked(queries, "text")
+    terms: dict[str, int] = {}
+    wanted = [sorted({terms.setdefault(w, len(terms)) for w in stems(t) if w}) for t in rows["text"]]
+    by_term: dict[int, list[int]] = {}
+    for q, held in enumerate(wanted):
+        for t in held:
+            by_term.setdefault(t, []).append(q)
+    sent = corpus.sparkSession.sparkContext.broadcast((rows["query_id"].tolist(), terms, wanted, by_term))
 
-    @F.pandas_udf("array<string>")
-    def stems(texts: pd.Series) -> pd.Series:
-        seen: dict[str, str] = {}
-        find = pd.Series(texts).fillna("").str.lower().str.findall(r"[a-z0-9]+")
-        return find.map(lambda ws: [seen.setdefault(w, stem(w)) if w not in seen else seen[w] for w in ws])
-
-    stop = [stem(w) for w in STOP] + list(STOP)
-    q = queries.select("query_id", F.array_distinct(F.filter(stems("text"), lambda w: ~w.isin(*stop))).alias("w")).where(F.size("w") > 0)
-    q = q.select("query_id", F.size("w").alias("n"), F.explode("w").alias("term"))
-    d = corpus.select("id", F.posexplode(stems("text")).alias("pos", "term"))
-    hit = q.join(d, "term").groupBy("query_id", "n", "id").agg(F.count_distinct("term").alias("found"), F.sort_array(F.collect_list(F.struct("pos", "term"))).alias("at")).where("found = n")
-
-    @F.pandas_udf("double")
-    def density(at: pd.Series, n: pd.Series) -> pd.Series:
-        out = []
-        for places, want in zip(at, n):
-            count: dict[str, int] = {}
-            best, left = None, 0
-            for right, p in enumerate(places):
-                count[p["term"]] = count.get(p["term"], 0) + 1
-                while len(count) == want:
-                    width = p["pos"] - places[left]["pos"] + 1
-                    best = width if best is None else min(best, width)
-                    t = places[left]["term"]
-                    count[t] -= 1
-                    if not count[t]:
-                        del count[t]
-                    left += 1
-            out.append(want / best if best else 0.0)
-        return pd.Series(out)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        q_ids, terms, wanted, by_term = sent.value
+        best, kind = Best(len(q_ids), k, positive=True), None
+        for batch in batches:
+            kind = batch.schema.field(0).type
+            for i, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                places = [(at, terms[w]) for at, w in enumerate(stems(t)) if w in terms]
+                met = Counter(q for term in {term for _, term in places} for q in by_term[term])
+                for q, n in met.items():
+                    if n == len(wanted[q]):
+                        own = set(wanted[q])
+                        best.add(q, np.array([[cover([p for p in places if p[1] in own], n)]]), [i])
+        if kind is not None and q_ids:
+            yield best.rows(q_ids, q_kind, kind)
 
-    return ranked_list(hit.select("query_id", "id", density("at", "n").alias("score")), "query_id", "score", "id", k)
+    q_kind = to_arrow_type(queries.schema["query_id"].dataType)
+    found = spread(corpus.select("id", "text")).mapInArrow(run, _kinds(queries, corpus))
+    return ranked_list(found, "query_id", "score", "id", k)
 
 
 # ---- fusion --------------------------------------------------------------------------------------------------------

@@ -28,10 +28,9 @@ def step(name: str) -> Callable[[Step], Step]:
 
 def reject(df: DataFrame, name: str, reason) -> DataFrame:
     """Tag rows that are not yet rejected and have a reason now."""
-    now = F.col("filter_reason").isNull() & reason.isNotNull()
-    tagged = df.withColumn("_now", now).withColumn("_why", reason)
-    tagged = tagged.withColumn("filter_step", F.when(F.col("_now"), F.lit(name)).otherwise(F.col("filter_step")))
-    return tagged.withColumn("filter_reason", F.when(F.col("_now"), F.col("_why")).otherwise(F.col("filter_reason"))).drop("_now", "_why")
+    now = F.col("filter_reason").isNull() & F.col("_why").isNotNull()
+    tagged = df.withColumn("_why", reason).withColumn("filter_step", F.when(now, F.lit(name)).otherwise(F.col("filter_step")))
+    return tagged.withColumn("filter_reason", F.coalesce("filter_reason", "_why")).drop("_why")
 
 
 @step("content_normalizer")
@@ -67,8 +66,9 @@ def deduplicator(df: DataFrame) -> DataFrame:
     """Exact and near duplicates among the rows not rejected so far, the first in order of ingest_seq stays."""
     df = reject(df, "deduplicator", F.when(~F.coalesce(F.col("content").rlike(r"\S"), F.lit(False)), "empty_content_at_dedup"))
     live = dedup.cut(df.where("filter_reason is null").select("ingest_seq", "content"))
-    exact = dedup.exact_duplicates(live, "ingest_seq", "content").select(F.col("id").alias("ingest_seq"), "content_hash", "is_first")
-    of = dedup.near_duplicates(live, "ingest_seq", "content").withColumnRenamed("id", "ingest_seq")
+    exact = dedup.cut(dedup.exact_duplicates(live, "ingest_seq", "content"))
+    of = dedup.near_duplicates(live, "ingest_seq", "content", exact=exact).withColumnRenamed("id", "ingest_seq")
+    exact = exact.select(F.col("id").alias("ingest_seq"), "content_hash", "is_first")
     out = df.drop("content_hash").join(exact, "ingest_seq", "left").join(of, "ingest_seq", "left")
     out = reject(out, "deduplicator", F.when(~F.col("is_first"), "exact_duplicate").when(F.col("duplicate_of").isNotNull(), "near_duplicate"))
     return out.drop("is_first", "duplicate_of")

@@ -73,11 +73,20 @@ def wanted_urls(entries: DataFrame, pattern: str, since: str | None = None, keep
     return df.groupBy(F.col("loc").alias("url")).agg(F.max("lastmod").alias("lastmod"))
 
 
-def page_nodes(pages: DataFrame, col: str, limit: int | None = None) -> DataFrame:
-    """Nodes of JSON result pages `{"edges": [{"node": {...}}]}` as (page order, JSON of the node)."""
-    edges = F.from_json(col, "struct<edges: array<struct<node: string>>>")["edges"]
-    out = pages.select(F.explode(F.transform(edges, lambda e: e["node"])).alias("node")).where("node is not null")
-    return out if limit is None else out.limit(limit)
+def page_nodes(pages: DataFrame, col: str, limit: int | None = None, order: str | None = None) -> DataFrame:
+    """Nodes of JSON result pages `{"edges": [{"node": {...}}]}` as (page, place, JSON of the node).
+
+    order is the column that numbers the pages. Pages from the first one without edges on are left out, and `limit`
+    keeps the first nodes in order of page and place.
+    """
+    edges = F.coalesce(F.from_json(col, "struct<edges: array<struct<node: string>>>")["edges"], F.array().cast("array<struct<node: string>>"))
+    number = F.col(order) if order else F.lit(0)
+    each = pages.select(number.alias("page"), edges.alias("edges"))
+    if order:
+        end = each.where(F.size("edges") == 0).agg(F.min("page").alias("end"))
+        each = each.join(F.broadcast(end)).where("end is null or page < end")  # one row
+    out = each.select("page", F.posexplode(F.transform("edges", lambda e: e["node"])).alias("place", "node")).where("node is not null")
+    return out if limit is None else out.orderBy("page", "place").limit(limit)
 
 
 def newest_manifest(manifests: DataFrame, source: str) -> DataFrame:

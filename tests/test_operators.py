@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from skein.operators import chunk, dedup, drift, evaluate, retrieval
+from skein.operators import chunk, dedup, drift, evaluate, loading, retrieval
 from skein.operators import relational as R
 
 
@@ -167,7 +167,7 @@ def test_stemmed_match(spark):
     c = spark.createDataFrame([("d1", "Designing systems is fun"), ("d2", "a design of many different running systems"), ("d3", "design only")], "id string, text string")
     q = spark.createDataFrame([(1, "the system designs"), (2, "of the")], "query_id int, text string")
     assert rows(retrieval.stemmed_match(q, c, 5), "query_id", "id", "rank") == [(1, "d1", 1), (1, "d2", 2)]
-    assert [retrieval.stem(w) for w in ("running", "systems", "relational", "flies", "is")] == ["run", "system", "relate", "fli", "is"]
+    assert [retrieval.stem(w) for w in ("running", "systems", "relational", "flies", "is")] == ["run", "system", "relat", "fli", "is"]
 
 
 def test_hashed_vectors_and_prompt(spark):
@@ -211,3 +211,99 @@ def test_drift(spark):
         x, y = np.sort(a[:, r.dim]), np.sort(b[:, r.dim])
         z = np.concatenate([x, y])
         assert abs(r.ks - np.abs(np.searchsorted(x, z, "right") / len(x) - np.searchsorted(y, z, "right") / len(y)).max()) < 1e-12
+
+
+def test_best_settles_ties_by_id():
+    b = retrieval.Best(2, 3)
+    b.add(0, np.array([[0.5, 0.5, 0.5, 0.5, 0.1], [0.1, 0.2, 0.3, 0.4, 0.5]]), ["e", "d", "c", "b", "x"])
+    b.add(0, np.array([[0.5, 0.9], [0.5, 0.0]]), ["a", "z"])
+    assert b.ids == [["z", "a", "b"], ["a", "x", "b"]] and b.scores[0].tolist() == [0.9, 0.5, 0.5]
+
+
+def test_lexical_search_equals_brute_force(spark):
+    rng = random.Random(4)
+    docs = [(f"d{i:03d}", " ".join(f"w{rng.randrange(30)}" for _ in range(rng.randrange(0, 25)))) for i in range(300)] + [("e1", None), ("e2", " "), ("e3", "W1 w1\tw2")]
+    queries = [(q, " ".join(f"w{rng.randrange(34)}" for _ in range(4))) for q in range(12)] + [(50, None), (51, ""), (52, "zzz"), (53, "w1 w1")]
+    q, c = spark.createDataFrame(queries, "query_id int, text string"), spark.createDataFrame(docs, "id string, text string").repartition(5)
+    bag = {i: (t or "").lower().split() for i, t in docs}
+    got: dict = {}
+    for r in retrieval.term_cosine(q, c, 5).collect():
+        got.setdefault(r.query_id, []).append((r.id, r.score))
+    for k, t in queries:
+        a = (t or "").lower().split()
+        norm = lambda w: sum(w.count(x) ** 2 for x in set(w)) ** 0.5
+        s = {i: round(sum(a.count(x) * w.count(x) for x in set(a)) / (norm(a) * norm(w)), 9) for i, w in bag.items() if set(a) & set(w)}
+        want = sorted(s.items(), key=lambda x: (-x[1], x[0]))[:5]
+        assert sorted(got.get(k, []), key=lambda x: (-x[1], x[0])) == want
+    assert retrieval.bm25(q, c.limit(0), 5).count() == 0 and retrieval.bm25(q.limit(0), c, 5).count() == 0
+
+
+def test_retrieve_by_mode(spark):
+    q = spark.createDataFrame([(1, "red fox")], "query_id int, text string")
+    c = spark.createDataFrame([("a", "a red fox ran", "u1"), ("b", "red", "u2"), ("c", "blue", "u3")], "id string, text string, source_url string")
+    for mode in retrieval.MODES:
+        assert [r.id for r in retrieval.retrieve(mode, q, c, 2).orderBy("rank").collect()][0] == "a"
+    assert set(retrieval.retrieve("hybrid", q, c, 2).columns) == {"query_id", "id", "score", "rank", "text", "source_url"}
+    retrieval.register_mode("first", lambda q, c, k: retrieval.bm25(q, c, 1))
+    assert retrieval.retrieve("first", q, c, 2).count() == 1
+    del retrieval.MODES["first"]
+    with pytest.raises(KeyError):
+        retrieval.retrieve("none", q, c, 2)
+
+
+def test_loading(spark):
+    files = [("a", '{"id": "1", "title": "t"}'), ("b", '{"id": "2"'), ("c", None), ("d", '{"id": " "}'), ("e", "[1]"), ("f", '{"id": "3", "title": "x", "n": [1]}')]
+    s = loading.read_states(spark.createDataFrame(files, "p string, j string"), "p", "j", ["id", "title"])
+    assert {r.path: (r.state, r.message) for r in s.collect()} == {"a": ("ok", None), "b": ("failed_read", "no JSON object"), "c": ("failed_read", "empty file"), "d": ("failed_insert", "missing id, title"), "e": ("failed_read", "no JSON object"), "f": ("ok", None)}
+    assert tuple(loading.summary(s).first()) == (6, 2, 4, 3, 1)
+    docs = [("1", "Acme", "SDE", " SENIOR ", "odd", None, 3, ["onsite", "virtual"], ["dsa"]), ("2", "Acme", None, None, None, None, None, None, None), ("3", " ", "x", None, None, None, None, None, None), ("4", "B", "C", None, None, None, None, [], None)]
+    df = spark.createDataFrame(docs, "document_id string, company string, role string, experience_level string, interview_outcome string, difficulty string, num_rounds int, interview_types array<string>, topics array<string>")
+    assert rows(loading.metadata_rows(df)) == [("1", "Acme", "SDE", "senior", None, None, 3, "onsite", ["dsa"]), ("4", "B", "C", None, None, None, None, None, [])]
+    log = spark.createDataFrame([(f"u{i:02d}", "bad" if i % 2 else None, f"2025-01-{i + 1:02d}") for i in range(30)], "url string, error string, at string")
+    m = loading.manifest(log, "url", "error", "at").first()
+    assert (m.collected, m.errors, m.last, m.error_urls) == (15, 15, "2025-01-30", [f"u{i:02d}" for i in range(1, 20, 2)])
+    assert loading.manifest(log.where("error is null"), "url", "error", "at").first().error_urls == []
+
+
+def test_evaluation_reports(spark):
+    c = spark.createDataFrame([("a", "x", 10, 0.9), ("a", "y", 10, 0.4), ("b", "x", 10, 0.6), ("b", "y", 10, 0.5), ("b", "overall", 10, 0.1), ("c", "x", 10, 0.5)], "config string, query_category string, k int, ndcg double")
+    assert rows(evaluate.bias(c)) == [("a", 0.5, 2), ("b", 0.1, 1)]
+    one = evaluate.disparity(c.where("config = 'c'").select("query_category", "k", "ndcg")).first()
+    assert one.note == "fewer than two categories"
+    df = spark.createDataFrame([("1", "2.0"), ("x", "1"), (None, "1"), (" 7 ", "3")], "a string, b string")
+    assert rows(evaluate.coerced(df, ["a", "b"])) == [(1, 2), (7, 3)]
+    ranked = spark.createDataFrame([(1, "a", 1, 0.9), (1, "b", 2, 0.5), (1, "c", 3, 0.1)], "query_id int, id string, rank int, score double")
+    grades = spark.createDataFrame([(1, "a", 2), (1, "c", 0)], "query_id int, id string, grade int")
+    assert evaluate.grade_gap(ranked, grades).first().gap == 0.8 and evaluate.grade_gap(ranked, grades.limit(0)).first().gap is None
+    d = evaluate.details(spark.createDataFrame([(1,), (2,)], "query_id int"), ranked, grades).orderBy("query_id").collect()
+    assert d[0].grades == [2, -1, 0] and d[0].scores == [0.9, 0.5, 0.1] and d[1].grades is None
+
+
+def test_drift_trigger(spark):
+    t = spark.createDataFrame([(0, True), (1, False), (2, False)], "dim int, drifted boolean")
+    assert tuple(drift.trigger(t).first()) == (0.333333, True) and tuple(drift.trigger(t, 0.5).first()) == (0.333333, False)
+    assert tuple(drift.trigger(t.limit(0)).first()) == (None, False)
+    assert drift.degraded(0.72, 0.69) and not drift.degraded(0.72, 0.70) and not drift.degraded(0, 0)
+
+
+def test_two_sample_does_not_depend_on_scale(spark):
+    rng = np.random.default_rng(2)
+    x, y = rng.standard_normal(300), rng.standard_normal(200) + 0.4
+    want = max(abs((x <= v).mean() - (y <= v).mean()) for v in np.concatenate([x, y]))
+    for scale in (1e-7, 1.0, 1e6):
+        a, b = (spark.createDataFrame([([float(v * scale)],) for v in z], "v array<double>") for z in (x, y))
+        assert abs(drift.two_sample(a, b, "v").first().ks - want) < 1e-12
+    same = spark.createDataFrame([([1.0],)] * 5, "v array<double>")
+    assert drift.two_sample(same, same, "v").first().ks == 0.0
+
+
+def test_near_duplicates_against_kept_state(spark, tmp_path):
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(40))
+    sets = lambda data: dedup.shingle_sets(spark.createDataFrame(data, "id long, t string"), "id", "t")
+    path = f"file://{tmp_path}/state"
+    dedup.save_state(sets([(1, text(1)), (2, text(2))]), path)
+    dedup.save_state(sets([(3, text(3))]), path)
+    got = dedup.against_state(sets([(10, text(2) + " more"), (11, text(3)), (12, text(9))]), path)
+    assert rows(got) == [(10, 2), (11, 3)]
+    loose = dedup.first_collisions(spark.createDataFrame([(1, text(1)), (2, text(1) + " x"), (3, text(4)), (4, text(1))], "id long, t string"), "id", "t")
+    assert dict(rows(loose)).get(2, 1) == 1 and 3 not in dict(rows(loose))

@@ -176,3 +176,39 @@ def test_streams(spark, tmp_path):
     s = streams.run_now(streams.sessions(streams.parquet_stream(spark, path)), "t_sessions", "append")
     assert s.count() == 0  # still open at the end of the data
     assert streams.sessions(spark.read.parquet(path)).count() == 3
+
+
+def test_pages_end_at_the_first_empty_one(spark):
+    page = lambda *ids: json.dumps({"edges": [{"node": {"id": i}} for i in ids]})
+    pages = spark.createDataFrame([(3, page(5)), (1, page(1, 2)), (2, page(3, 4)), (4, page()), (5, page(9))], "n int, p string")
+    assert [r.node for r in readers.page_nodes(pages, "p", order="n").orderBy("page", "place").collect()] == [f'{{"id":{i}}}' for i in range(1, 6)]
+    assert sorted(r.node for r in readers.page_nodes(pages, "p", 3, "n").collect()) == [f'{{"id":{i}}}' for i in (1, 2, 3)]
+
+
+def test_answers_and_metadata(spark):
+    body = {"topicId": "7", "slug": "s", "title": "Acme onsite", "content": "<p>" + "word " * 20 + "</p>", "createdAt": "2025", "reactions": [{"reactionType": "UP", "count": 3}], "tags": [{"name": "Acme", "slug": "acme", "tagType": "COMPANY"}, {"name": "", "slug": "x", "tagType": "T"}], "comments": [{"id": "1", "content": "<b>hi</b>", "hidden": False}, {"id": "2", "content": "no", "hidden": True}]}
+    df = spark.createDataFrame([(1, json.dumps(body)), (2, json.dumps(body | {"content": "short"})), (3, "broken"), (4, None), (5, json.dumps({"content": "long enough " * 9}))], "id int, j string")
+    got = {r.id: r for r in parsers.answers(df, "j", "https://a/", ["Acme"]).collect()}
+    assert set(got) == {1, 5} and got[1].source_url == "https://a/7/s/" and got[1].tags == ["Acme"] and got[1].reactions == {"UP": 3} and got[1].company == "Acme"
+    assert [c.strip() for c in got[1].comments] == ["hi"] and got[5].title == "Untitled" and got[5].comments == []
+    page = '<meta content="d" property="og:description"><link href="https://c" rel="canonical"><meta name="twitter:data1" content="5 min read">'
+    state = json.dumps({"Tag:a": {"displayTitle": "Coding", "id": "c"}, "Tag:b": {"id": "jobs"}, "Post:x": {"id": "no"}})
+    m = spark.createDataFrame([(page, state), (None, None)], "h string, s string").select(parsers.page_metadata(F.col("h"), F.col("s")).alias("m")).collect()
+    assert (m[0].m.description, m[0].m.canonical, m[0].m.reading_minutes, m[0].m.image) == ("d", "https://c", 5, None) and sorted(m[0].m.tags) == ["Coding", "jobs"] and m[1].m.tags == []
+    chips = '<div class="HeadingAndChipComponent_mainContainer__dataChips_x"><a>On Campus</a><a>Acme</a><a>Acme</a></div><p>text</p>'
+    assert parsers.parse_articles(spark.createDataFrame([("u", chips)], "url string, html string"), "url", "html").first().tags == ["On Campus", "Acme"]
+
+
+def test_step_statistics(spark):
+    rows = [(i, "quality_filter", f"too_short_{i}_words") for i in range(3)] + [(9, "content_normalizer", "empty_raw_content"), (10, None, None), (11, None, None)]
+    s = {r.step: r for r in pipeline.statistics(spark.createDataFrame(rows, "id int, filter_step string, filter_reason string")).collect()}
+    assert (s["content_normalizer"].n_input, s["content_normalizer"].n_output) == (6, 5) and s["quality_filter"].pass_rate == 0.4 and s["quality_filter"].reasons == '{"too_short_n_words":3}'
+    assert (s["schema_validator"].n_input, s["schema_validator"].n_filtered) == (2, 0)
+
+
+def test_language_gate(spark):
+    words = " interview round asked coding question offer "
+    texts = {1: "The interviewer asked me about the project and" + words * 20, 2: "Собеседование прошло хорошо и потом мне задали вопрос" + " слово" * 300 + words * 3, 3: "索引は準備していましたが難しかったです。" * 20 + words * 30, 4: "Der Kandidat war nicht sicher und die Frage ist eine schwere" + " der Weg und das Ziel" * 30 + words * 2}
+    df = spark.createDataFrame([(i, t, len(t.split()), None, None) for i, t in texts.items()], "ingest_seq int, content string, word_count int, filter_step string, filter_reason string")
+    got = {r.ingest_seq: r.filter_reason for r in pipeline.quality_filter(df).collect()}
+    assert got == {1: None, 2: "non_english", 3: "non_english", 4: "non_english"}

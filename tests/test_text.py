@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from skein.functions import patterns as P
 from skein.functions import text as T
+from skein.functions.stem import stem
 from skein.operators import entities
 
 
@@ -113,3 +114,15 @@ def test_roles_and_companies(spark):
 @pytest.mark.parametrize("text, want", [("Собеседование прошло хорошо, и потом мне прислали задание на дом от команды", "ru"), ("索引は準備していましたが、整列アルゴリズムは難しかったです。面接官は親切で、質問は三つありました。結果は来週までにメールで届くそうです。", "ja"), ("मुझे साक्षात्कार में तीन प्रश्न पूछे गए और फिर परिणाम की प्रतीक्षा करनी पड़ी", "hi"), ("Der Hund und die Katze sind nicht hier und das ist gut so wie es ist", "de"), ("Les questions étaient dans la deuxième partie et le jury est sympathique pour nous", "fr"), ("The interviewer asked me for the second time and it was in the afternoon", "en"), ("qwzx vbnm plokij uhygt fredc swaq qwzx vbnm plokij uhygt", "und"), ("short", "en"), ("1234567890 " * 10, "en")])
 def test_language(spark, text, want):
     assert one(spark, T.language, text) == want
+
+
+@pytest.mark.parametrize("word, want", [("consistency", "consist"), ("happiness", "happi"), ("generalization", "general"), ("hopping", "hop"), ("hoping", "hope"), ("databases", "databas"), ("skies", "sky"), ("cries", "cri"), ("ties", "tie"), ("gas", "gas"), ("communication", "communic"), ("agreed", "agre"), ("analytically", "analyt"), ("saying", "say"), ("controlling", "control"), ("roll", "roll"), ("a", "a"), ("", "")])
+def test_stems(word, want):
+    assert stem(word) == want
+
+
+def test_names_of_files(spark):
+    assert one(spark, T.embedding_column, "org/Some-Model-L6-v2") == "embeddings_some_model_l6_v2"
+    assert one(spark, lambda m: T.run_name(m, F.lit(384), F.lit("bm25"), F.lit(0.5), F.lit(0.5), F.lit(60)), "m") == "m_dim384_bm25"
+    assert one(spark, lambda m: T.run_name(m, F.lit(384), F.lit("hybrid"), F.lit(0.7), F.lit(0.3), F.lit(60)), "m") == "m_dim384_hybrid_v0.7_b0.3_rrf60"
+    assert one(spark, lambda t: T.report_name(t.cast("timestamp")), "2026-01-02 03:04:05") == "db_load_20260102T030405.json"
