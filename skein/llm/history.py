@@ -42,6 +42,8 @@ BANDS, ROWS, THRESHOLD, LEAST = 42, 6, 0.8, 10
 BUCKETS, RUNS = 16, 16
 #: Keys or ids that are sent to the splits of the history; more of them meet it in a shuffle.
 MOST_SENT = 200_000
+#: Rows of a delivery that are handled as one split.
+ONE_SPLIT = 20_000
 #: Edges of a delivery that are decided in order by one task; more of them are decided in rounds.
 ONE_TASK = 200_000
 
@@ -147,6 +149,8 @@ class History:
         if low <= self.last:
             raise ValueError(f"a delivery from {low} on cannot follow a history up to {self.last}")
         self.last = high
+        if n <= ONE_SPLIT:
+            reps = reps.coalesce(1)  # a small delivery is one split, and one file of the store
         probe = reps.select(F.explode("keys").alias("key"), F.col("id").alias("b"))
         index = probe.select("key", F.col("b").alias("a"), F.lit(False).alias("old"))
         if not self.store.empty():

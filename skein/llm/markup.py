@@ -52,8 +52,8 @@ MARKS = {"fence", "strong", "under", "strike", "boldquote"}
 HELD = {"link", "wikilink", "extlink", "image", "em", "tick", "dollar", "dollars", "paren", "entity"}
 #: Texts on which a wrapper must rest to be taken for a constant part of its host.
 CONSTANT = 20
-#: An expression of more parts is generalised to a repetition of its parts, each optional.
-LONGEST = 64
+#: An expression of more parts, or of deeper nesting, is generalised to a repetition of its parts, each optional.
+LONGEST, DEEPEST = 64, 6
 #: Parts into which the forms of a host and kind are aligned before these are aligned, and forms a task counts before it hands them on.
 SALTS, MOST_FORMS = 16, 50_000
 
@@ -392,14 +392,17 @@ def align(a: Shape, b: Shape) -> Shape:
     return tuple(out)
 
 
-def pruned(node):
-    """A node without idle nesting: a choice in a choice and a repetition in a repetition are one."""
+def pruned(node, depth: int = DEEPEST):
+    """A node without idle nesting: a choice in a choice is one. What lies too deep is a repetition of its tokens, each optional, which accepts at least as much."""
     if isinstance(node, str) or node[0] == SLOT:
         return node
+    if depth == 0:
+        texts = ((SLOT, None),) if slots((node,)) else ()
+        return ("+", (*(("?", (n,)) for n in dict.fromkeys(flat((node,)))), *texts))
     inner = node[1]
     while len(inner) == 1 and not isinstance(inner[0], str) and inner[0][0] == node[0]:
         inner = inner[0][1]
-    return (node[0], tuple(pruned(n) for n in inner))
+    return (node[0], tuple(pruned(n, depth - 1) for n in inner))
 
 
 def _key(node) -> str:
@@ -464,6 +467,11 @@ def flat(shape_: Shape) -> Iterator[str]:
             yield from flat(n[1])
 
 
+def slots(shape_: Shape) -> bool:
+    """Whether an expression holds a slot at all."""
+    return any(not isinstance(n, str) and (n[0] == SLOT or slots(n[1])) for n in shape_)
+
+
 def has(shape_: Shape, mark: str) -> bool:
     """Whether an expression holds a repetition (+), or a slot that takes different texts (_)."""
     return any(not isinstance(n, str) and ((n[0] == mark and (mark != SLOT or n[1] is None)) or (n[0] != SLOT and has(n[1], mark))) for n in shape_)

@@ -393,6 +393,18 @@ def test_wrappers_do_not_depend_on_the_order(spark):
     assert wrappers(spark, texts) == wrappers(spark, texts[::-1])
 
 
+def test_expressions_stay_small():
+    """Many different shapes give a long and deep expression, which is generalised and still closes what it opens."""
+    rng = random.Random(3)
+    names = [f"<n{i}>" for i in range(40)]
+    whole = ("<div>", "</div>")
+    for _ in range(300):
+        whole = markup.align(whole, ("<div>", *rng.choices(names, k=rng.randrange(1, 30)), (markup.SLOT, "t"), "</div>"))
+    depth = lambda s: 1 + max((depth(n[1]) for n in s if not isinstance(n, str) and n[0] != markup.SLOT), default=0)
+    assert len(whole) <= markup.LONGEST and depth(whole) <= markup.DEEPEST + 4
+    assert markup.is_template("<div>", whole) and set(names) <= set(markup.flat(whole))
+
+
 def test_ambiguous_groups_need_a_wrapper(spark):
     cols = "id long, url string, body string, host string"
     lists = [(1, "http://a.b/1", "- one\n- two", "x"), (2, "http://a.b/2", "- three", "x"), (4, None, None, "x"), (5, "http://a.b/3", " ", "x")]
@@ -448,6 +460,43 @@ def test_canonical_values(spark):
     assert canonical.map_values(df.limit(0), "id", {"role": e}).count() == 0
 
 
+def test_near_words_lose_none(spark):
+    """Words of any length, around the change from deletion variants to parts."""
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choice("abcd") for _ in range(n))
+    listed = sorted({word(n) for n in [3, 4, 5, 8, 15, 16, 17, 18, 19, 30, 60, 200] for _ in range(4)})
+    said = set(listed)
+    for w in listed:
+        for _ in range(6):
+            x = list(w)
+            for _ in range(rng.randrange(1, 4)):
+                p = rng.randrange(len(x))
+                x[p : p + 1] = rng.choice([[], [x[p], "a"], ["b"], [x[p]] * 2, x[p : p + 2][::-1]])
+            said.add("".join(x) or "a")
+    df = lambda ws: spark.createDataFrame([("f", w) for w in sorted(ws)], "field string, word string")
+    got = {(r.word, r.entry_word) for r in canonical.near_words(df(said), df(listed)).collect()}
+    limit = lambda a, b: min(canonical.allowed(len(a)), canonical.allowed(len(b)))
+    assert got == {(a, b) for a in said for b in listed if canonical.distance(a, b, limit(a, b)) <= limit(a, b)}
+
+
+def test_values_of_any_length(spark):
+    long = "pneumono" * 25
+    e = spark.createDataFrame([(1, long + " institute"), (2, long[:100] + " institute"), (3, "Acme")], "ref_id int, title string")
+    cases = {long[:120] + "x" + long[120:] + " institute": 1, (long + "institute")[:-3] + "ute": 1, "z" * 5000: -1, "Acme Ltd": 3}
+    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(cases)], "id string, company string")
+    assert {r.value: r.ref_id for r in canonical.map_values(df, "id", {"company": e}).collect()} == cases
+
+
+def test_excess_words_count(spark):
+    """Words beside many entries weigh little, others speak against the entry."""
+    names = [f"{w} Systems" for w in ("Alder", "Birch", "Cedar", "Dogwood", "Elm", "Fir")] + ["Maple"]
+    e = spark.createDataFrame(list(enumerate(names)), "ref_id int, title string")
+    values = [f"{n} Ltd" for n in names] + ["Maple Ltd", "Maple Hardware Grocery Quinlan", "Bldr Systems", "Cdr Sys"]
+    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "id string, company string")
+    got = {r.value: r.ref_id for r in canonical.map_values(df, "id", {"company": e}).collect()}
+    assert got["Maple Ltd"] == 6 and got["Alder Systems Ltd"] == 0 and got["Maple Hardware Grocery Quinlan"] == -1
+
+
 def test_edit_distance():
     assert [canonical.distance(a, b, 3) for a, b in (("abc", "abc"), ("abc", "acb"), ("abc", "xyz"), ("abc", "abcdefg"), ("", "ab"))] == [0, 1, 3, 4, 2]
 
