@@ -458,6 +458,13 @@ def chunk_manifest(spark, sf):
     return load(spark, sf, "document_chunks").groupBy("strategy").agg(F.count("*").alias("n_chunks"), F.count_distinct("document_id").alias("n_documents"))
 
 
+@query("SELECT chunk_id, coalesce(round_label, '') AS round_label, coalesce(chunk_index, 0) AS chunk_index, coalesce(word_count, 0) AS word_count, length(coalesce(raw_text, '')) AS n_chars FROM document_chunks")
+def chunk_defaults(spark, sf):
+    """The chunk table as the searches read it: nulls as empty strings and zeros."""
+    c = readers.chunks_scan(load(spark, sf, "document_chunks").select("chunk_id", "round_label", "chunk_index", "word_count", "raw_text"))
+    return c.select("chunk_id", "round_label", "chunk_index", "word_count", F.length("raw_text").cast("bigint").alias("n_chars"))
+
+
 # ---- statements over the store -------------------------------------------------------------------------------------
 
 
@@ -1044,8 +1051,9 @@ def drift_trigger(spark, sf):
 
 @query()
 def article_pages(spark, sf):
-    """All raw posts read as pages: heading, text, tags, date."""
-    return parsers.parse_articles(R.spread(load(spark, sf, "raw_documents").select("source_url", "raw_content")), "source_url", "raw_content")
+    """All raw posts read as pages: heading, text, tags and what they say of the kind of visit, date."""
+    pages = parsers.parse_articles(R.spread(load(spark, sf, "raw_documents").select("source_url", "raw_content")), "source_url", "raw_content")
+    return pages.withColumn("experience_type", parsers.experience_type(F.col("tags"), F.col("title")))
 
 
 @query("SELECT ingest_seq, CASE " + " ".join(f"WHEN regexp_matches(raw_content, '{_re(p)}') THEN '{k}'" for k, p in parsers.PAYWALL) + " END AS reason FROM raw_documents WHERE raw_content IS NOT NULL")
