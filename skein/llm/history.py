@@ -40,7 +40,7 @@ from skein.operators import minhash
 BANDS, ROWS, THRESHOLD, LEAST = 42, 6, 0.8, 10
 #: Buckets of the hashed part of the store (grow with the deployment, not with a run), and runs that are moved into it together.
 BUCKETS, RUNS = 16, 16
-#: Keys or ids that are sent to the splits of the history; more of them meet it in a shuffle.
+#: Keys or ids (or ten times as many sequences) that are sent to the splits of the history; more of them meet it in a shuffle.
 MOST_SENT = 200_000
 #: Rows of a delivery that are handled as one split.
 ONE_SPLIT = 20_000
@@ -133,18 +133,18 @@ class History:
         return with_copies(decided, copies)
 
     def bounds(self, keyed: DataFrame, *by: str) -> list[tuple]:
-        """(rows, first rank, last rank, buckets of the keys) of each delivery: one row each."""
-        each = keyed.groupBy(*by).agg(F.count("*").alias("n"), F.min("rank").alias("low"), F.max("rank").alias("high"))
+        """(rows, sequences, first rank, last rank, buckets of the keys) of each delivery: one row each."""
+        each = keyed.groupBy(*by).agg(F.count("*").alias("n"), F.sum(F.size("seqs")).alias("many"), F.min("rank").alias("low"), F.max("rank").alias("high"))
         at = keyed.select(*by, F.explode("keys").alias("key")).groupBy(*by).agg(F.collect_set(bucket_of(F.col("key"), self.store.buckets)).alias("at"))
         if not by:
             (row,), (held,) = each.collect(), at.collect()
             return [(*row, held[0])] if row[0] else []
         return [tuple(r) for r in each.join(at, list(by)).orderBy(*by).collect()]
 
-    def accept(self, reps: DataFrame, n: int, low: str, high: str, at: list[int]) -> DataFrame:
+    def accept(self, reps: DataFrame, n: int, many: int, low: str, high: str, at: list[int]) -> DataFrame:
         """(id, match) of the rejected ones of rows (id, rank, seqs, keys) with different sets; the others are appended.
 
-        The rows are n at most, with ranks from low to high and keys in the buckets `at`.
+        The rows are n at most, with `many` sequences, ranks from low to high and keys in the buckets `at`.
         """
         if low <= self.last:
             raise ValueError(f"a delivery from {low} on cannot follow a history up to {self.last}")
@@ -165,7 +165,7 @@ class History:
             left = left.unionByName(self.store.records(list(seen.get["at"])))
         la = left.select(F.col("id").alias("a"), F.col("rank").alias("rank_a"), F.col("seqs").alias("sa"))
         rb = reps.select(F.col("id").alias("b"), F.col("rank").alias("rank_b"), F.col("seqs").alias("sb"))
-        similar = la.join(sent(pairs, met), "a").join(rb, "b").where(jaccard(F.col("sa"), F.col("sb")) >= self.threshold)
+        similar = la.join(sent(pairs, met), "a").join(sent(rb, many // 10), "b").where(jaccard(F.col("sa"), F.col("sb")) >= self.threshold)
         swap = F.col("rank_a") > F.col("rank_b")
         edges = similar.select(
             F.when(swap, F.col("b")).otherwise(F.col("a")).alias("early"),
@@ -249,10 +249,13 @@ def dedup_history(df: DataFrame, id_col: str, batch_col: str, text_col: str, thr
     # written by date, so a delivery reads its own rows only
     staged = stored(with_keys(rows), "staged", "date")
     copies = stored(first_copies(staged, "date"), "copies")
+    copied = {r[0] for r in copies.select("date").distinct().collect()}  # one value a batch date at most
     history, results = History(spark, threshold=threshold), []
     for day, *bounds in history.bounds(staged, "date"):
         part = staged.where(F.col("date") == day).select("id", "rank", "seqs", "keys")
-        results.append(history.accept(part.join(copies.where(F.col("date") == day).select("id"), "id", "left_anti"), *bounds))
+        if day in copied:
+            part = part.join(copies.where(F.col("date") == day).select("id"), "id", "left_anti")
+        results.append(history.accept(part, *bounds))
     if not results:
         return staged.select("id", "batch", "date", F.col("id").alias("match"), F.col("batch").alias("match_batch"), F.col("date").alias("match_date")).limit(0)
     out = with_copies(spark.read.schema(results[0].schema).parquet(*[f for r in results for f in r.inputFiles()]), copies.select("id", "rep"))
