@@ -14,7 +14,7 @@ itself; a delivery with more keys than buckets reads the whole key column once,
 
 Acceptance follows a total order (batch date, then id): a record is accepted unless it is similar
 to an accepted earlier one. The accepted records are the lexicographically first independent set of
-the similarity graph. Rows of one delivery with equal sets are compared once, through the first of
+the similarity graph, so a delivery may hold one batch or several: the result is the same. Rows of one delivery with equal sets are compared once, through the first of
 them. Deliveries must come in order: one with a row that is not later than all of the history is
 refused, as it would have to take back what was accepted.
 
@@ -42,6 +42,8 @@ BANDS, ROWS, THRESHOLD, LEAST = 42, 6, 0.8, 10
 BUCKETS, RUNS = 16, 16
 #: Keys or ids (or ten times as many sequences) that are sent to the splits of the history; more of them meet it in a shuffle.
 MOST_SENT = 200_000
+#: Share of all rows that a delivery holds at least where a table of many batches is caught up.
+CATCH_UP = 1 / 20
 #: Rows of a delivery that are handled as one split.
 ONE_SPLIT = 20_000
 #: Edges of a delivery that are decided in order by one task; more of them are decided in rounds.
@@ -237,8 +239,25 @@ def first_independent(edges: DataFrame, used: list[DataFrame]) -> DataFrame:
         lost = lost.unionByName(now)
 
 
-def dedup_history(df: DataFrame, id_col: str, batch_col: str, text_col: str, threshold: float = THRESHOLD, least: int = LEAST) -> DataFrame:
-    """(id, batch, date, match, match_batch, match_date) of every rejected row: one delivery for each batch date, in order."""
+def lots(counts: list[tuple[str, int]], share: float) -> list[list[str]]:
+    """Batch dates in order, consecutive ones together until they hold a share of all rows."""
+    out: list[list[str]] = [[]]
+    held, least = 0, share * sum(n for _, n in counts)
+    for date, n in counts:
+        out[-1].append(date)
+        held += n
+        if held >= least:
+            out.append([])
+            held = 0
+    return [lot for lot in out if lot]
+
+
+def dedup_history(df: DataFrame, id_col: str, batch_col: str, text_col: str, threshold: float = THRESHOLD, least: int = LEAST, share: float = CATCH_UP) -> DataFrame:
+    """(id, batch, date, match, match_batch, match_date) of every rejected row, delivery by delivery in order of date.
+
+    A table of many batches is caught up: consecutive small batch dates make one delivery until it holds a
+    `share` of all rows, which any grouping allows (see above); a share of 0 makes one delivery for each date.
+    """
     spark = df.sparkSession
     batch = F.coalesce(F.col(batch_col).cast("string"), F.lit(""))
     date = F.regexp_extract(batch, r"^\d{4}-\d{2}-\d{2}", 0)
@@ -248,13 +267,17 @@ def dedup_history(df: DataFrame, id_col: str, batch_col: str, text_col: str, thr
     rows = with_sequences(pick, "text", 3, least=least).withColumn("copy", F.xxhash64("seqs"))
     # written by date, so a delivery reads its own rows only
     staged = stored(with_keys(rows), "staged", "date")
-    copies = stored(first_copies(staged, "date"), "copies")
-    copied = {r[0] for r in copies.select("date").distinct().collect()}  # one value a batch date at most
+    dates = [tuple(r) for r in staged.groupBy("date").agg(F.count("*")).orderBy("date").collect()]  # one row per batch date
+    grouped = lots(dates, share)
+    numbers = spark.createDataFrame([(d, k) for k, lot in enumerate(grouped) for d in lot], "date string, lot int")
+    lotted = staged.join(F.broadcast(numbers), "date")  # one row per batch date
+    copies = stored(first_copies(lotted, "lot"), "copies")
+    copied = {r[0] for r in copies.select("lot").distinct().collect()}  # one value a delivery at most
     history, results = History(spark, threshold=threshold), []
-    for day, *bounds in history.bounds(staged, "date"):
-        part = staged.where(F.col("date") == day).select("id", "rank", "seqs", "keys")
-        if day in copied:
-            part = part.join(copies.where(F.col("date") == day).select("id"), "id", "left_anti")
+    for k, *bounds in history.bounds(lotted, "lot"):
+        part = staged.where(F.col("date").between(grouped[k][0], grouped[k][-1])).select("id", "rank", "seqs", "keys")
+        if k in copied:
+            part = part.join(copies.where(F.col("lot") == k).select("id"), "id", "left_anti")
         results.append(history.accept(part, *bounds))
     if not results:
         return staged.select("id", "batch", "date", F.col("id").alias("match"), F.col("batch").alias("match_batch"), F.col("date").alias("match_date")).limit(0)

@@ -255,11 +255,18 @@ def test_history_equals_a_sequential_pass(spark, monkeypatch, one_task, most_sen
             kept.append((i, s))
         else:
             want[i] = m
-    got = history.dedup_history(df, "seq", "batch", "body")
-    assert dict(rows(got, "id", "match")) == want
+    for share in (0, 1 / 3, 1) if one_task else (1 / 3,):
+        got = history.dedup_history(df, "seq", "batch", "body", share=share)
+        assert dict(rows(got, "id", "match")) == want
     assert history.dedup_history(df.limit(0), "seq", "batch", "body").count() == 0
 
 
+def test_lots_keep_the_order():
+    counts = [("a", 1), ("b", 2), ("c", 90), ("d", 3), ("e", 4)]
+    assert history.lots(counts, 0) == [["a"], ["b"], ["c"], ["d"], ["e"]]
+    assert history.lots(counts, 0.05) == [["a", "b", "c"], ["d", "e"]] and history.lots(counts, 1) == [["a", "b", "c", "d", "e"]] and history.lots([], 0.1) == []
+
+
 def delivery(spark, texts, first=0):
     df = spark.createDataFrame([(first + i, f"{first + i:04d}", t) for i, t in enumerate(texts)], "id long, rank string, text string")
     return with_sequences(df, "text", 3, least=10)
