@@ -6,6 +6,12 @@ classifier learns each part from the vectors of the sample. Every row is indexed
 probable part and looks for neighbours in its `probes` most probable parts; candidates are scored
 in blocked matrix products, and the best k of all probed parts remain.
 
+The larger the table, the fewer rows of the sample are neighbours of each other, and the more often a
+border runs between a row and its neighbours. So the rows are divided again by partitions that are
+learned from disjoint folds of the sample, and every row is searched in them too: a pair that
+one partition separates meets in another. The partitions follow one another, so the vectors of one
+lie in the shuffle at a time.
+
 The number of parts follows the number of rows, so a probe meets about `part_rows` vectors at any
 size. Parts (and the rows that probe them) above twice the expected size are divided into blocks
 that are all visited, so no row is dropped and no task gets an unbounded group.
@@ -20,16 +26,20 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skein.llm._common import mix, stored
 
 #: Rows a part should hold, parts each row probes, neighbours wanted.
 PART_ROWS, PROBES, K = 1000, 3, 5
+#: Further partitions, each of a fold of the sample, and the parts of each in which every row looks too.
+FOLDS, FOLD_PROBES = 3, 2
 #: The classifier is fitted on a sample by hash of the id: ROWS_PER_PART for each part, but about
 #: LEAST_SAMPLE rows at least and MOST_SAMPLE at most, which bounds the driver's memory and the parts.
 ROWS_PER_PART, LEAST_SAMPLE, MOST_SAMPLE = 16, 8192, 65536
@@ -170,7 +180,7 @@ def nearest(index_ids: np.ndarray, index: np.ndarray, ids: np.ndarray, x: np.nda
         order = np.lexsort((other, -exact), axis=1)[:, :k]
         other, exact = np.take_along_axis(other, order, axis=1), np.take_along_axis(exact, order, axis=1)
         for r in tied:
-            full = a[s[r] >= edge[r] - 1e-6] @ q[at + r]
+            full = np.einsum("kd,d->k", a[s[r] >= edge[r] - 1e-6], q[at + r])  # as above: a pair has one cosine in every part
             names = index_ids[s[r] >= edge[r] - 1e-6]
             best = np.lexsort((names, -full))[:k]
             other[r, : len(best)], exact[r, : len(best)] = names[best], full[best]
@@ -197,15 +207,23 @@ def top_k(df: DataFrame, id_col: str, vector_col: str, k: int = K, part_rows: in
     if not len(unit):
         return empty
     parts = max(1, min(-(-total // part_rows), len(unit) // ROWS_PER_PART))
-    router = Router(router.dim, *fit(unit, parts), probes)
+    routers = [Router(router.dim, *fit(unit, parts), probes)]
+    if parts > 1:
+        for f in range(FOLDS):
+            fold = unit[f::FOLDS]
+            parts = max(1, min(-(-total // part_rows), len(fold) // ROWS_PER_PART))
+            routers.append(Router(router.dim, *fit(fold, 1 << (parts.bit_length() - 1)), FOLD_PROBES))
 
     def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        home, asked = np.zeros(len(router.bias), np.int64), np.zeros(len(router.bias), np.int64)
+        home, asked = ([np.zeros(len(r.bias), np.int64) for r in routers] for _ in range(2))
         for batch in batches:
-            to = router.route(router.vectors(batch)[2])
-            home += np.bincount(to[:, 0], minlength=len(home))
-            asked += np.bincount(to.ravel(), minlength=len(home))
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(home), dtype=np.int32)), pa.array(home), pa.array(asked)], names=["part", "home", "asked"])
+            unit = router.vectors(batch)[2]
+            for t, r in enumerate(routers):
+                to = r.route(unit)
+                home[t] += np.bincount(to[:, 0], minlength=len(r.bias))
+                asked[t] += np.bincount(to.ravel(), minlength=len(r.bias))
+        for t, r in enumerate(routers):
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(r.bias), t, np.int32)), pa.array(np.arange(len(r.bias), dtype=np.int32)), pa.array(home[t]), pa.array(asked[t])], names=["partition", "part", "home", "asked"])
 
     # the same rows that Router.vectors keeps: copies of others have no neighbours and must not take the short cut
     v = F.col("v").cast("array<float>")
@@ -223,12 +241,32 @@ def top_k(df: DataFrame, id_col: str, vector_col: str, k: int = K, part_rows: in
         repeated = rest.join(first.select("h", F.col("id").alias("other"), "r"), "h").where(F.col("r") <= k)
         repeated = repeated.select("id", "other", F.lit(1.0).alias("cosine"), F.col("r").cast("int").alias("rank"))
     # one row per part: bounded by the number of parts, which the sample bounds
-    count = pick.mapInArrow(sizes, "part int, home bigint, asked bigint").groupBy("part").agg(F.sum("home"), F.sum("asked")).collect()
-    blocks, slices = np.ones(len(router.bias), np.int64), np.ones(len(router.bias), np.int64)
-    for part, home, asked in count:
-        blocks[part] = max(1, -(-home // (4 * part_rows)))
-        slices[part] = max(1, -(-asked // (4 * part_rows * router.probes)))
-    router.blocks, router.slices = blocks, slices
+    count = pick.mapInArrow(sizes, "partition int, part int, home bigint, asked bigint").groupBy("partition", "part").agg(F.sum("home"), F.sum("asked")).collect()
+    for r in routers:
+        r.blocks, r.slices = np.ones(len(r.bias), np.int64), np.ones(len(r.bias), np.int64)
+    for t, part, home, asked in count:
+        routers[t].blocks[part] = max(1, -(-home // (4 * part_rows)))
+        routers[t].slices[part] = max(1, -(-asked // (4 * part_rows * routers[t].probes)))
+    found = reduce(DataFrame.unionByName, [search(pick, r, k) for r in routers])
+    best = Window.partitionBy("id").orderBy(F.desc("cosine"), "other")
+    found = found.groupBy("id", "other").agg(F.max("cosine").alias("cosine")).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    return found if repeated is None else found.unionByName(repeated)
+
+
+@contextmanager
+def unshuffled(spark: SparkSession) -> Iterator[None]:
+    """What runs inside leaves no shuffle files behind."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
+def search(pick: DataFrame, router: Router, k: int) -> DataFrame:
+    """(id, other, cosine): the best k of each row of (id, v) in every part of one partition that it probes."""
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -270,6 +308,5 @@ def top_k(df: DataFrame, id_col: str, vector_col: str, k: int = K, part_rows: in
 
     cells = pick.mapInArrow(emit, "part int, block int, slot int, id bigint, use tinyint, v binary")
     found = cells.groupBy("part", "block", "slot").applyInArrow(rank, "id bigint, other bigint, cosine double")
-    best = Window.partitionBy("id").orderBy(F.desc("cosine"), "other")
-    found = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return found if repeated is None else found.unionByName(repeated)
+    with unshuffled(pick.sparkSession):
+        return stored(found, "found")

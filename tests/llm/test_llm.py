@@ -320,6 +320,21 @@ def test_neighbours_recall_and_hard_rows(spark):
     assert rows(neighbours.top_k(df.where("id < 3"), "id", "v"), "id", "rank") == [(i, r) for i in range(3) for r in (1, 2)]
 
 
+def test_neighbours_that_the_sample_lacks(spark, monkeypatch):
+    """Of most groups of similar rows a large table's sample holds one row or none: no border may part them for good."""
+    monkeypatch.setattr(neighbours, "LEAST_SAMPLE", 1500)
+    monkeypatch.setattr(neighbours, "MOST_SAMPLE", 1500)
+    rng = np.random.default_rng(8)
+    x = (np.repeat(rng.standard_normal((1500, 64)), 8, axis=0) + 0.6 * rng.standard_normal((12000, 64))).astype(np.float32)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "id long, v array<float>")
+    got = rows(neighbours.top_k(df, "id", "v", part_rows=150), "id", "other")
+    u = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1)[:, None]
+    s = u @ u.T
+    np.fill_diagonal(s, -2)
+    want = {(i, int(j)) for i, js in enumerate(np.argpartition(-s, 4, axis=1)[:, :5]) for j in js}
+    assert len(got) == len(set(got)) == 60000 and len(want & set(got)) / len(want) > 0.95
+
+
 def test_unusable_copies_have_no_neighbours(spark):
     x = np.random.default_rng(6).standard_normal((300, 24)).astype(np.float32)
     x[:9] = x[0]
