@@ -466,6 +466,20 @@ def test_personal_values(spark, monkeypatch, most_sent):
     assert pii.find(df.limit(0)).count() == 0
 
 
+def test_personal_values_do_not_depend_on_how_words_are_sent(spark, monkeypatch):
+    lines = ["asked J. Rosmede twice", "then Anvika Anvika said", "zoe\u0308 Rosmede, A. and Pavlo K. Rosmede", "M. O'Dell-Vint and anvika von der Rosmede", "12 Fennel Court, Velanagar, then", "3 Low Row,Upper Velanagar Beta", "no one"]
+    texts = spark.createDataFrame([("t", i, t) for i, t in enumerate(lines)] + [("t", None, "met J. Rosmede")], "src string, id long, text string")
+    names = spark.createDataFrame([(w,) for w in ("rosmede", "anvika", "pavlo", "zoe", "odellvint")], "item string")
+    towns = spark.createDataFrame([("velanagar",), ("upper velanagar beta",)], "item string")
+    places = spark.createDataFrame([("t", 4, 0), ("t", 5, 0)], "src string, id long, at int")
+    got = []
+    for most_sent in (200_000, 0):
+        monkeypatch.setattr(pii, "MOST_SENT", most_sent)
+        got.append({tuple(r) for r in pii.again(texts, names, towns, places).collect()})
+    assert got[0] == got[1]
+    assert {(0, "J. Rosmede"), (1, "Anvika Anvika"), (3, "M. O'Dell-Vint"), (4, "12 Fennel Court, Velanagar"), (5, "3 Low Row,Upper Velanagar Beta"), (None, "J. Rosmede")} <= {(r[1], r[5]) for r in got[0]}
+
+
 @pytest.mark.parametrize("text, want", [("a.b@c.org", 1), ("a [at] b [dot] org", 1), ("A (at) b.org", 1), ("x at b dot org", 1), ("root@node14", 0), ("@Override", 0), ("at noon", 0)])
 def test_email_spellings(text, want):
     assert len(pii.emails(text)) == want
